@@ -51,10 +51,8 @@ def nfc(text: Column) -> Column:
 
 
 def _nfc_arrow() -> Callable[[Column], Column]:
-    import pyarrow as pa
-
     @F.arrow_udf("string")
-    def normalize(texts: pa.Array) -> pa.Array:
+    def normalize(texts):
         import pyarrow.compute as pc
 
         return pc.utf8_normalize(texts, "NFC")
@@ -68,10 +66,9 @@ def mojibake_repair() -> Callable[[Column], Column] | None:
         import ftfy  # noqa: F401
     except ImportError:
         return None
-    import pandas as pd
 
     @F.pandas_udf("string")
-    def repair(texts: pd.Series) -> pd.Series:
+    def repair(texts):
         import ftfy
 
         return texts.map(ftfy.fix_text, na_action="ignore")

@@ -33,7 +33,6 @@ def contrast_score(
     which Spark evaluates interpreted, one element at a time.
     """
     import numpy as np
-    import pyarrow as pa
 
     def unit(vector):
         vector = np.asarray(vector, dtype="float64")
@@ -43,7 +42,7 @@ def contrast_score(
     direction = unit(positive) - unit(negative)
 
     @F.arrow_udf("double")
-    def score(vectors: pa.Array) -> pa.Array:
+    def score(vectors):
         import numpy as np
         import pyarrow as pa
         import pyarrow.compute as pc

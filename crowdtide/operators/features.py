@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from crowdtide.fixed_values import EMBED_BATCH, HASH_WIDTH
 from crowdtide.functions.text import terms
-from crowdtide.operators.skew import HOT_ROWS, HOT_SHARE, heavy_keys, skew_join
+from crowdtide.operators.skew import HOT_ROWS, HOT_SHARE, checked_join, heavy_keys
 
 
 def hashing_tf(df: DataFrame, text: str, width: int = HASH_WIDTH, name: str = "tf") -> DataFrame:
@@ -87,12 +87,14 @@ def tfidf(
     doc: str,
     counts: DataFrame,
     scope: Sequence[str] = (),
+    n_docs: Column | None = None,
     share: int = HOT_SHARE,
     min_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Unit-length TF-IDF weights, one row per document and term.
 
-    Frequencies are taken over the whole input or per ``scope``. The vocabulary
+    Frequencies are taken over the whole input or per ``scope``; ``n_docs`` is the
+    document count of a scope where a column can tell it. The vocabulary
     grows with the data and is joined by shuffle, except for terms so common
     that one task would get too many rows: fewer than ``share`` terms can be,
     and those are broadcast.
@@ -100,12 +102,13 @@ def tfidf(
     scope = list(scope)
     key = [*scope, "term"]
     frequency = document_frequency(counts, scope)
-    if scope:
+    if n_docs is None and scope:
         sizes = docs.groupBy(*scope).agg(F.count("*").alias("n_docs"))
-        frequency = skew_join(frequency, sizes, scope, share=share, min_rows=min_rows)
-    else:
-        frequency = frequency.withColumn("n_docs", docs.agg(F.count("*")).scalar())
-    idf = frequency.withColumn("idf", smooth_idf(F.col("n_docs"), F.col("df"))).drop("n_docs")
+        frequency = checked_join(frequency, sizes, scope)
+        n_docs = F.col("n_docs")
+    elif n_docs is None:
+        n_docs = docs.agg(F.count("*")).scalar()
+    idf = frequency.withColumn("idf", smooth_idf(n_docs, F.col("df"))).drop("n_docs")
 
     common = heavy_keys(idf, "df", share, min_rows)
     placed_here = counts.join(F.broadcast(common), key)

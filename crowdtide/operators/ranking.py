@@ -65,6 +65,12 @@ def chunk_numbers(
     return indexed.withColumn(name, F.floor(F.col("row_index") / size) + 1).drop("row_index")
 
 
+def chunk_rows(df: DataFrame, chunk: str = "chunk_id", size: int = CHUNK_ROWS) -> Column:
+    """Rows in a numbered chunk: ``size``, but for the last. Needs no grouping."""
+    total = df.agg(F.count("*")).scalar()
+    return F.least(F.lit(size), total - (F.col(chunk) - 1) * size)
+
+
 def batch_numbers(df: DataFrame, order_by: str, size: int = BATCH_ROWS) -> DataFrame:
     return chunk_numbers(df, order_by, size, "batch_id")
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 HOT_SHARE = 10_000
 HOT_ROWS = 1_000_000
 SALTS = 32
+SMALL_ROWS = 100_000
 
 
 def heavy_keys(
@@ -24,6 +25,15 @@ def heavy_keys(
     return counts.filter(F.col(count_col) > limit)
 
 
+def checked_join(
+    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner", rows: int = SMALL_ROWS
+) -> DataFrame:
+    """Broadcast ``right`` once a count has shown it to be small; else ``skew_join``."""
+    if right.limit(rows + 1).count() <= rows:
+        return left.join(F.broadcast(right), list(on), how)
+    return skew_join(left, right, on, how)
+
+
 def _salt(df: DataFrame, salts: int) -> Column:
     # Depends on the row and on where it was read, not on the order of rows, so
     # a re-run task gives the same salts; equal copies differ by partition.

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from crowdtide.fixed_values import CHUNK_ROWS, EMBED_BATCH, HASH_WIDTH
 from crowdtide.operators import features as fx
 from crowdtide.operators.clean import feature_meta
-from crowdtide.operators.ranking import chunk_numbers
+from crowdtide.operators.ranking import chunk_numbers, chunk_rows
 from crowdtide.operators.summary import watch
 from crowdtide.schemas import FEATURE
 from crowdtide.session import cut_lineage, use_utc
@@ -22,7 +22,7 @@ def feature_rows(
     posts: DataFrame,
     make_encoder: Callable[[], Callable],
     scope: str = "corpus",
-    chunk_rows: int = CHUNK_ROWS,
+    chunk_size: int = CHUNK_ROWS,
     embed_batch: int = EMBED_BATCH,
     width: int = HASH_WIDTH,
     run_ts: datetime | None = None,
@@ -40,7 +40,7 @@ def feature_rows(
     if scope == "corpus":
         rows = fx.sparse_arrays(fx.hashed_tfidf(rows, "content", width, "tf"), "tf")
     elif scope in ("chunk", "file"):
-        rows = _scoped_tfidf(rows, scope, chunk_rows, width)
+        rows = _scoped_tfidf(rows, scope, chunk_size, width)
     else:
         raise ValueError(f"unknown scope: {scope!r}")
     rows = fx.embed(rows, "content", make_encoder, embed_batch)
@@ -49,14 +49,15 @@ def feature_rows(
     return rows.select(*FEATURE.names, *extra)
 
 
-def _scoped_tfidf(rows: DataFrame, scope: str, chunk_rows: int, width: int) -> DataFrame:
+def _scoped_tfidf(rows: DataFrame, scope: str, size: int, width: int) -> DataFrame:
     if scope == "chunk":
-        rows, scope_col = chunk_numbers(rows, "_pos", chunk_rows), "chunk_id"
+        rows, scope_col = chunk_numbers(rows, "_pos", size), "chunk_id"
     else:
         scope_col = "_file"
     rows = cut_lineage(rows)  # positions have to be the same in both uses below
+    n_docs = chunk_rows(rows, "chunk_id", size) if scope == "chunk" else None
     counts = fx.bucket_counts(rows, "_pos", "content", [scope_col], width)
-    weights = fx.tfidf(rows, "_pos", counts, [scope_col])
+    weights = fx.tfidf(rows, "_pos", counts, [scope_col], n_docs)
     packed = fx.pack_sparse(
         weights.select(
             "_pos", F.col("term").cast("int").alias("term"), F.col("weight").cast("float").alias("weight")

@@ -10,6 +10,7 @@ from crowdtide.fixed_values import GLOBAL_CAP, POST_COLUMNS, ROWS_PER_VISIT
 from crowdtide.operators.pages import page_records
 from crowdtide.operators.ranking import first_per_key, round_robin_cap
 from crowdtide.operators.summary import counts_for_all
+from crowdtide.session import cut_lineage
 from crowdtide.sources.write import write_csv
 
 
@@ -25,8 +26,7 @@ def collect_posts(
     """Records of keyword pages, one per key, ``per_visit`` of each keyword in turn."""
     records = page_records(pages, source_hashtag=source_hashtag, now=now)
     unique = first_per_key(records, ["id"], [order_by, "article_no"])
-    # one running number: pages in order, articles in order inside a page
-    seq = unique.withColumn("_seq", F.col(order_by) * F.lit(1_000_000) + F.col("article_no"))
+    seq = unique.withColumn("_seq", F.struct(order_by, "article_no"))
     return round_robin_cap(
         seq.join(dimension, "source_hashtag"), "source_hashtag", "_seq", "tag_index", per_visit, cap
     )
@@ -37,6 +37,6 @@ def run_page_job(
 ) -> DataFrame:
     """Append the posts to the CSV data set; returns rows per keyword, zeros included."""
     posts = collect_posts(pages, source_hashtag, dimension, **options).select(*POST_COLUMNS)
-    posts = posts.persist()
+    posts = cut_lineage(posts)
     write_csv(posts, csv_root)
     return counts_for_all(dimension.select("source_hashtag"), posts, "source_hashtag")

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from crowdtide.fixed_values import INPUT_FILES
-from crowdtide.operators.clean import column_or_null
 from crowdtide.plans.feature_job import feature_rows
 from crowdtide.session import use_utc
 from crowdtide.sources.read import CORRUPT, parse_json_lines
@@ -52,7 +51,7 @@ def start_feature_stream(
     checkpoint: str,
     make_encoder: Callable[[], Callable],
     pause: str | None = None,
-    skip_failed: bool = True,
+    failed_root: str | None = None,
     **options,
 ) -> StreamingQuery:
     """Append the features of each micro-batch; run once over what is there, or
@@ -60,26 +59,22 @@ def start_feature_stream(
 
     With one file per batch the batch is the file and so is the scope of the
     document frequencies. A batch is written to a folder of its number, so a
-    replay after a crash overwrites and never doubles. A batch that fails is
-    logged and passed over, unless ``skip_failed`` is off.
+    replay after a crash overwrites and never doubles. With ``failed_root`` a
+    batch that cannot be processed is put there as it came, to be run again, and
+    the stream goes on; otherwise it stops the stream.
     """
 
     def write(batch: DataFrame, number: int):
         try:
-            rows = feature_rows(
-                batch, make_encoder, drop_empty=False, aliases=False, **options
-            ).withColumn("id", F.nullif("id", F.lit("")))
+            rows = feature_rows(batch, make_encoder, drop_empty=False, aliases=False, **options)
             if not batch.isEmpty():
                 rows.write.mode("overwrite").parquet(f"{feature_root}/batch_id={number}")
         except Exception:
-            if not skip_failed:
+            if failed_root is None:
                 raise
-            log.exception("feature batch %s failed and was skipped", number)
+            log.exception("feature batch %s put aside", number)
+            batch.write.mode("overwrite").parquet(f"{failed_root}/batch_id={number}")
 
     writer = posts.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     trigger = {"processingTime": pause} if pause else {"availableNow": True}
     return writer.trigger(**trigger).start()
-
-
-def post_times(df: DataFrame) -> DataFrame:
-    return df.select(column_or_null(df, "id").alias("id"), column_or_null(df, "date").alias("date"))
