@@ -27,6 +27,9 @@ COUNT_COLUMNS = ["replyCount", "retweetCount", "likeCount", "quoteCount"]
 # plural that the text pass looks for.
 LABEL_KINDS = ["like", "retweet", "reply", "quote"]
 TEXT_KINDS = {"like": "likes", "retweet": "retweets", "reply": "replies", "quote": "quotes"}
+COUNT_OF_KIND = {
+    "like": "likeCount", "retweet": "retweetCount", "reply": "replyCount", "quote": "quoteCount",
+}
 
 # Patterns.
 HANDLE = "[A-Za-z0-9_]{1,15}"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from crowdtide.fixed_values import (
     HANDLE,
@@ -48,35 +48,54 @@ def pseudo_key(url: Column, text: Column, chars: int = PSEUDO_KEY_CHARS) -> Colu
 
 def _digits(number: Column) -> Column:
     """``1,234.5`` to 1234; NULL where no digits stand before the point."""
-    whole = F.split(F.replace(number, F.lit(","), F.lit("")), r"\.", 2)[0]
-    return whole.try_cast("bigint")
+    whole = F.substring_index(F.replace(number, F.lit(","), F.lit("")), ".", 1)
+    # a failing cast costs an exception, so it is not tried on what has no digits
+    return F.when(whole.rlike("^[0-9]+$"), whole.try_cast("bigint"))
 
 
-def label_counts(labels: Column, text: Column) -> dict[str, Column]:
-    """Engagement counts by kind.
+def label_values(labels: Column) -> Column:
+    """Engagement counts of labels, as a struct with a field per kind.
 
     A label counts for the first kind its word contains, and a later label of
-    the same kind replaces an earlier one. Kinds no label gave are looked up in
-    the text as ``N <plural>``, first hit only.
+    the same kind replaces an earlier one.
     """
+    pattern = f"({LABEL_NUMBER})[{SPACE_CHARS}]+({LABEL_WORD})"
+    read = F.transform(
+        labels,
+        lambda label: F.struct(
+            F.lower(F.regexp_extract(label, pattern, 2)).alias("word"),
+            _digits(F.regexp_extract(label, pattern, 1)).alias("value"),
+        ),
+    )
+    usable = F.filter(read, lambda x: x["value"].isNotNull())
+
+    def take(counts, label):
+        fields, earlier = [], F.lit(False)
+        for kind in LABEL_KINDS:
+            named = label["word"].contains(kind)
+            value = F.when(named & ~earlier, label["value"]).otherwise(counts[kind])
+            fields.append(value.alias(kind))
+            earlier = earlier | named
+        return F.struct(*fields)
+
+    none = F.struct(*[F.lit(None).cast("bigint").alias(kind) for kind in LABEL_KINDS])
+    return F.coalesce(F.aggregate(usable, none, take), none)
 
-    def read(label):
-        pattern = f"({LABEL_NUMBER})[{SPACE_CHARS}]+({LABEL_WORD})"
-        number = F.regexp_extract(label, pattern, 1)
-        word = F.lower(F.regexp_extract(label, pattern, 2))
-        kind = F.lit(None).cast("string")
-        for name in reversed(LABEL_KINDS):
-            kind = F.when(word.contains(name), F.lit(name)).otherwise(kind)
-        return F.struct(kind.alias("kind"), _digits(number).alias("value"))
-
-    read_labels = F.transform(F.coalesce(labels, F.array().cast("array<string>")), read)
-    parsed = F.filter(read_labels, lambda x: x["kind"].isNotNull() & x["value"].isNotNull())
-    out = {}
-    for name in LABEL_KINDS:
-        last = F.try_element_at(F.filter(parsed, lambda x: x["kind"] == name), F.lit(-1))["value"]
-        in_text = F.regexp_extract(text, rf"(?i)([0-9,]+)[{SPACE_CHARS}]+{TEXT_KINDS[name]}", 1)
-        out[name] = F.coalesce(last, _digits(in_text))
-    return out
+
+def with_label_counts(
+    df: DataFrame, labels: Column, text: Column, names: dict[str, str]
+) -> DataFrame:
+    """Add a count column per kind, named by ``names``.
+
+    Kinds no label gave are looked up in the text as ``N <plural>``, first hit
+    only. The labels are read once, into a column of their own.
+    """
+    out = df.withColumn("_label_values", label_values(labels))
+    counts = {}
+    for kind, name in names.items():
+        in_text = F.regexp_extract(text, rf"(?i)([0-9,]+)[{SPACE_CHARS}]+{TEXT_KINDS[kind]}", 1)
+        counts[name] = F.coalesce(F.col("_label_values")[kind], _digits(in_text))
+    return out.withColumns(counts).drop("_label_values")
 
 
 def author_handle(text: Column, hrefs: Column) -> Column:

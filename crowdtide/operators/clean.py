@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from crowdtide.fixed_values import COUNT_COLUMNS, POST_COLUMNS
 from crowdtide.functions.casts import int_or_zero, optional_int
-from crowdtide.functions.text import content_hash, first_filled, normalize_text, strip
+from crowdtide.functions.text import content_hash, first_filled, has_text, normalize_text, strip
 from crowdtide.functions.times import event_day, parse_time, post_iso, time_or_now
 
 
@@ -24,8 +24,11 @@ def candidates(
 ) -> DataFrame:
     """Add the normalised ``content`` and its hash; drop rows without content."""
     raw = first_filled(column_or_null(df, "content"), column_or_null(df, "text"))
-    out = df.withColumn("content", normalize_text(raw, repair))
     if drop_empty:
+        # on the raw text: a filter on the result would normalise every text twice
+        df = df.filter(has_text(raw))
+    out = df.withColumn("content", normalize_text(raw, repair))
+    if drop_empty and repair is not None:
         out = out.filter(F.col("content") != "")
     return out.withColumn("content_hash", content_hash(F.col("content")))
 
@@ -67,17 +70,18 @@ def feature_meta(df: DataFrame, drop_empty: bool = True, aliases: bool = True) -
             columns.append(column_or_null(df, alias).cast("string"))
         return first_filled(*columns)
 
-    out = df.select(
+    text = pick("content", "text")
+    if drop_empty:
+        df = df.filter(has_text(text))
+    return df.select(
         F.coalesce(column_or_null(df, "id").cast("string"), F.lit("")).alias("id"),
         pick("date", "ts").alias("date"),
         int_or_zero(column_or_null(df, "likeCount")).alias("likeCount"),
         int_or_zero(column_or_null(df, "retweetCount")).alias("retweetCount"),
         pick("source_hashtag", "hashtags").alias("source_hashtag"),
-        strip(pick("content", "text")).alias("content"),
+        strip(text).alias("content"),
         *[c for c in df.columns if c.startswith("_")],
     )
-    return out.filter(F.col("content") != "") if drop_empty else out
-
 
 def text_rows(df: DataFrame) -> DataFrame:
     """``id``, ``date`` and ``content`` of posts, for scoring."""

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from crowdtide.fixed_values import EMBED_BATCH, HASH_WIDTH
 from crowdtide.functions.text import terms
 from crowdtide.operators.skew import HOT_ROWS, HOT_SHARE, checked_join, heavy_keys
+from crowdtide.session import cut_lineage
 
 
 def hashing_tf(df: DataFrame, text: str, width: int = HASH_WIDTH, name: str = "tf") -> DataFrame:
@@ -101,6 +102,8 @@ def tfidf(
     """
     scope = list(scope)
     key = [*scope, "term"]
+    # three passes follow; reading the counts back beats splitting texts three times
+    counts = cut_lineage(counts)
     frequency = document_frequency(counts, scope)
     if n_docs is None and scope:
         sizes = docs.groupBy(*scope).agg(F.count("*").alias("n_docs"))
@@ -108,7 +111,9 @@ def tfidf(
         n_docs = F.col("n_docs")
     elif n_docs is None:
         n_docs = docs.agg(F.count("*")).scalar()
-    idf = frequency.withColumn("idf", smooth_idf(n_docs, F.col("df"))).drop("n_docs")
+    idf = cut_lineage(
+        frequency.withColumn("idf", smooth_idf(n_docs, F.col("df"))).drop("n_docs")
+    )
 
     common = heavy_keys(idf, "df", share, min_rows)
     placed_here = counts.join(F.broadcast(common), key)

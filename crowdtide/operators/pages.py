@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from crowdtide.fixed_values import BODY_MARK, PERMALINK_BASE, PERMALINK_MARK
+from crowdtide.fixed_values import BODY_MARK, COUNT_COLUMNS, COUNT_OF_KIND, PERMALINK_BASE, PERMALINK_MARK
 from crowdtide.functions import extract
 from crowdtide.functions.text import single_line, strip
 from crowdtide.functions.times import post_iso, time_or_now
@@ -85,20 +85,19 @@ def page_records(
         text,
     )
     posted = F.nullif(F.regexp_extract(article, TIME, 1), F.lit(""))
-    counts = extract.label_counts(F.col("_labels"), text)
     tag = source_hashtag if source_hashtag is not None else F.lit("")
     body = F.col("_content")
-    return found.withColumn("_content", content).select(
+    counted = extract.with_label_counts(
+        found.withColumn("_content", content), F.col("_labels"), text, COUNT_OF_KIND
+    )
+    return counted.select(
         *kept,
         "article_no",
         extract.pseudo_key(F.col("_url"), text).alias("id"),
         F.coalesce(extract.author_handle(text, hrefs), F.lit("")).alias("username"),
         F.coalesce(posted, post_iso(time_or_now(F.lit(None), now))).alias("date"),
         single_line(body).alias("content"),
-        counts["reply"].alias("replyCount"),
-        counts["retweet"].alias("retweetCount"),
-        counts["like"].alias("likeCount"),
-        counts["quote"].alias("quoteCount"),
+        *COUNT_COLUMNS,
         extract.joined(extract.mention_list(body)).alias("mentions"),
         extract.joined(extract.hashtag_list(body)).alias("hashtags"),
         F.coalesce("_url", F.lit("")).alias("url"),

@@ -16,7 +16,7 @@ from crowdtide.operators import clean, dedupe, features as fx, merge, pages as p
 from crowdtide.operators import ranking, scoring, summary, windows
 from crowdtide.plans.clean_job import new_posts
 from crowdtide.plans.signal_job import trade_signals
-from crowdtide.session import ensure_checkpoint_dir, use_utc
+from crowdtide.session import ensure_checkpoint_dir, spread, use_utc
 from crowdtide.streaming.dedupe_stream import start_clean_stream
 from crowdtide.streaming.signal_stream import stream_signals
 
@@ -45,13 +45,17 @@ def rounded(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
+def documents(spark, sf_dir) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents"), "doc_id")
+
+
 def events(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 def document_posts(spark, sf_dir) -> DataFrame:
     """Documents in the raw post columns."""
-    return table(spark, sf_dir, "documents").select(
+    return documents(spark, sf_dir).select(
         F.col("doc_id").alias("row_pos"),
         F.col("doc_id").cast("string").alias("id"),
         F.concat(F.lit("  "), "source", F.lit("\t")).alias("username"),
@@ -78,7 +82,7 @@ def earlier_hashes(spark, sf_dir) -> DataFrame:
 
 
 def document_texts(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(
+    return documents(spark, sf_dir).select(
         F.col("doc_id").cast("string").alias("id"),
         F.lit(None).cast("timestamp").alias("date"),
         tx.strip(F.col("text")).alias("content"),
@@ -260,14 +264,16 @@ def feature_meta(spark, sf_dir):
 
 
 def lexical_score(spark, sf_dir):
-    text = F.col("text")
+    tokens = F.col("_words")
     return rounded(
-        table(spark, sf_dir, "documents").select(
+        documents(spark, sf_dir)
+        .select("doc_id", "text", tx.words(F.col("text")).alias("_words"))
+        .select(
             "doc_id",
-            F.size(tx.words(text)).alias("words"),
-            tx.lexicon_hits(text, POSITIVE).alias("positive"),
-            tx.lexicon_hits(text, NEGATIVE).alias("negative"),
-            tx.lexical_score(text, POSITIVE, NEGATIVE).alias("score"),
+            F.size(tokens).alias("words"),
+            tx.lexicon_hits(tokens, POSITIVE).alias("positive"),
+            tx.lexicon_hits(tokens, NEGATIVE).alias("negative"),
+            tx.lexical_score(F.col("text"), POSITIVE, NEGATIVE).alias("score"),
         )
     )
 
@@ -278,27 +284,27 @@ def _tfidf(docs: DataFrame, scope=(), n_docs=None) -> DataFrame:
 
 
 def tfidf_corpus(spark, sf_dir):
-    return _tfidf(table(spark, sf_dir, "documents"))
+    return _tfidf(documents(spark, sf_dir))
 
 
 def tfidf_chunk(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = documents(spark, sf_dir).select("doc_id", "text")
     sizes = ranking.chunk_rows(docs, "chunk_id")
     return _tfidf(ranking.chunk_numbers(docs, "doc_id"), ["chunk_id"], sizes)
 
 
 def tfidf_source(spark, sf_dir):
     """The source stands for the file a post came in."""
-    return _tfidf(table(spark, sf_dir, "documents"), ["source"])
+    return _tfidf(documents(spark, sf_dir), ["source"])
 
 
 def document_frequency(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs = documents(spark, sf_dir)
     return fx.document_frequency(fx.term_counts(docs, "doc_id", "text"))
 
 
 def sparse_roundtrip(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs = documents(spark, sf_dir)
     bucket = F.pmod(
         F.conv(F.substring(F.md5(F.col("term").cast("binary")), 1, 8), 16, 10).cast("bigint"),
         F.lit(2**18),
@@ -314,13 +320,13 @@ def sparse_roundtrip(spark, sf_dir):
 
 def hashing_tf(spark, sf_dir):
     """Bucket numbers are Spark's own; the counts in a row add up to its terms."""
-    rows = fx.sparse_arrays(fx.hashing_tf(table(spark, sf_dir, "documents"), "text"), "tf")
+    rows = fx.sparse_arrays(fx.hashing_tf(documents(spark, sf_dir), "text"), "tf")
     total = F.aggregate("tf_values", F.lit(0.0), lambda a, x: a + x.cast("double"))
     return rows.select("doc_id", "tf_width", total.cast("bigint").alias("terms"))
 
 
 def hashed_tfidf(spark, sf_dir):
-    rows = fx.hashed_tfidf(table(spark, sf_dir, "documents"), "text")
+    rows = fx.hashed_tfidf(documents(spark, sf_dir), "text")
     arrays = fx.sparse_arrays(rows, "tfidf", "tfidf")
     return rounded(
         arrays.select("doc_id", F.round(vectors.norm(F.col("tfidf_values")), 4).alias("length"))
@@ -329,7 +335,7 @@ def hashed_tfidf(spark, sf_dir):
 
 def embed_documents(spark, sf_dir):
     rows = fx.embed(
-        table(spark, sf_dir, "documents"), "text", fx.hash_projection_encoder(64)
+        documents(spark, sf_dir), "text", fx.hash_projection_encoder(64)
     )
     return rounded(
         rows.select(
@@ -370,14 +376,14 @@ def feature_text_join(spark, sf_dir):
 
 def mentions_hashtags(spark, sf_dir):
     """Texts with some plain words turned into tags and names."""
-    documents = table(spark, sf_dir, "documents").select(
+    texts = documents(spark, sf_dir).select(
         F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("id"), "text"
     )
     turns = table(spark, sf_dir, "conversations").select(
         F.concat(F.lit("c"), F.concat_ws("-", "conv_id", "turn")).alias("id"), "text"
     )
     marked = F.replace(F.replace("text", F.lit(" the "), F.lit(" #The")), F.lit(" de "), F.lit(" @de_"))
-    return documents.union(turns).withColumn("text", marked).select(
+    return texts.union(turns).withColumn("text", marked).select(
         "id",
         extract.joined(extract.mention_list(F.col("text"))).alias("mentions"),
         extract.joined(extract.hashtag_list(F.col("text"))).alias("hashtags"),
@@ -386,7 +392,7 @@ def mentions_hashtags(spark, sf_dir):
 
 def page_records(spark, sf_dir):
     return pg.page_records(
-        table(spark, sf_dir, "pages").drop("url"),
+        spread(table(spark, sf_dir, "pages").drop("url"), "page_id"),
         source_hashtag=F.lit("#market"),
         links_of_page=True,
         now=NOW,
@@ -411,10 +417,15 @@ def label_counts(spark, sf_dir):
     text = F.concat(
         number("l_partkey"), F.lit(" Replies and 2,"), F.lpad(number("l_suppkey"), 3, "0"), F.lit(" quotes")
     )
-    counts = extract.label_counts(F.filter(labels, lambda x: x.isNotNull()), text)
-    return table(spark, sf_dir, "lineitem").select(
+    counted = extract.with_label_counts(
+        spread(table(spark, sf_dir, "lineitem")),
+        F.filter(labels, lambda x: x.isNotNull()),
+        text,
+        {kind: f"{kind}_count" for kind in ("like", "retweet", "reply", "quote")},
+    )
+    return counted.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-        *[counts[kind].alias(f"{kind}_count") for kind in counts],
+        "like_count", "retweet_count", "reply_count", "quote_count",
     )
 
 

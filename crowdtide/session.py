@@ -51,3 +51,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Use all cores on a small input that comes in fewer pieces than there are cores.
+
+    A file of one row group is one task, however slow the work on its rows. An
+    input with enough pieces, which is any large one, is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores, *keys)
+    return df
