@@ -51,9 +51,15 @@ def nfc(text: Column) -> Column:
 def _nfc_arrow() -> Callable[[Column], Column]:
     @F.arrow_udf("string")
     def normalize(texts):
-        import pyarrow.compute as pc
+        import unicodedata
 
-        return pc.utf8_normalize(texts, "NFC")
+        import pyarrow as pa
+
+        # Arrow's own normalisation leaves decomposed accents as they are
+        return pa.array(
+            [t if t is None else unicodedata.normalize("NFC", t) for t in texts.to_pylist()],
+            pa.string(),
+        )
 
     return normalize
 

@@ -70,7 +70,7 @@ def bucket_counts(
     return (
         hashing_tf(docs, text, width, "_tf")
         .select(*scope, doc, F.explode(F.arrays_zip(hashed["indices"], hashed["values"])).alias("x"))
-        .select(*scope, doc, F.col("x.0").alias("term"), F.col("x.1").cast("bigint").alias("tf"))
+        .select(*scope, doc, F.col("x.indices").alias("term"), F.col("x.values").cast("bigint").alias("tf"))
     )
 
 
