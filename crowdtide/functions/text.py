@@ -127,12 +127,12 @@ def lexicon_hits(tokens: Column, lexicon: Sequence[str]) -> Column:
     return F.size(F.filter(tokens, lambda token: F.lower(token).isin(listed)))
 
 
-def lexical_score(
-    text: Column,
+def score_words(
+    tokens: Column,
     positive: Sequence[str] = POSITIVE_WORDS,
     negative: Sequence[str] = NEGATIVE_WORDS,
 ) -> Column:
-    """Hit balance over the root of the word count; 0 for missing or blank text."""
+    """Positive less negative words, over the root of the number of words."""
     good, bad = _spellings(positive), _spellings(negative)
 
     def read(state, token):
@@ -144,4 +144,13 @@ def lexical_score(
         return state["balance"] / F.sqrt(F.greatest(state["words"], F.lit(1)).cast("double"))
 
     none = F.struct(F.lit(0).alias("words"), F.lit(0).alias("balance"))
-    return F.aggregate(words(F.coalesce(text, F.lit(""))), none, read, finish)
+    return F.aggregate(tokens, none, read, finish)
+
+
+def lexical_score(
+    text: Column,
+    positive: Sequence[str] = POSITIVE_WORDS,
+    negative: Sequence[str] = NEGATIVE_WORDS,
+) -> Column:
+    """Polarity of a text, in one pass over its words; 0 for missing or blank text."""
+    return score_words(words(F.coalesce(text, F.lit(""))), positive, negative)

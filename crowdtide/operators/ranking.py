@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from crowdtide.fixed_values import BATCH_ROWS, CHUNK_ROWS, GLOBAL_CAP, ROWS_PER_VISIT
 
 CAP_SALTS = 64
+MAX_SLICES = 10_000
+SAMPLE_PER_SLICE = 2_000
 
 
 def with_row_index(
@@ -30,12 +32,11 @@ def with_row_index(
     if slice_by is not None:
         sliced = df.withColumn("_slice", slice_by)
     else:
-        slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        marks = [i / slices for i in range(1, slices)]
-        cuts = df.agg(
-            F.percentile_approx(order_by, marks or [0.5], slices * 50).alias("cuts")
-        ).first()["cuts"]
-        edges = [float("-inf"), *sorted({float(c) for c in cuts or [0]}), float("inf")]
+        slices = slices or min(
+            int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_SLICES
+        )
+        cuts = _cut_points(df.select(order_by), order_by, slices)
+        edges = [float("-inf"), *sorted({float(c) for c in cuts}), float("inf")]
         sliced = Bucketizer(
             splits=edges, inputCol=order_by, outputCol="_slice", handleInvalid="keep"
         ).transform(df)
@@ -53,6 +54,48 @@ def with_row_index(
     )
 
 
+def _cut_points(values: DataFrame, name: str, slices: int) -> list:
+    """Rough quantiles, from a sample: the numbering is exact wherever the cuts fall."""
+    wanted, total = slices * SAMPLE_PER_SLICE, values.count()
+    if total > wanted:
+        values = values.sample(wanted / total, seed=0)
+    marks = [i / slices for i in range(1, slices)] or [0.5]
+    return values.agg(F.percentile_approx(name, marks).alias("cuts")).first()["cuts"] or [0]
+
+
+def with_read_index(df: DataFrame, name: str = "row_index") -> DataFrame:
+    """Number rows 0, 1, 2, ... in the order they are read, without moving them.
+
+    A row's place in its task is known where it stands; what is added is the size
+    of the tasks before, one number per input partition. ``df`` is read twice and
+    has to come in the same pieces both times, as files and checkpoints do.
+    """
+    placed = df.withColumn("_at", F.monotonically_increasing_id()).withColumn(
+        "_piece", F.shiftright("_at", 33)
+    )
+    before = Window.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        placed.groupBy("_piece")
+        .agg(F.count("*").alias("_size"))
+        .select("_piece", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+    )
+    place = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    return (
+        placed.join(F.broadcast(offsets), "_piece")
+        .withColumn(name, F.col("_offset") + place)
+        .drop("_at", "_piece", "_offset")
+    )
+
+
+def read_chunks(df: DataFrame, size: int = CHUNK_ROWS, name: str = "chunk_id") -> DataFrame:
+    """Number consecutive groups of ``size`` rows from 1, in the order they are read."""
+    return (
+        with_read_index(df)
+        .withColumn(name, F.floor(F.col("row_index") / size) + 1)
+        .drop("row_index")
+    )
+
+
 def chunk_numbers(
     df: DataFrame,
     order_by: str,

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 HOT_SHARE = 10_000
 HOT_ROWS = 1_000_000
-SALTS = 32
+SALTS = 4096
 SMALL_ROWS = 100_000
 
 
@@ -34,10 +34,36 @@ def checked_join(
     return skew_join(left, right, on, how)
 
 
-def _salt(df: DataFrame, salts: int) -> Column:
+def _salt(df: DataFrame, salts: Column) -> Column:
     # Depends on the row and on where it was read, not on the order of rows, so
     # a re-run task gives the same salts; equal copies differ by partition.
-    return F.pmod(F.xxhash64(F.spark_partition_id(), *df.columns), F.lit(salts)).cast("int")
+    columns = [c for c in df.columns if c not in ("_rows", "_columns")]
+    return F.pmod(F.xxhash64(F.spark_partition_id(), *columns), salts).cast("int")
+
+
+def _heavy_cells(left: DataFrame, right: DataFrame, on, share: int, min_rows: int) -> DataFrame:
+    """Keys heavy on either side, into how many cells each side's rows are split,
+    and whether the right side has the key. At most ``2 * share`` rows."""
+    counts = {
+        name: side.groupBy(*on).agg(F.count("*").alias(name))
+        for name, side in (("_left", left), ("_right", right))
+    }
+    keys = [heavy_keys(c, name, share, min_rows).select(*on) for name, c in counts.items()]
+    heavy = keys[0].union(keys[1]).distinct()
+    for name, side in counts.items():
+        of_heavy = side.join(F.broadcast(heavy), on, "left_semi")
+        heavy = heavy.join(F.broadcast(of_heavy), on, "left")
+
+    def cells(name):
+        wanted = F.ceil(F.coalesce(name, F.lit(0)) / F.lit(max(min_rows, 1)))
+        return F.least(F.greatest(wanted, F.lit(1)), F.lit(SALTS)).cast("int")
+
+    return heavy.select(
+        *on,
+        cells("_left").alias("_rows"),
+        cells("_right").alias("_columns"),
+        F.col("_right").isNotNull().alias("_on_right"),
+    )
 
 
 def skew_join(
@@ -47,14 +73,14 @@ def skew_join(
     how: str = "inner",
     share: int = HOT_SHARE,
     min_rows: int = HOT_ROWS,
-    salts: int = SALTS,
 ) -> DataFrame:
     """Join by equality on ``on``: ``inner``, ``left``, ``left_semi`` or ``left_anti``.
 
-    Keys that are heavy on either side are split over a ``salts`` x ``salts``
-    grid, each pair of rows meeting in exactly one cell. For such keys it is
-    known whether the right side has them, so semi and anti need no join, and
-    the left outer join is an inner one. All other keys take a plain join.
+    A key that is heavy on a side has that side's rows dealt into cells of about
+    ``min_rows``, and the other side's rows copied to each: a grid, in which each
+    pair of rows meets in exactly one cell. For such keys it is known whether the
+    right side has them, so semi and anti need no join, and the left outer join
+    is an inner one. All other keys take a plain join.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type: {how}")
@@ -64,49 +90,33 @@ def skew_join(
         has_key = has_key & F.col(name).isNotNull()
     keyed, right = left.filter(has_key), right.filter(has_key)
 
-    heavy = (
-        heavy_keys(keyed.groupBy(*on).agg(F.count("*").alias("_rows")), "_rows", share, min_rows)
-        .select(*on)
-        .union(
-            heavy_keys(
-                right.groupBy(*on).agg(F.count("*").alias("_rows")), "_rows", share, min_rows
-            ).select(*on)
-        )
-        .distinct()
-    )
-    on_right = (
-        right.select(*on).join(F.broadcast(heavy), on, "left_semi").distinct()
-        .withColumn("_on_right", F.lit(True))
-    )
-    heavy = heavy.join(F.broadcast(on_right), on, "left").select(
-        *on, F.coalesce("_on_right", F.lit(False)).alias("_on_right")
-    )
+    heavy = _heavy_cells(keyed, right, on, share, min_rows)
     flagged = keyed.join(F.broadcast(heavy), on, "left")
     heavy_left = flagged.filter("_on_right is not null")
-    cold_left = flagged.filter("_on_right is null").drop("_on_right")
+    cold_left = flagged.filter("_on_right is null").select(*left.columns)
     cold_right = right.join(F.broadcast(heavy), on, "left_anti")
 
     parts = [cold_left.join(cold_right, on, how)]
     if how == "left_semi":
-        parts.append(heavy_left.filter("_on_right").drop("_on_right"))
+        parts.append(heavy_left.filter("_on_right").select(*left.columns))
     elif how == "left_anti":
-        parts.append(heavy_left.filter("not _on_right").drop("_on_right"))
+        parts.append(heavy_left.filter("not _on_right").select(*left.columns))
     else:
-        cells = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-        heavy_right = right.join(F.broadcast(heavy.select(*on)), on, "left_semi")
-        parts.append(
+        dealt_left = (
             heavy_left.filter("_on_right")
-            .drop("_on_right")
-            .withColumn("_row", _salt(left, salts))
-            .withColumn("_column", cells)
-            .join(
-                heavy_right.withColumn("_column", _salt(right, salts)).withColumn("_row", cells),
-                [*on, "_row", "_column"],
-            )
-            .drop("_row", "_column")
+            .withColumn("_row", _salt(left, F.col("_rows")))
+            .withColumn("_column", F.explode(F.sequence(F.lit(0), F.col("_columns") - 1)))
+            .select(*left.columns, "_row", "_column")
+        )
+        dealt_right = (
+            right.join(F.broadcast(heavy), on)
+            .withColumn("_column", _salt(right, F.col("_columns")))
+            .withColumn("_row", F.explode(F.sequence(F.lit(0), F.col("_rows") - 1)))
+            .select(*right.columns, "_row", "_column")
         )
+        parts.append(dealt_left.join(dealt_right, [*on, "_row", "_column"]).drop("_row", "_column"))
         if how == "left":
-            parts.append(heavy_left.filter("not _on_right").drop("_on_right"))
+            parts.append(heavy_left.filter("not _on_right").select(*left.columns))
     if how in ("left", "left_anti"):
         parts.append(left.filter(~has_key))
     out = parts[0]

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from crowdtide.fixed_values import BATCH_ROWS, POST_COLUMNS
 from crowdtide.functions.text import mojibake_repair
 from crowdtide.operators.clean import candidates, clean_posts
-from crowdtide.operators.dedupe import dedupe, number_batches
+from crowdtide.operators.dedupe import dedupe, drop_seen, number_batches, unseen
+from crowdtide.operators.ranking import read_chunks
 from crowdtide.operators.summary import watch
 from crowdtide.session import cut_lineage, use_utc
 from crowdtide.sources.read import read_raw_posts, read_seen
@@ -27,7 +28,7 @@ def new_posts(
 ) -> DataFrame:
     """Clean, first-seen posts of ``raw``. Only text and hash are computed before
     rows are dropped; the other columns are parsed for survivors."""
-    if intra_batch == "keep":
+    if intra_batch == "keep" and "batch_id" not in raw.columns:
         raw = number_batches(raw, order_by, batch_rows)
     fresh = dedupe(candidates(raw, repair=repair), seen, [order_by], intra_batch)
     return clean_posts(fresh, now)
@@ -52,12 +53,15 @@ def run_clean_job(
         "row_pos", F.monotonically_increasing_id()
     )
     raw, read = watch(raw, "clean_read", rows_read=F.count("*"))
+    if intra_batch == "keep":
+        raw = read_chunks(raw, batch_rows, "batch_id")
     seen = read_seen(spark, seen_root)
-    posts = new_posts(raw, seen, "row_pos", intra_batch, batch_rows, now, mojibake_repair())
-    # three writers need the same rows
-    posts, kept = watch(posts, "clean_kept", cleaned=F.count("*"))
-    posts = cut_lineage(posts)
-    cleaned = kept.get["cleaned"]
+    # read by the check against the seen table and by three writers
+    posts = cut_lineage(
+        new_posts(raw, None, "row_pos", intra_batch, batch_rows, now, mojibake_repair())
+    )
+    posts = drop_seen(posts, seen) if intra_batch == "drop" else unseen(posts, seen)
+    cleaned = posts.count()
     if cleaned:
         write_stored_posts(posts, parquet_root, compression)
         write_jsonl(posts.select(*POST_COLUMNS), jsonl_root)

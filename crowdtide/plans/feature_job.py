@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from crowdtide.fixed_values import CHUNK_ROWS, EMBED_BATCH, HASH_WIDTH
 from crowdtide.operators import features as fx
 from crowdtide.operators.clean import feature_meta
-from crowdtide.operators.ranking import chunk_numbers, chunk_rows
+from crowdtide.operators.ranking import chunk_rows, read_chunks
 from crowdtide.operators.summary import watch
 from crowdtide.schemas import FEATURE
 from crowdtide.session import cut_lineage, use_utc
@@ -32,7 +32,7 @@ def feature_rows(
     """Meta, embedding and sparse TF-IDF of posts.
 
     ``scope`` says over what document frequencies are taken: all posts (rows
-    then never move), ``'chunk'`` (needs ``_pos``, the row order) or ``'file'``
+    then never move), ``'chunk'`` (of rows as read; needs ``_pos``, unique) or ``'file'``
     (needs ``_pos`` and ``_file``).
     """
     rows = feature_meta(posts, drop_empty, aliases)
@@ -50,11 +50,10 @@ def feature_rows(
 
 
 def _scoped_tfidf(rows: DataFrame, scope: str, size: int, width: int) -> DataFrame:
+    rows = cut_lineage(rows)  # positions have to be the same in every use below
+    scope_col = "_file"
     if scope == "chunk":
-        rows, scope_col = chunk_numbers(rows, "_pos", size), "chunk_id"
-    else:
-        scope_col = "_file"
-    rows = cut_lineage(rows)  # positions have to be the same in both uses below
+        rows, scope_col = read_chunks(rows, size), "chunk_id"
     n_docs = chunk_rows(rows, "chunk_id", size) if scope == "chunk" else None
     counts = fx.bucket_counts(rows, "_pos", "content", [scope_col], width)
     weights = fx.tfidf(rows, "_pos", counts, [scope_col], n_docs)

@@ -267,13 +267,13 @@ def lexical_score(spark, sf_dir):
     tokens = F.col("_words")
     return rounded(
         documents(spark, sf_dir)
-        .select("doc_id", "text", tx.words(F.col("text")).alias("_words"))
+        .select("doc_id", tx.words(F.col("text")).alias("_words"))
         .select(
             "doc_id",
             F.size(tokens).alias("words"),
             tx.lexicon_hits(tokens, POSITIVE).alias("positive"),
             tx.lexicon_hits(tokens, NEGATIVE).alias("negative"),
-            tx.lexical_score(F.col("text"), POSITIVE, NEGATIVE).alias("score"),
+            tx.score_words(tokens, POSITIVE, NEGATIVE).alias("score"),
         )
     )
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from crowdtide.operators.clean import candidates, clean_posts
-from crowdtide.operators.dedupe import HASH, dedupe
+from crowdtide.operators.dedupe import HASH, dedupe, drop_seen
 from crowdtide.schemas import SEEN_HASH
 from crowdtide.session import cut_lineage
 from crowdtide.sources.read import path_exists
@@ -41,7 +41,9 @@ def start_clean_stream(
             seen = spark.read.schema(SEEN_HASH.add("batch_id", "long")).parquet(seen_root)
             seen = seen.filter(F.col("batch_id") < number)
         rows = candidates(batch.withColumn("row_pos", F.monotonically_increasing_id()))
-        fresh = cut_lineage(clean_posts(dedupe(rows, seen), now))
+        fresh = cut_lineage(clean_posts(dedupe(rows), now))
+        if seen is not None:
+            fresh = drop_seen(fresh, seen)
         (
             fresh.drop(HASH)
             .hint("rebalance", "event_date")

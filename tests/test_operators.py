@@ -34,13 +34,19 @@ def skewed_sides(spark):
 @pytest.mark.parametrize("heavy", [True, False])
 def test_skew_join_equals_a_join(spark, how, heavy):
     left, right = skewed_sides(spark)
-    got = skew.skew_join(left, right, ["k"], how, share=10 if heavy else 10**6, min_rows=5 if heavy else 10**9, salts=4)
+    got = skew.skew_join(left, right, ["k"], how, share=10 if heavy else 10**6, min_rows=5 if heavy else 10**9)
     want = left.join(right, "k", how)
     assert got.columns == want.columns
     as_text = lambda df: sorted(map(str, df.collect()))
     assert as_text(got) == as_text(want)
 
 
+def test_a_row_is_copied_only_for_a_heavy_partner(spark):
+    left, right = skewed_sides(spark)
+    cells = skew._heavy_cells(left.dropna(), right.dropna(), ["k"], 10, 15)
+    assert rows(cells) == [("hot", 4, 2, True), ("left hot", 3, 1, False), ("right hot", 1, 3, True)]
+
+
 def test_heavy_keys_are_bounded(spark):
     counts = spark.createDataFrame([(i, 1) for i in range(50)] + [(99, 50)], "k int, n long")
     assert rows(skew.heavy_keys(counts, "n", share=3, min_rows=0)) == [(99, 50)]
@@ -69,6 +75,12 @@ def test_row_index_breaks_ties(spark):
     assert [r[1] for r in got] == ["z", "a", "b", "y"]
 
 
+def test_index_in_read_order(spark):
+    df = spark.range(100, numPartitions=7).filter("id % 3 > 0").withColumn("text", F.col("id").cast("string"))
+    got = rows(ranking.with_read_index(df).select("id", "row_index"))
+    assert got == [(i, n) for n, i in enumerate(i for i in range(100) if i % 3)]
+
+
 def test_chunks(spark):
     df = spark.range(1203)
     numbered = ranking.chunk_numbers(df, "id").withColumn("n", ranking.chunk_rows(df))
@@ -139,6 +151,9 @@ def test_dedupe_against_seen(spark):
     assert dedupe.dedupe(cand, marked).isEmpty()  # a second run finds nothing new
     assert dedupe.mark_seen(marked, cand, DAY).isEmpty()
     other = marked.filter(F.col("content_hash") == cand.filter("content = 'other'").first()["content_hash"])
+    unique = dedupe.dedupe(cand)
+    for small in (0, 100):
+        assert rows(dedupe.drop_seen(unique, other, small).select("row_pos")) == [(0,)]
     old, new = dedupe.already_seen(cand, other), dedupe.unseen(cand, other)
     assert old.count() == 1 and rows(new.select("row_pos")) == [(0,), (1,), (4,)]
 
