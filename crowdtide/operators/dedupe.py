@@ -9,14 +9,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from crowdtide.fixed_values import BATCH_ROWS
 from crowdtide.operators.ranking import batch_numbers, first_per_key
-from crowdtide.operators.skew import SMALL_ROWS, skew_join
+from crowdtide.operators.skew import SMALL_ROWS, checked_join
 
 HASH = "content_hash"
 
 
 def unseen(rows: DataFrame, seen: DataFrame) -> DataFrame:
     """Rows whose hash is not in the seen table. Rows may repeat hashes."""
-    return skew_join(rows, seen.select(HASH), [HASH], "left_anti")
+    return checked_join(rows, seen.select(HASH).distinct(), [HASH], "left_anti")
 
 
 def already_seen(hashes: DataFrame, seen: DataFrame) -> DataFrame:

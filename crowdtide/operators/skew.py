@@ -28,7 +28,10 @@ def heavy_keys(
 def checked_join(
     left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner", rows: int = SMALL_ROWS
 ) -> DataFrame:
-    """Broadcast ``right`` once a count has shown it to be small; else ``skew_join``."""
+    """Broadcast ``right`` once a count has shown it to be small; else ``skew_join``.
+
+    For sides of a few narrow columns, where rows bound bytes; not for texts.
+    """
     if right.limit(rows + 1).count() <= rows:
         return left.join(F.broadcast(right), list(on), how)
     return skew_join(left, right, on, how)

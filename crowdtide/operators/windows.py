@@ -15,7 +15,7 @@ from crowdtide.fixed_values import (
 from crowdtide.functions import stats
 from crowdtide.functions.times import DAY_MICROS, frequency_micros, window_floor, window_iso
 from crowdtide.operators.ranking import with_row_index
-from crowdtide.operators.skew import skew_join
+from crowdtide.operators.skew import checked_join
 
 FILL_BLOCK = 10_000
 
@@ -117,7 +117,7 @@ def lookup_measures(
 ) -> DataFrame:
     """Attach separately computed measures to windows, 0 where there is none."""
     names = [c for c in measures.columns if c != key]
-    return skew_join(windows, measures, [key], "left").fillna(0, subset=names)
+    return checked_join(windows, measures, [key], "left").fillna(0, subset=names)
 
 
 def thin_out(windows: DataFrame, points: int = PLOT_POINTS) -> DataFrame:
