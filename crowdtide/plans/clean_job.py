@@ -60,10 +60,15 @@ def run_clean_job(
     posts = cut_lineage(
         new_posts(raw, None, "row_pos", intra_batch, batch_rows, now, mojibake_repair())
     )
+    candidates_left = posts.count()
     posts = drop_seen(posts, seen) if intra_batch == "drop" else unseen(posts, seen)
     cleaned = posts.count()
     if cleaned:
         write_stored_posts(posts, parquet_root, compression)
         write_jsonl(posts.select(*POST_COLUMNS), jsonl_root)
         append_seen(seen, posts, seen_root, now)
-    return {"rows_read": read.get["rows_read"], "cleaned": cleaned}
+    return {
+        "rows_read": read.get["rows_read"],
+        "already_seen": candidates_left - cleaned,
+        "cleaned": cleaned,
+    }

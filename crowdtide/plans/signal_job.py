@@ -27,6 +27,7 @@ from crowdtide.operators.scoring import (
 )
 from crowdtide.operators.summary import run_summary
 from crowdtide.operators.windows import plot_series, window_signals
+from crowdtide.schemas import TEXT_POST
 from crowdtide.session import cut_lineage, use_utc
 from crowdtide.sources.read import read_features, read_jsonl
 from crowdtide.sources.write import write_csv, write_signals_json
@@ -97,7 +98,7 @@ def run_signal_job(
     use_utc(spark)
     now = now or datetime.now(timezone.utc)
     features = read_features(spark, feature_root).withColumn("date", parse_time(F.col("date")))
-    texts = text_rows(read_jsonl(spark, jsonl_path))
+    texts = text_rows(read_jsonl(spark, jsonl_path, TEXT_POST))
     scored = cut_lineage(
         scored_posts(features, texts, model, now=now, dedupe_keys=dedupe_keys)
         .select("ts", "emb_score", "lex_score")

@@ -27,6 +27,11 @@ JSON_POST = T.StructType(
     RAW_POST.fields + [T.StructField("text", T.StringType()), T.StructField("ts", T.StringType())]
 )
 
+# What scoring reads of a post.
+TEXT_POST = T.StructType(
+    [T.StructField(name, T.StringType()) for name in ("id", "date", "ts", "content", "text")]
+)
+
 FEATURE = T.StructType(
     [
         T.StructField("id", T.StringType()),

@@ -11,6 +11,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # checkpoints go when nothing refers to them any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # lets "row_number() <= cap" trim each map task before the shuffle
     "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
 }

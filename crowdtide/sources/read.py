@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from crowdtide.fixed_values import INPUT_FILES, KEYWORDS
+from crowdtide.functions.text import strip
+from crowdtide.operators.scoring import row_ids
 from crowdtide.schemas import FEATURE, JSON_POST, RAW_POST, SEEN_HASH, STORED_POST
 
 CORRUPT = "_corrupt_record"
@@ -23,20 +25,21 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_raw_posts(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
-    """Post CSV with header, every value a string; a missing file gives no rows.
+    """Post CSV, every value a string under its header; a missing file gives no rows.
 
     Quoted line ends need ``multiline``, which makes a file the unit of work:
     keep files small then, or turn it off for line-per-record files, which split.
     """
     if not path_exists(spark, path):
         return spark.createDataFrame([], RAW_POST)
-    return (
-        spark.read.schema(RAW_POST)
-        .option("header", True)
+    rows = (
+        spark.read.option("header", True)
         .option("multiLine", multiline)
         .option("escape", '"')
+        .option("enforceSchema", False)  # files whose headers differ are an error
         .csv(path)
     )
+    return rows if rows.columns else spark.createDataFrame([], RAW_POST)
 
 
 def read_csv_typed(spark: SparkSession, path: str) -> DataFrame:
@@ -51,7 +54,7 @@ def parse_json_lines(
     ``_corrupt_record``. Blank lines go."""
     with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    text = F.trim("value")
+    text = strip(F.col("value"))
     # an array line would come back as a row of its first object
     parsed = F.from_json(F.when(text.startswith("{"), text), with_corrupt, options)
     return (
@@ -93,14 +96,23 @@ def read_stored_posts(
 
 
 def read_features(spark: SparkSession, root: str) -> DataFrame:
-    """Feature rows. A table without ids and embeddings is refused."""
+    """Feature rows; one without id is named after its file and place.
+
+    A table without ids and embeddings is refused.
+    """
     table = spark.read.parquet(root)
     missing = {"id", "embedding"} - set(table.columns)
     if missing:
         raise ValueError(f"{root} lacks the feature columns {sorted(missing)}")
     known = [f for f in FEATURE.fields if f.name in table.columns]
     extra = [c for c in table.columns if c not in FEATURE.names]
-    return table.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in known], *extra)
+    typed = table.select(
+        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in known],
+        *extra,
+        F.col("_metadata.file_name").alias("_file"),
+        F.monotonically_increasing_id().alias("_place"),
+    )
+    return row_ids(typed, F.col("_file"), F.col("_place")).drop("_file", "_place")
 
 
 def read_seen(spark: SparkSession, root: str) -> DataFrame:

@@ -47,7 +47,7 @@ def json_rows(folder):
 
 
 def test_clean_job(spark, csv_file, tmp_path):
-    assert clean(spark, csv_file, tmp_path) == {"rows_read": 5, "cleaned": 3}
+    assert clean(spark, csv_file, tmp_path) == {"rows_read": 5, "already_seen": 0, "cleaned": 3}
     posts = read.read_stored_posts(spark, f"{tmp_path}/parquet")
     got = {r["id"]: r for r in posts.collect()}
     assert sorted(got) == ["1", "2", "5"]
@@ -59,7 +59,7 @@ def test_clean_job(spark, csv_file, tmp_path):
     assert any("हिन्दी" in line["content"] for line in lines)
     assert "हिन्दी" in "".join(p.read_text("utf-8") for p in (tmp_path / "jsonl").glob("*.json"))
     # nothing is new the second time
-    assert clean(spark, csv_file, tmp_path) == {"rows_read": 5, "cleaned": 0}
+    assert clean(spark, csv_file, tmp_path) == {"rows_read": 5, "already_seen": 3, "cleaned": 0}
     assert read.read_seen(spark, f"{tmp_path}/seen").count() == 3
 
 
@@ -73,7 +73,7 @@ def test_clean_job_with_batches_of_two(spark, csv_file, tmp_path):
 
 
 def test_clean_job_without_input(spark, tmp_path):
-    assert clean(spark, f"{tmp_path}/none.csv", tmp_path) == {"rows_read": 0, "cleaned": 0}
+    assert clean(spark, f"{tmp_path}/none.csv", tmp_path) == {"rows_read": 0, "already_seen": 0, "cleaned": 0}
 
 
 def test_csv_round_trip(spark, csv_file, tmp_path):
@@ -85,6 +85,16 @@ def test_csv_round_trip(spark, csv_file, tmp_path):
     assert read.read_csv_typed(spark, csv_file).schema["id"].dataType.simpleString() in ("int", "string")
 
 
+def test_csv_columns_go_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("text,id,ts\nhello there,9,2025-09-08\n")
+    assert clean(spark, f"{tmp_path}/a.csv", tmp_path)["cleaned"] == 1
+    row = read.read_stored_posts(spark, f"{tmp_path}/parquet").first()
+    assert (row["id"], row["content"], row["event_date"], row["likeCount"]) == ("9", "hello there", "2025-09-08", None)
+    (tmp_path / "b.csv").write_text("id,text,ts\n8,other,2025-09-08\n")
+    with pytest.raises(Exception, match="header"):
+        read.read_raw_posts(spark, f"{tmp_path}/*.csv").collect()
+
+
 def test_merge_job(spark, csv_file, tmp_path):
     clean(spark, csv_file, tmp_path)
     assert run_merge_job(spark, f"{tmp_path}/parquet", f"{tmp_path}/merged", single_file=True)
@@ -157,6 +167,13 @@ def test_feature_job(spark, jsonl, tmp_path, scope):
         assert [got[i]["chunk_id"] for i in ("7", "8", "10")] == [1, 1, 2]
 
 
+def test_features_without_id_stay_apart(spark, tmp_path):
+    data = [("a", [1.0]), ("", [2.0]), (None, [3.0])]
+    spark.createDataFrame(data, "id string, embedding array<float>").write.parquet(f"{tmp_path}/f")
+    ids = [r["id"] for r in read.read_features(spark, f"{tmp_path}/f").collect()]
+    assert len(set(ids)) == 3 and "a" in ids and sum(i.startswith("row_part-") for i in ids) == 2
+
+
 def test_feature_table_is_checked(spark, tmp_path):
     spark.range(2).write.parquet(f"{tmp_path}/x")
     with pytest.raises(ValueError, match="embedding"):
