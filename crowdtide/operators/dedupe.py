@@ -38,14 +38,19 @@ def drop_seen(rows: DataFrame, seen: DataFrame, small: int = SMALL_ROWS) -> Data
 
 
 def mark_seen(
-    seen: DataFrame, rows: DataFrame, now: datetime | Column | None = None
+    seen: DataFrame | None, rows: DataFrame, now: datetime | Column | None = None
 ) -> DataFrame:
-    """New rows of the seen table: hashes it lacks, once each, with the marking time."""
+    """New rows of the seen table: hashes it lacks, once each, with the marking time.
+
+    Without ``seen`` the rows are known to be unseen and are not checked again.
+    """
     if now is None:
         now = F.current_timestamp()
     stamp = now if isinstance(now, Column) else F.lit(now).cast("timestamp")
     new = rows.select(HASH).filter(F.col(HASH).isNotNull()).distinct()
-    return new.join(seen.select(HASH), HASH, "left_anti").withColumn("seen_at", stamp)
+    if seen is not None:
+        new = new.join(seen.select(HASH), HASH, "left_anti")
+    return new.withColumn("seen_at", stamp)
 
 
 def dedupe(

@@ -66,7 +66,7 @@ def run_clean_job(
     if cleaned:
         write_stored_posts(posts, parquet_root, compression)
         write_jsonl(posts.select(*POST_COLUMNS), jsonl_root)
-        append_seen(seen, posts, seen_root, now)
+        append_seen(posts, seen_root, now)
     return {
         "rows_read": read.get["rows_read"],
         "already_seen": candidates_left - cleaned,

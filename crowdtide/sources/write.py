@@ -81,6 +81,6 @@ def write_table_copy(df: DataFrame, path: str):
         df.write.mode("append").parquet(path)
 
 
-def append_seen(seen: DataFrame, rows: DataFrame, root: str, now=None):
-    """Add the hashes the seen table lacks."""
+def append_seen(rows: DataFrame, root: str, now=None, seen: DataFrame | None = None):
+    """Add the rows' hashes to the seen table; those in ``seen`` are left out."""
     mark_seen(seen, rows, now).write.mode("append").parquet(root)

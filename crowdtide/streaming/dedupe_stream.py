@@ -15,7 +15,11 @@ from crowdtide.sources.read import path_exists
 
 
 def recent_first(posts: DataFrame, ts: str, delay: str, key: str = HASH) -> DataFrame:
-    """The first post per hash within ``delay``; the state is bounded by it."""
+    """The first post per hash within ``delay``; the state is bounded by it.
+
+    The stateful operator cannot reduce before its shuffle: where one content may
+    fill a batch, ``start_clean_stream``, which can, is the better choice.
+    """
     return posts.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
 
 

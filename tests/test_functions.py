@@ -194,9 +194,11 @@ def test_zero_centroid_counts_as_zero(spark):
 
 def test_t_quantiles():
     table = stats.t_quantiles()
-    known = {1: math.tan(math.pi * 0.475), 2: 4.302652729911275, 5: 2.5705818366147395, 30: 2.0422724563012373, 100: 1.983971518449634}
-    for df, value in known.items():
-        assert table[df - 1] == pytest.approx(value, rel=1e-11)
+    # closed forms for df = 1 and 2, printed tables beyond
+    assert table[0] == pytest.approx(math.tan(math.pi * 0.475), rel=1e-12)
+    assert table[1] == pytest.approx(0.95 * math.sqrt(2 / (4 * 0.975 * 0.025)), rel=1e-12)
+    for df, value in {5: 2.570581836, 30: 2.042272456, 100: 1.983971519}.items():
+        assert table[df - 1] == pytest.approx(value, rel=1e-8)
 
 
 def test_t_critical_is_smooth_past_the_table(column):
