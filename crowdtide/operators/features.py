@@ -88,14 +88,12 @@ def tfidf(
     doc: str,
     counts: DataFrame,
     scope: Sequence[str] = (),
-    n_docs: Column | None = None,
     share: int = HOT_SHARE,
     min_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Unit-length TF-IDF weights, one row per document and term.
 
-    Frequencies are taken over the whole input or per ``scope``; ``n_docs`` is the
-    document count of a scope where a column can tell it. The vocabulary
+    Frequencies are taken over the whole input or per ``scope``. The vocabulary
     grows with the data and is joined by shuffle, except for terms so common
     that one task would get too many rows: fewer than ``share`` terms can be,
     and those are broadcast.
@@ -105,11 +103,11 @@ def tfidf(
     # three passes follow; reading the counts back beats splitting texts three times
     counts = cut_lineage(counts)
     frequency = document_frequency(counts, scope)
-    if n_docs is None and scope:
+    if scope:
         sizes = docs.groupBy(*scope).agg(F.count("*").alias("n_docs"))
         frequency = checked_join(frequency, sizes, scope)
         n_docs = F.col("n_docs")
-    elif n_docs is None:
+    else:
         n_docs = docs.agg(F.count("*")).scalar()
     idf = cut_lineage(
         frequency.withColumn("idf", smooth_idf(n_docs, F.col("df"))).drop("n_docs")
@@ -127,6 +125,28 @@ def tfidf(
     )
 
 
+def tfidf_in_small_scopes(
+    counts: DataFrame, doc: str, scope: Sequence[str], n_docs: Column
+) -> DataFrame:
+    """The same weights where a scope is a bounded number of documents.
+
+    ``counts`` come from documents placed by scope (``repartition(*scope)``): the
+    counting and both windows then work where the documents are, so the texts
+    move once and nothing is joined or written in between.
+    """
+    scope = list(scope)
+    in_term = Window.partitionBy(*scope, "term")
+    in_doc = Window.partitionBy(*scope, doc)
+    raw = F.col("tf") * smooth_idf(n_docs, F.col("df"))
+    length = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(in_doc))
+    return (
+        counts.withColumn("df", F.count("*").over(in_term))
+        .withColumn("weight", raw)
+        .withColumn("weight", F.col("weight") / length)
+        .select(*scope, doc, "term", "tf", "df", "weight")
+    )
+
+
 def pack_sparse(
     entries: DataFrame, doc: Sequence[str], index: str, value: str, prefix: str = "tf"
 ) -> DataFrame:

@@ -108,6 +108,14 @@ def chunk_numbers(
     return indexed.withColumn(name, F.floor(F.col("row_index") / size) + 1).drop("row_index")
 
 
+def with_chunks(
+    df: DataFrame, key: str, size: int = CHUNK_ROWS, name: str = "chunk_id"
+) -> DataFrame:
+    """Chunk numbers in the order of a unique numeric key, for wide rows: the keys
+    are numbered alone and joined back, so the rows move once at most."""
+    return df.join(chunk_numbers(df.select(key), key, size, name), key)
+
+
 def chunk_rows(df: DataFrame, chunk: str = "chunk_id", size: int = CHUNK_ROWS) -> Column:
     """Rows in a numbered chunk: ``size``, but for the last. Needs no grouping."""
     total = df.agg(F.count("*")).scalar()

@@ -51,12 +51,15 @@ def feature_rows(
 
 def _scoped_tfidf(rows: DataFrame, scope: str, size: int, width: int) -> DataFrame:
     rows = cut_lineage(rows)  # positions have to be the same in every use below
-    scope_col = "_file"
     if scope == "chunk":
-        rows, scope_col = read_chunks(rows, size), "chunk_id"
-    n_docs = chunk_rows(rows, "chunk_id", size) if scope == "chunk" else None
-    counts = fx.bucket_counts(rows, "_pos", "content", [scope_col], width)
-    weights = fx.tfidf(rows, "_pos", counts, [scope_col], n_docs)
+        rows = read_chunks(rows, size)
+        n_docs = chunk_rows(rows, "chunk_id", size)
+        placed = rows.repartition("chunk_id")
+        counts = fx.bucket_counts(placed, "_pos", "content", ["chunk_id"], width)
+        weights = fx.tfidf_in_small_scopes(counts, "_pos", ["chunk_id"], n_docs)
+    else:
+        counts = fx.bucket_counts(rows, "_pos", "content", ["_file"], width)
+        weights = fx.tfidf(rows, "_pos", counts, ["_file"])
     packed = fx.pack_sparse(
         weights.select(
             "_pos", F.col("term").cast("int").alias("term"), F.col("weight").cast("float").alias("weight")

@@ -278,9 +278,8 @@ def lexical_score(spark, sf_dir):
     )
 
 
-def _tfidf(docs: DataFrame, scope=(), n_docs=None) -> DataFrame:
-    counts = fx.term_counts(docs, "doc_id", "text", scope)
-    return rounded(fx.tfidf(docs, "doc_id", counts, scope, n_docs))
+def _tfidf(docs: DataFrame, scope=()) -> DataFrame:
+    return rounded(fx.tfidf(docs, "doc_id", fx.term_counts(docs, "doc_id", "text", scope), scope))
 
 
 def tfidf_corpus(spark, sf_dir):
@@ -289,8 +288,10 @@ def tfidf_corpus(spark, sf_dir):
 
 def tfidf_chunk(spark, sf_dir):
     docs = documents(spark, sf_dir).select("doc_id", "text")
+    placed = ranking.with_chunks(docs, "doc_id").repartition("chunk_id")
+    counts = fx.term_counts(placed, "doc_id", "text", ["chunk_id"])
     sizes = ranking.chunk_rows(docs, "chunk_id")
-    return _tfidf(ranking.chunk_numbers(docs, "doc_id"), ["chunk_id"], sizes)
+    return rounded(fx.tfidf_in_small_scopes(counts, "doc_id", ["chunk_id"], sizes))
 
 
 def tfidf_source(spark, sf_dir):

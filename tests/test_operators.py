@@ -203,6 +203,17 @@ def test_tfidf_by_scope(spark):
         assert got == pytest.approx(sorted(want.values()))
 
 
+def test_tfidf_in_small_scopes(spark):
+    docs = doc_frame(spark)
+    numbered = ranking.with_chunks(docs.select("d", "t"), "d", 3)
+    counts = fx.term_counts(numbered.repartition("chunk_id"), "d", "t", ["chunk_id"])
+    out = fx.tfidf_in_small_scopes(counts, "d", ["chunk_id"], ranking.chunk_rows(docs, "chunk_id", 3))
+    want = tfidf_by_hand(DOCS[:3]) | {(i + 3, t): w for (i, t), w in tfidf_by_hand(DOCS[3:]).items()}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(chunk_id") == 1  # the texts move once
+    assert {(r["d"], r["term"]): r["weight"] for r in out.collect()} == pytest.approx(want)
+
+
 def test_hashed_tfidf_has_the_same_weights(spark):
     out = fx.sparse_arrays(fx.hashed_tfidf(doc_frame(spark), "t"), "tfidf")
     want = defaultdict(list)
