@@ -6,7 +6,9 @@ import pytest
 
 from check_oracle import connect, differences
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from crowdtide.plans.queries import QUERIES
+from oracle_queries import ORACLE
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables are not here")
@@ -18,12 +20,12 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
-    assert differences(queries()[name](spark, FOLDER), duck, oracle_sql()[name]) == []
+    assert differences(QUERIES[name](spark, FOLDER), duck, ORACLE[name]) == []
 
 
 def test_flagship_has_69_windows(spark):
