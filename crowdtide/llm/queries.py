@@ -1,15 +1,18 @@
 """The queries of this folder's operators, and the SQL of those that SQL can express."""
 
-from crowdtide.llm import exact_dedup, mixing, packing, sharding
+from crowdtide.llm import exact_dedup, language_id, mixing, neighbours, packing, sharding
 
 QUERIES = {
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
+    "op4_nearest_neighbours": neighbours.op4_nearest_neighbours,
     "op5_sharding": sharding.op5_sharding,
+    "op7_language_id": language_id.op7_language_id,
     "op8_packing": packing.op8_packing,
     "op9_mixing": mixing.op9_mixing,
 }
 
 SQL = {
     "op3_exact_dedup": exact_dedup.OP3_SQL,
+    "op4_nearest_neighbours": neighbours.OP4_SQL,
     "op9_mixing": mixing.OP9_SQL,
 }
