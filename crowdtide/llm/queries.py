@@ -1,12 +1,14 @@
 """The queries of this folder's operators, and the SQL of those that SQL can express."""
 
-from crowdtide.llm import exact_dedup, language_id, mixing, neighbours, packing, pii, sharding, toxicity
+from crowdtide.llm import exact_dedup, jaccard_join, language_id, language_model, mixing, neighbours, packing, pii, sharding, toxicity
 
 QUERIES = {
+    "op1_jaccard_join": jaccard_join.op1_jaccard_join,
     "op2_toxicity": toxicity.op2_toxicity,
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op4_nearest_neighbours": neighbours.op4_nearest_neighbours,
     "op5_sharding": sharding.op5_sharding,
+    "op6_language_model": language_model.op6_language_model,
     "op7_language_id": language_id.op7_language_id,
     "op8_packing": packing.op8_packing,
     "op9_mixing": mixing.op9_mixing,
