@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # The separators of every word contract: space, tab, line feed to carriage return.
 SPACES = r"[\x20\x09-\x0D]+"
+BITS = 1 << 21  # of a bitmap: 256 KB
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -44,3 +45,24 @@ def held_out(doc_id: Column, folds: int, fold: int) -> Column:
 
 def plain_text(text: Column) -> Column:
     return F.coalesce(text.cast("string"), F.lit(""))
+
+
+def _slot(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BITS))
+
+
+def bitmap(keys: DataFrame) -> Column:
+    """A constant array of longs with the bits of all ``key`` values set; ``BITS`` in all."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(_slot(F.col("key")), F.lit(64)).cast("int"))
+    rows = keys.groupBy(F.shiftright(_slot(F.col("key")), 6).cast("int").alias("i")).agg(F.bit_or(bit).alias("b")).collect()
+    out = [0] * (BITS // 64)
+    for row in rows:
+        out[row["i"]] = row["b"]
+    return F.from_json(F.lit(str(out)), "array<bigint>")
+
+
+def maybe_in(bits: Column, key: Column) -> Column:
+    """False only for keys that are surely not in the bitmap."""
+    word = F.get(bits, F.shiftright(_slot(key), 6).cast("int"))
+    bit = F.call_function("shiftright", word, F.pmod(_slot(key), F.lit(64)).cast("int"))
+    return bit.bitwiseAND(F.lit(1).cast("long")) == 1

@@ -17,9 +17,11 @@ each pair of pieces is a task. Tasks give links that span the components, not al
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from crowdtide.llm.common import plain_text, stored, table
+from crowdtide.llm.common import bitmap, maybe_in, plain_text, stored, table
 from crowdtide.llm.components import connected
 from crowdtide.llm.hashing import groups, mixed, words
 
@@ -129,10 +131,13 @@ def meetings(rows: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     length = F.expr(f"n - (n * {percent} + 99) div 100 + 1")
     alone = F.col("sampled") - F.sum(F.col("first").cast("long")).over(mine)
     place = F.row_number().over(mine.orderBy(F.col("first").desc(), "df", "hash"))
-    prefix = shared.select("*", first).select("node", "hash", (~F.col("first") | (place + alone <= length)).alias("in"))
-    prefix = stored(prefix.filter("in").select("node", "hash"), "prefix")
-    least = prefix.groupBy("hash").agg(F.min("node").alias("b"), F.max("node").alias("hi")).filter("b <> hi").select("hash", "b")
-    return prefix.join(stored(least, "least"), "hash").filter("node <> b").select(F.col("node").alias("a"), "b").distinct()
+    prefix = shared.select("*", first).select("node", "n", "hash", (~F.col("first") | (place + alone <= length)).alias("in"))
+    # similar sets differ in size by one step of this scale at most: only they meet
+    scale = F.floor(F.log("n") / F.lit(math.log(100 / percent)) + 1e-9).cast("int")
+    prefix = prefix.filter("in").select("node", "hash", F.explode(F.array(scale, scale + 1)).alias("scale"))
+    prefix = stored(prefix, "prefix")
+    least = prefix.groupBy("hash", "scale").agg(F.min("node").alias("b"), F.max("node").alias("hi")).filter("b <> hi").select("hash", "scale", "b")
+    return prefix.join(stored(least, "least"), ["hash", "scale"]).filter("node <> b").select(F.col("node").alias("a"), "b").distinct()
 
 
 class Trie:
@@ -217,6 +222,8 @@ def joined(df: DataFrame, nodes: DataFrame, blocks: DataFrame, n: int, percent:
         F.pmod(F.xxhash64("node"), pieces).cast("int").alias("piece")), "placed")
     text = plain_text(F.col(text_col))
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("key"), text.alias("text"))
+    # a bitmap of fixed size keeps texts that are surely in no block out of the shuffle
+    rows = rows.filter(maybe_in(bitmap(placed.select(F.col("k").alias("key"))), F.col("key")))
     rows = rows.join(placed, (rows["key"] == placed["k"]) & rows["id"].eqNullSafe(placed["d"])).select("node", "block", "pieces", "piece", "text")
 
     def hashed(batches):

@@ -17,7 +17,7 @@ from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from crowdtide.llm.common import plain_text, stored, table
+from crowdtide.llm.common import bitmap, maybe_in, plain_text, stored, table
 
 KINDS = ("email", "ip", "card", "phone")
 # The contract's patterns. Groups repeat possessively, so that a long match needs no
@@ -34,7 +34,6 @@ HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]+\.[0-9]", "card": r"[0-9](?:[\x20-]?
 WORDS = r"\p{L}{3,}+"
 DISCLOSURE = 0.9
 SUPPORT = 3
-BITS = 1 << 20
 SPANS = "array<struct<start:int,end:int>>"
 
 
@@ -129,22 +128,8 @@ def disclosing(docs: DataFrame, disclosure: float = DISCLOSURE, support: int = S
     pairs = shared.select("entity", "key", F.explode(F.array_distinct(terms(F.col("text")))).alias("term")).groupBy("entity", "key", "term").agg(F.lit(1)) \
         .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_pair")).filter(F.col("n_pair") >= support)
     pairs = stored(pairs.join(n_entity, "entity"), "pairs")
-
-    def slot(word):
-        return F.pmod(F.xxhash64(word), F.lit(BITS))
-
-    words = pairs.select("term").groupBy(F.shiftright(slot("term"), 6).cast("int").alias("i")) \
-        .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(slot("term"), F.lit(64)).cast("int"))).alias("b")).collect()
-    bitmap = [0] * (BITS // 64)
-    for row in words:
-        bitmap[row["i"]] = row["b"]
-    bits = F.from_json(F.lit(str(bitmap)), "array<bigint>")
-
-    def maybe(word):
-        b = F.element_at(bits, F.shiftright(slot(word), 6).cast("int") + 1)
-        return F.expr("int(1)").cast("long").bitwiseAND(F.call_function("shiftright", b, F.pmod(slot(word), F.lit(64)).cast("int"))) == 1
-
-    used = docs.select(F.xxhash64("text").alias("key"), F.explode(F.array_distinct(F.filter(terms(F.col("text")), maybe))).alias("term"))
+    bits = bitmap(pairs.select(F.col("term").alias("key")))
+    used = docs.select(F.xxhash64("text").alias("key"), F.explode(F.array_distinct(F.filter(terms(F.col("text")), partial(maybe_in, bits)))).alias("term"))
     n_term = used.groupBy("term", "key").agg(F.lit(1)).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
     n_all = docs.select(F.xxhash64("text").alias("key")).groupBy("key").agg(F.lit(1)).groupBy().agg(F.count(F.lit(1)).alias("n_all"))
     n = n_all.first()["n_all"]
