@@ -114,9 +114,10 @@ def disclosing(docs: DataFrame, disclosure: float = DISCLOSURE, support: int = S
     """``entity, term`` pairs of ``docs`` (``text`` and the spans of ``with_identifiers``).
 
     Texts that are equal count once. Only identifiers in ``support`` texts can have pairs;
-    the words of those texts are paired with them, pairs with support stay, and the texts
-    that hold their terms are counted over the whole corpus: a bitmap of fixed size keeps
-    words that are surely in no pair out of that count, the rest are counted exactly.
+    the words of those texts are paired with them, pairs with support stay. The texts that
+    hold their terms are counted among texts with identifiers, which bounds PMI from above,
+    and for the pairs that are left over the whole corpus. A bitmap of fixed size keeps
+    words that are surely in no pair out of a count, the rest are counted exactly.
     """
     held = docs.filter(F.size(identifiers(F.col("text"))) > 0).select(
         F.xxhash64("text").alias("key"), "text", identifiers(F.col("text")).alias("entities"))
@@ -127,16 +128,21 @@ def disclosing(docs: DataFrame, disclosure: float = DISCLOSURE, support: int = S
     shared = mentions.join(n_entity, "entity", "left_semi")
     pairs = shared.select("entity", "key", F.explode(F.array_distinct(terms(F.col("text")))).alias("term")).groupBy("entity", "key", "term").agg(F.lit(1)) \
         .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_pair")).filter(F.col("n_pair") >= support)
+    n = max(1, docs.groupBy(F.xxhash64("text").alias("key")).agg(F.lit(1)).count())
+    information = F.log(F.lit(float(n)) / F.col("n_entity"))
+    pmi = F.log(F.col("n_pair") * F.lit(float(n)) / (F.col("n_term") * F.col("n_entity")))
+    enough = (information > 0) & (pmi >= disclosure * information)
+
+    def spread(texts, some):
+        """In how many different texts the terms of ``some`` are."""
+        bits = bitmap(some.select(F.col("term").alias("key")))
+        used = texts.select(F.xxhash64("text").alias("key"), F.explode(F.array_distinct(F.filter(terms(F.col("text")), partial(maybe_in, bits)))).alias("term"))
+        return used.groupBy("term", "key").agg(F.lit(1)).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+
+    # a term is in no fewer texts than in those with identifiers: common words go here
     pairs = stored(pairs.join(n_entity, "entity"), "pairs")
-    bits = bitmap(pairs.select(F.col("term").alias("key")))
-    used = docs.select(F.xxhash64("text").alias("key"), F.explode(F.array_distinct(F.filter(terms(F.col("text")), partial(maybe_in, bits)))).alias("term"))
-    n_term = used.groupBy("term", "key").agg(F.lit(1)).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    n_all = docs.select(F.xxhash64("text").alias("key")).groupBy("key").agg(F.lit(1)).groupBy().agg(F.count(F.lit(1)).alias("n_all"))
-    n = n_all.first()["n_all"]
-    told = pairs.join(n_term, "term")
-    information = F.log(F.lit(float(max(n, 1))) / F.col("n_entity"))
-    pmi = F.log(F.col("n_pair") * F.lit(float(max(n, 1))) / (F.col("n_term") * F.col("n_entity")))
-    return told.filter((information > 0) & (pmi >= disclosure * information)).select("entity", "term")
+    pairs = stored(pairs.join(spread(held, pairs), "term").filter(enough).drop("n_term"), "pairs")
+    return pairs.join(spread(docs, pairs), "term").filter(enough).select("entity", "term")
 
 
 def detect(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
@@ -152,10 +158,13 @@ def detect(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", disclo
     pairs = stored(disclosing(docs, disclosure, support), "disclosing")
     entity = docs.filter(F.size(identifiers(F.col("text"))) > 0).select("__key", F.explode(identifiers(F.col("text"))).alias("entity"))
     told = entity.join(pairs, "entity").groupBy("__key").agg(F.collect_set("term").alias("__told"))
-    told = told.withColumnRenamed("__key", "__k")
-    docs = docs.join(told, docs["__key"] == told["__k"], "left")
+    told = stored(told.withColumnRenamed("__key", "__k"), "told")
+    # texts that surely have no such term aren't shuffled
+    touched = maybe_in(bitmap(told.select(F.col("__k").alias("key"))), F.col("__key"))
+    rest = docs.filter(~touched).withColumns({"__k": F.lit(None).cast("long"), "__told": F.array().cast("array<string>")})
+    docs = docs.filter(touched).join(told, docs["__key"] == told["__k"], "left").unionByName(rest)
     lower = F.lower("text")
-    hits = F.when(F.col("__told").isNotNull() & (F.length(lower) == F.length("text")), F.regexp_extract_all(lower, F.lit(WORDS), 0)).otherwise(F.array().cast("array<string>"))
+    hits = F.when((F.size("__told") > 0) & (F.length(lower) == F.length("text")), F.regexp_extract_all(lower, F.lit(WORDS), 0)).otherwise(F.array().cast("array<string>"))
     docs = docs.withColumn("__hits", hits)
     docs = docs.withColumn("__gaps", F.when(F.size("__hits") > 0, F.split(lower, WORDS, -1)).otherwise(F.array().cast("array<string>")))
     docs = docs.withColumn("__all", positions(F.col("__hits"), F.col("__gaps"), lambda h: F.array_contains("__told", h)))
