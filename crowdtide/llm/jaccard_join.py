@@ -133,7 +133,7 @@ def meetings(rows: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     place = F.row_number().over(mine.orderBy(F.col("first").desc(), "df", "hash"))
     prefix = shared.select("*", first).select("node", "n", "hash", (~F.col("first") | (place + alone <= length)).alias("in"))
     # similar sets differ in size by one step of this scale at most: only they meet
-    scale = F.floor(F.log("n") / F.lit(math.log(100 / percent)) + 1e-9).cast("int")
+    scale = F.floor(F.log("n") / F.lit(math.log(100 / percent)) + 1e-9) if percent < 100 else F.col("n")
     prefix = prefix.filter("in").select("node", "hash", F.explode(F.array(scale, scale + 1)).alias("scale"))
     prefix = stored(prefix, "prefix")
     least = prefix.groupBy("hash", "scale").agg(F.min("node").alias("b"), F.max("node").alias("hi")).filter("b <> hi").select("hash", "scale", "b")
