@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import functools
 
-CHUNK = 1 << 20  # bytes that are hashed at once, about
+CHUNK = 1 << 19  # bytes that are hashed at once, about
 STEP = 0x9E3779B97F4A7C15
 M1, M2 = 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
 

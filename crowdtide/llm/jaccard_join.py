@@ -83,11 +83,10 @@ def described(df: DataFrame, n: int, percent: int, id_col: str, text_col: str) -
         seen = set()
         names = ["doc_id", "key", "node", "n", "sampled", "entries"]
         for batch in batches:
-            texts = batch.column(2).to_pylist()
-            for start in range(0, len(texts), 1024):
-                part = slice(start, start + 1024)
+            for start in range(0, batch.num_rows, 512):
+                texts = batch.column(2).slice(start, 512).to_pylist()
                 node, size, sampled, entries = [], [], [], []
-                for s in sets(texts[part], n):
+                for s in sets(texts, n):
                     size.append(len(s))
                     if not len(s):
                         node.append(None), sampled.append(0), entries.append(None)
@@ -230,9 +229,8 @@ def joined(df: DataFrame, nodes: DataFrame, blocks: DataFrame, n: int, percent:
         import pyarrow as pa
 
         for batch in batches:
-            texts = batch.column(4).to_pylist()
-            for start in range(0, len(texts), 1024):
-                found = [s.tobytes() for s in sets(texts[start:start + 1024], n)]
+            for start in range(0, batch.num_rows, 512):
+                found = [s.tobytes() for s in sets(batch.column(4).slice(start, 512).to_pylist(), n)]
                 yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(start, len(found)) for i in range(4)), pa.array(found, pa.binary())], ["node", "block", "pieces", "piece", "set"])
 
     rows = rows.mapInArrow(hashed, "node long, block long, pieces int, piece int, set binary")

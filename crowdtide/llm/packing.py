@@ -20,7 +20,7 @@ from crowdtide.llm.common import plain_text, table
 MAX_LENGTH = 2048
 END_ID = 1
 SLICE = 1 << 20  # characters that are cut into units at once
-CACHED = 1_000_000  # units, and as many pieces, that a worker remembers
+CACHED = 200_000  # units, and as many pieces, that a worker remembers
 
 
 class TokenIds:
