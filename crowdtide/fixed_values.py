@@ -53,7 +53,6 @@ WEIGHT_EMBEDDING = 0.7
 WEIGHT_LEXICAL = 0.3
 THRESHOLD = 0.6
 CONFIDENCE = 0.95
-GLOBAL_CAP = 2000
 ROWS_PER_VISIT = 50
 PLOT_POINTS = 1200
 PLOT_OFFSET_FLOOR = 0.001

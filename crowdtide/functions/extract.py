@@ -11,7 +11,6 @@ from crowdtide.fixed_values import (
     LABEL_WORD,
     LABEL_KINDS,
     PERMALINK_BASE,
-    PSEUDO_KEY_CHARS,
     RESERVED_HANDLES,
     TEXT_KINDS,
 )
@@ -40,9 +39,9 @@ def absolute_url(url: Column, base: str = PERMALINK_BASE) -> Column:
     return F.when(url.startswith("/"), F.concat(F.lit(base), url)).otherwise(url)
 
 
-def pseudo_key(url: Column, text: Column, chars: int = PSEUDO_KEY_CHARS) -> Column:
-    """The permalink where there is one, else a hash of the text's opening."""
-    opening = F.substring(text, 1, chars)
+def pseudo_key(url: Column, text: Column, chars: int | None = None) -> Column:
+    """The permalink where there is one, else a hash of the text, or of its first ``chars``."""
+    opening = text if chars is None else F.substring(text, 1, chars)
     return F.coalesce(F.nullif(url, F.lit("")), F.sha1(opening.cast("binary")))
 
 

@@ -30,7 +30,8 @@ def candidates(
     out = df.withColumn("content", normalize_text(raw, repair))
     if drop_empty and repair is not None:
         out = out.filter(F.col("content") != "")
-    return out.withColumn("content_hash", content_hash(F.col("content")))
+    # the raw text has become the content and isn't carried beside it
+    return out.withColumn("content_hash", content_hash(F.col("content"))).drop("text")
 
 
 def clean_posts(df: DataFrame, now: datetime | Column | None = None) -> DataFrame:

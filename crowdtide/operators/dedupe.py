@@ -9,14 +9,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from crowdtide.fixed_values import BATCH_ROWS
 from crowdtide.operators.ranking import batch_numbers, first_per_key
-from crowdtide.operators.skew import SMALL_ROWS, checked_join
 
 HASH = "content_hash"
 
 
 def unseen(rows: DataFrame, seen: DataFrame) -> DataFrame:
     """Rows whose hash is not in the seen table. Rows may repeat hashes."""
-    return checked_join(rows, seen.select(HASH).distinct(), [HASH], "left_anti")
+    return rows.join(seen.select(HASH), HASH, "left_anti")
 
 
 def already_seen(hashes: DataFrame, seen: DataFrame) -> DataFrame:
@@ -24,17 +23,9 @@ def already_seen(hashes: DataFrame, seen: DataFrame) -> DataFrame:
     return hashes.select(HASH).distinct().join(seen.select(HASH), HASH, "left_semi")
 
 
-def drop_seen(rows: DataFrame, seen: DataFrame, small: int = SMALL_ROWS) -> DataFrame:
-    """Rows, one per hash and cheap to read again, less those already seen.
-
-    The seen table outgrows any batch. Where a count shows the batch to be small
-    its hashes go to the seen table, which is then scanned and not shuffled.
-    """
-    hashes, known = rows.select(HASH), seen.select(HASH)
-    if hashes.limit(small + 1).count() > small:
-        return rows.join(known, HASH, "left_anti")
-    hit = known.join(F.broadcast(hashes), HASH, "left_semi").distinct()
-    return rows.join(F.broadcast(hit), HASH, "left_anti")
+def drop_seen(rows: DataFrame, seen: DataFrame) -> DataFrame:
+    """Rows, one per hash, less those already seen: adaptive execution picks the side to send."""
+    return rows.join(seen.select(HASH), HASH, "left_anti")
 
 
 def mark_seen(

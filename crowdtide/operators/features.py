@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
-from pyspark.ml.feature import IDF, ElementwiseProduct, HashingTF, Normalizer
+from pyspark.ml.feature import ElementwiseProduct, HashingTF, Normalizer
 from pyspark.ml.functions import predict_batch_udf
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
@@ -27,14 +28,18 @@ def hashed_tfidf(
 ) -> DataFrame:
     """Hashed TF-IDF with the smoothed idf plus one, rows of unit length.
 
-    One pass counts document frequencies; the model it leaves is ``width``
-    numbers, whatever the data, and is applied to each row where it stands.
+    Document frequencies are counted by bucket before the shuffle; the model is ``width``
+    numbers, whatever the data, and is applied to each row where it stands. Without rows
+    there is nothing to weigh, and the result is empty.
     """
     counted = hashing_tf(df, text, width, "_tf")
-    model = IDF(inputCol="_tf", outputCol="_idf").fit(counted)
-    scale = ElementwiseProduct(
-        inputCol="_tf", outputCol="_scaled", scalingVec=Vectors.dense(model.idf.toArray() + 1.0)
-    )
+    held = counted.select(F.unwrap_udt("_tf")["indices"].alias("_held"))
+    # one more bucket, which every row has, counts the rows
+    buckets = held.select(F.explode(F.concat("_held", F.array(F.lit(width)))).alias("bucket"))
+    frequency = {r["bucket"]: r["count"] for r in buckets.groupBy("bucket").count().collect()}
+    rows = frequency.get(width, 0)
+    weights = [math.log((1 + rows) / (1 + frequency.get(b, 0))) + 1.0 for b in range(width)]
+    scale = ElementwiseProduct(inputCol="_tf", outputCol="_scaled", scalingVec=Vectors.dense(weights))
     unit = Normalizer(inputCol="_scaled", outputCol=name, p=2.0)
     return unit.transform(scale.transform(counted)).drop("_tf", "_scaled")
 

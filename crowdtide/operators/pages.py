@@ -12,31 +12,83 @@ from crowdtide.functions.text import single_line, strip
 from crowdtide.functions.times import post_iso, time_or_now
 
 ARTICLE = r"(?is)<article\b[^>]*>(.*?)</article>"
-HREF = r'(?is)<a\b[^>]*?\bhref="([^"]*)"'
-GROUP = r'(?is)<div\b[^>]*\brole="group"[^>]*>(.*?)</div>'
-ARIA_LABEL = r'(?is)\baria-label="([^"]*)"'
-TIME = r'(?is)<time\b[^>]*\bdatetime="([^"]*)"'
-BODY = rf'(?is)<div\b[^>]*\bdata-testid="{BODY_MARK}"[^>]*>(.*?)</div>'
-LANGUAGE_BLOCK = r"(?is)<div\b[^>]*\blang=[^>]*>(.*?)</div>"
+QUOTED = r"""["']((?<=")[^"]*|(?<=')[^']*)"""
+HREF = rf"(?is)<a\b[^>]*?\bhref={QUOTED}"
+ARIA_LABEL = rf"(?is)\baria-label={QUOTED}"
+TIME = rf"(?is)<time\b[^>]*\bdatetime={QUOTED}"
+GROUP = r"""(?is)^<div\b[^>]*\brole=["']group["']"""
+BODY = rf"""(?is)^<div\b[^>]*\bdata-testid=["']{BODY_MARK}["']"""
+LANGUAGE_BLOCK = r"(?is)^<div\b[^>]*\blang="
+TOKEN = r"(?s)<[^>]*>|[^<]+|<"
+OPEN_BLOCK, CLOSE_BLOCK = r"(?i)^<div\b(?![^>]*/>$)", r"(?i)^</div\b"
 UNSHOWN = r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->"
-LINE_END = r"(?i)<br\b[^>]*>|</(?:p|h[1-6]|div|li|article)>"
+LINE_END = r"(?i)(?:<br\b[^>]*>|</?(?:p|h[1-6]|div|li|article)\b[^>]*>)+"
 TAG = r"<[^>]*>"
+NUMBERED = r"&#([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"
 # The escapes that are undone, the ampersand last.
 ESCAPES = {
     "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " ", "&amp;": "&",
 }
 
 
+def character(code: Column) -> Column:
+    """The character of a numeric escape's number (decimal, or hexadecimal after x)."""
+    hexed = F.when(code.rlike("^[xX]"), F.substring(code, 2, 6)).otherwise(F.hex(code.try_cast("bigint")))
+    number = F.conv(hexed, 16, 10).cast("bigint")
+    valid = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
+    return F.when(valid, F.decode(F.unhex(F.lpad(hexed, 8, "0")), "UTF-32")).otherwise(F.lit("\ufffd"))
+
+
 def visible_text(html: Column) -> Column:
-    """Text of a fragment: block ends become line ends, tags go, escapes are undone."""
+    """Text of a fragment: block starts and ends break lines, tags go, escapes are undone."""
     text = F.regexp_replace(html, UNSHOWN, "")
     text = F.regexp_replace(text, LINE_END, "\n")
     text = F.regexp_replace(text, TAG, "")
+    codes = F.array_distinct(F.regexp_extract_all(text, F.lit(NUMBERED), F.lit(1)))
+    text = F.aggregate(codes, text, lambda t, c: F.replace(t, F.concat(F.lit("&#"), c, F.lit(";")), character(c)))
     for escape, char in ESCAPES.items():
         text = F.replace(text, F.lit(escape), F.lit(char))
     return strip(text)
 
 
+def _depth(depth: Column, token: Column) -> Column:
+    """How many blocks are open after a token, inside one."""
+    return depth + F.when(token.rlike(OPEN_BLOCK), 1).when(token.rlike(CLOSE_BLOCK), -1).otherwise(0)
+
+
+def first_block(tokens: Column, opening: str) -> Column:
+    """Markup of the first block that ``opening`` starts, to its own close; else empty."""
+    start = F.struct(F.lit(0).alias("i"), F.lit(0).alias("depth"), F.lit(0).alias("from"), F.lit(0).alias("to"))
+
+    def step(acc, token):
+        i, inside = acc["i"] + 1, (acc["from"] > 0) & (acc["to"] == 0)
+        begins = (acc["from"] == 0) & token.rlike(opening)
+        depth = F.when(begins, 1).when(inside, _depth(acc["depth"], token)).otherwise(acc["depth"])
+        return F.struct(
+            i.alias("i"), depth.alias("depth"), F.when(begins, i).otherwise(acc["from"]).alias("from"),
+            F.when(inside & (depth == 0), i).otherwise(acc["to"]).alias("to"))
+
+    def cut(acc):
+        # a block that is never closed goes to the end
+        last = F.when(acc["to"] > 0, acc["to"]).otherwise(acc["i"] + 1)
+        return F.when(acc["from"] > 0, F.array_join(F.slice(tokens, acc["from"] + 1, last - acc["from"] - 1), "")).otherwise("")
+
+    return F.aggregate(tokens, start, step, cut)
+
+
+def group_labels(tokens: Column) -> Column:
+    """The labels of all elements inside the groups of a fragment, in order."""
+    start = F.struct(F.lit(0).alias("depth"), F.array().cast("array<string>").alias("labels"))
+
+    def step(acc, token):
+        inside = acc["depth"] > 0
+        depth = F.when(inside, _depth(acc["depth"], token)).when(token.rlike(GROUP), 1).otherwise(0)
+        labels = F.when(inside & token.startswith("<"), F.concat(acc["labels"], all_groups(token, ARIA_LABEL))).otherwise(acc["labels"])
+        return F.struct(depth.alias("depth"), labels.alias("labels"))
+
+    return F.aggregate(tokens, start, step, lambda acc: acc["labels"])
+
+
 def all_groups(html: Column, pattern: str) -> Column:
     return F.regexp_extract_all(html, F.lit(pattern), F.lit(1))
 
@@ -67,10 +119,8 @@ def page_records(
         articles.withColumn("_text", visible_text(article))
         .filter(F.col("_text") != "")
         .withColumn("_links", all_groups(article, HREF))
-        .withColumn(
-            "_labels",
-            F.flatten(F.transform(all_groups(article, GROUP), lambda g: all_groups(g, ARIA_LABEL))),
-        )
+        .withColumn("_tokens", F.regexp_extract_all(F.regexp_replace(article, UNSHOWN, ""), F.lit(TOKEN), F.lit(0)))
+        .withColumn("_labels", group_labels(F.col("_tokens")))
         .withColumn(
             "_url",
             extract.absolute_url(
@@ -80,8 +130,8 @@ def page_records(
     )
     text = F.col("_text")
     content = extract.first_text(
-        visible_text(F.nullif(F.regexp_extract(article, BODY, 1), F.lit(""))),
-        visible_text(F.nullif(F.regexp_extract(article, LANGUAGE_BLOCK, 1), F.lit(""))),
+        visible_text(F.nullif(first_block(F.col("_tokens"), BODY), F.lit(""))),
+        visible_text(F.nullif(first_block(F.col("_tokens"), LANGUAGE_BLOCK), F.lit(""))),
         text,
     )
     posted = F.nullif(F.regexp_extract(article, TIME, 1), F.lit(""))

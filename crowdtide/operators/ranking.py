@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from crowdtide.fixed_values import BATCH_ROWS, CHUNK_ROWS, GLOBAL_CAP, ROWS_PER_VISIT
+from crowdtide.fixed_values import BATCH_ROWS, CHUNK_ROWS, ROWS_PER_VISIT
 
 CAP_SALTS = 64
 MAX_SLICES = 10_000
@@ -154,7 +154,8 @@ def round_robin_cap(
     order_by: str,
     tag_order: str | None = None,
     per_visit: int = ROWS_PER_VISIT,
-    cap: int = GLOBAL_CAP,
+    *,
+    cap: int,
 ) -> DataFrame:
     """Take ``per_visit`` rows of each tag in turn until ``cap`` rows are taken.
 
@@ -173,4 +174,4 @@ def round_robin_cap(
         .drop("_salt", "_rank")
         .withColumn("visit", F.ceil(F.col("tag_rank") / per_visit))
     )
-    return ranked.orderBy("visit", tag_order or tag, "tag_rank").limit(cap)
+    return ranked.orderBy("visit", F.col(tag_order or tag).asc_nulls_last(), tag, "tag_rank").limit(cap)

@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from crowdtide.fixed_values import GLOBAL_CAP, POST_COLUMNS, ROWS_PER_VISIT
+from crowdtide.fixed_values import POST_COLUMNS, ROWS_PER_VISIT
 from crowdtide.operators.pages import page_records
 from crowdtide.operators.ranking import first_per_key, round_robin_cap
 from crowdtide.operators.summary import counts_for_all
@@ -19,16 +19,22 @@ def collect_posts(
     source_hashtag: Column,
     dimension: DataFrame,
     order_by: str = "page_id",
-    cap: int = GLOBAL_CAP,
+    cap: int | None = None,
     per_visit: int = ROWS_PER_VISIT,
     now: datetime | None = None,
 ) -> DataFrame:
-    """Records of keyword pages, one per key, ``per_visit`` of each keyword in turn."""
+    """Records of keyword pages, one per key.
+
+    With a ``cap`` that many are taken, ``per_visit`` of each keyword in turn; keywords
+    outside the dimension come last in each turn.
+    """
     records = page_records(pages, source_hashtag=source_hashtag, now=now)
     unique = first_per_key(records, ["id"], [order_by, "article_no"])
+    if cap is None:
+        return unique
     seq = unique.withColumn("_seq", F.struct(order_by, "article_no"))
     return round_robin_cap(
-        seq.join(dimension, "source_hashtag"), "source_hashtag", "_seq", "tag_index", per_visit, cap
+        seq.join(dimension, "source_hashtag", "left"), "source_hashtag", "_seq", "tag_index", per_visit, cap=cap
     )
 
 

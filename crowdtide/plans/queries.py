@@ -152,7 +152,7 @@ def signals_summary(spark, sf_dir):
 
 
 def signals_plot_series(spark, sf_dir):
-    return rounded(windows.plot_series(event_signals(spark, sf_dir)))
+    return rounded(windows.plot_series(event_signals(spark, sf_dir), 200))
 
 
 def window_lookup(spark, sf_dir):
@@ -463,16 +463,20 @@ def row_chunks(spark, sf_dir):
 
 def job_metrics(spark, sf_dir):
     raw, seen = document_posts(spark, sf_dir), earlier_hashes(spark, sf_dir)
-    rows = clean.candidates(raw)
-    counted = {
-        "rows_read": raw,
-        "candidates": rows,
-        "already_seen": dedupe.already_seen(rows, seen),
-        "cleaned": dedupe.dedupe(rows, seen),
-    }
-    return merge.concat(
-        [df.agg(F.lit(name).alias("metric"), F.count("*").alias("value")) for name, df in counted.items()]
+    rows = clean.candidates(raw, drop_empty=False).select(
+        F.when(F.col("content") != "", F.col(dedupe.HASH)).alias(dedupe.HASH)
     )
+    per_hash = rows.groupBy(dedupe.HASH).count().join(
+        seen.select(dedupe.HASH).distinct().withColumn("_seen", F.lit(1)), dedupe.HASH, "left"
+    )
+    filled = F.col(dedupe.HASH).isNotNull()
+    total = per_hash.agg(
+        F.coalesce(F.sum("count"), F.lit(0)).alias("rows_read"),
+        F.coalesce(F.sum(F.when(filled, F.col("count"))), F.lit(0)).alias("candidates"),
+        F.count("_seen").alias("already_seen"),
+        F.count(F.when(filled & F.col("_seen").isNull(), 1)).alias("cleaned"),
+    )
+    return total.unpivot([], total.columns, "metric", "value")
 
 
 def t_confidence(spark, sf_dir):

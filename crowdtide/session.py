@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 SESSION_CONF = {
@@ -37,11 +35,12 @@ def use_utc(spark: SparkSession) -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only where none is named."""
+    """The shared folder the cluster names; where none is named, as in tests, a folder of
+    the default file system."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="crowdtide-checkpoint-"))
+        context.setCheckpointDir(named or "/tmp/checkpoints")
     return context.getCheckpointDir()
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from crowdtide.fixed_values import MIN_POSTS, THRESHOLD, WINDOW
+from crowdtide.fixed_values import MIN_POSTS, THRESHOLD, WEIGHT_EMBEDDING, WEIGHT_LEXICAL, WINDOW
 from crowdtide.functions.times import DAY_MICROS, frequency_micros
 from crowdtide.operators.scoring import ScoreScaler
 from crowdtide.operators.windows import finish_signals, window_measures
@@ -19,6 +19,8 @@ def stream_signals(
     delay: str = "10 minutes",
     threshold: float = THRESHOLD,
     min_posts: int = MIN_POSTS,
+    weight_emb: float = WEIGHT_EMBEDDING,
+    weight_lex: float = WEIGHT_LEXICAL,
 ) -> DataFrame:
     """Closed signal windows of scored posts, for append mode.
 
@@ -29,7 +31,7 @@ def stream_signals(
     if DAY_MICROS % length:
         raise ValueError("a stream has no first day: the window length has to divide a day")
     if scaler is not None:
-        scored = scored.withColumn(value, scaler.composite())
+        scored = scored.withColumn(value, scaler.composite(weight_emb, weight_lex))
     # the watermark column cannot be zone-less
     timed = scored.select(F.col(ts).cast("timestamp").alias(ts), value)
     windows = (

@@ -148,7 +148,7 @@ TERMS = f"regexp_extract_all(lower(text), '{WORD}{{2,}}')"
 VISIBLE = "article"
 for pattern, filler in (
     (r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->", "''"),
-    (r"(?i)<br\b[^>]*>|</(?:p|h[1-6]|div|li|article)>", "chr(10)"),
+    (r"(?i)(?:<br\b[^>]*>|</?(?:p|h[1-6]|div|li|article)\b[^>]*>)+", "chr(10)"),
     (r"<[^>]*>", "''"),
 ):
     VISIBLE = f"regexp_replace({VISIBLE}, '{pattern}', {filler}, 'g')"
@@ -200,7 +200,7 @@ ORACLE = {
         SELECT {iso('ws')} AS window_start, {r6('mean_signal', 'mean_signal')},
         {r6('mean_signal - ci', 'lower')}, {r6('mean_signal + ci', 'upper')},
         {r6("mean_signal + greatest(0.001::DOUBLE, abs(mean_signal) * 0.05::DOUBLE) * CASE action WHEN 'SHORT' THEN 1 WHEN 'LONG' THEN -1 ELSE 0 END", 'marker')},
-        action AS trade_action, cnt AS "count" FROM i WHERE rn % greatest(1, ceil(total / 1200.0)::BIGINT) = 0""",
+        action AS trade_action, cnt AS "count" FROM i WHERE rn % greatest(1, ceil(total / 200.0)::BIGINT) = 0""",
     "window_lookup": f"""SELECT {iso("date_trunc('hour', ts)")} AS window_start, count(*) AS n,
         count(*) FILTER (event_type = 'error') AS errors,
         {r6("coalesce(max(value) FILTER (event_type = 'error'), 0)", 'worst')} FROM events GROUP BY 1""",
@@ -279,7 +279,7 @@ ORACLE = {
         v AS (SELECT *, {strip(VISIBLE)} AS txt, regexp_extract_all(html, '(?is)<a\\b[^>]*?\\bhref="([^"]*)"', 1) AS hrefs,
             list_filter(regexp_extract_all(article, '(?is)<a\\b[^>]*?\\bhref="([^"]*)"', 1), lambda x: contains(x, '/status/'))[1] AS link FROM a),
         u AS (SELECT *, CASE WHEN starts_with(link, '/') THEN 'https://x.com' || link ELSE link END AS url_ FROM v WHERE txt <> '')
-        SELECT page_id, article_no::INTEGER AS article_no, coalesce(nullif(url_, ''), sha1(substr(txt, 1, 400))) AS id,
+        SELECT page_id, article_no::INTEGER AS article_no, coalesce(nullif(url_, ''), sha1(txt)) AS id,
         coalesce({LINKED}, {NAMED}, '') AS username, '2024-06-01T00:00:00+00:00' AS date,
         replace(txt, chr(10), ' ') AS content, {in_text('replies')} AS "replyCount",
         {in_text('retweets')} AS "retweetCount", {in_text('likes')} AS "likeCount", {in_text('quotes')} AS "quoteCount",

@@ -235,3 +235,13 @@ def test_pending_files(spark, tmp_path):
 
 def test_checkpoint_folder_is_set_once(spark):
     assert ensure_checkpoint_dir(spark) == ensure_checkpoint_dir(spark)
+
+
+def test_page_job_has_no_cap_of_its_own(spark, tmp_path):
+    articles = "".join(f"<article>post {i}</article>" for i in range(1000))
+    pages = spark.createDataFrame([(i, "#a" if i else "#other", articles.replace("post", f"post{i}")) for i in range(5)], "page_id int, tag string, html string")
+    dimension = spark.createDataFrame([("#a", 0)], "source_hashtag string, tag_index int")
+    run_page_job(pages, F.col("tag"), dimension, f"{tmp_path}/csv", now=NOW)
+    assert spark.read.option("header", True).csv(f"{tmp_path}/csv").count() == 5000
+    run_page_job(pages, F.col("tag"), dimension, f"{tmp_path}/capped", cap=4100, now=NOW)
+    assert spark.read.option("header", True).csv(f"{tmp_path}/capped").filter("source_hashtag = '#other'").count() == 1000

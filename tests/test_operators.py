@@ -153,7 +153,7 @@ def test_dedupe_against_seen(spark):
     other = marked.filter(F.col("content_hash") == cand.filter("content = 'other'").first()["content_hash"])
     unique = dedupe.dedupe(cand)
     for small in (0, 100):
-        assert rows(dedupe.drop_seen(unique, other, small).select("row_pos")) == [(0,)]
+        assert rows(dedupe.drop_seen(unique, other).select("row_pos")) == [(0,)]
     old, new = dedupe.already_seen(cand, other), dedupe.unseen(cand, other)
     assert old.count() == 1 and rows(new.select("row_pos")) == [(0,), (1,), (4,)]
 
@@ -409,3 +409,30 @@ def test_page_records(spark):
     assert third["date"] == "2024-03-01T00:00:00+00:00"
     linked = pages.page_records(df, links_of_page=True, now=DAY).orderBy("article_no").collect()
     assert [r["username"] for r in linked] == ["outside"] * 3
+
+
+NESTED = """<article><span>A @bob</span><a href='/carol/status/5'>t</a>
+<div data-testid='tweetText'><div>line one</div><div>line two #tag &#65;&#x1F600;</div></div><div lang="en">quoted</div>
+<div role="group"><div aria-label="12 Replies. Reply"></div><div aria-label='7 reply'></div>
+<div><div aria-label="34 Retweets"></div></div><div aria-label="56 Likes. Like"></div></div><div aria-label="9 quotes"></div></article>
+<article><div lang="en"><div>never closed</div> tail</article>"""
+
+
+def test_page_records_of_nested_markup(spark):
+    df = spark.createDataFrame([(1, NESTED)], "page_id int, html string")
+    first, second = pages.page_records(df, now=DAY).orderBy("article_no").collect()
+    assert first["content"] == "line one line two #tag A\U0001F600"
+    assert (first["replyCount"], first["retweetCount"], first["likeCount"], first["quoteCount"]) == (7, 34, 56, None)
+    assert (first["url"], first["username"], first["hashtags"]) == ("https://x.com/carol/status/5", "carol", "tag")
+    assert second["content"] == "never closed  tail"
+
+
+def test_posts_alike_in_their_opening_are_two(spark):
+    pair = [(1, "<article>" + "x" * 500 + end + "</article>") for end in "ab"]
+    df = spark.createDataFrame(pair, "page_id int, html string")
+    assert pages.page_records(df, now=DAY).select("id").distinct().count() == 2
+
+
+def test_hashed_tfidf_of_nothing(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert fx.hashed_tfidf(empty, "text", 64).count() == 0
