@@ -117,7 +117,7 @@ def disclosing(docs: DataFrame, disclosure: float = DISCLOSURE, support: int = S
     the words of those texts are paired with them, pairs with support stay. The texts that
     hold their terms are counted among texts with identifiers, which bounds PMI from above,
     and for the pairs that are left over the whole corpus. A bitmap of fixed size keeps
-    words that are surely in no pair out of a count, the rest are counted exactly.
+    words that are surely in no pair out of that count, the rest are counted exactly.
     """
     held = docs.filter(F.size(identifiers(F.col("text"))) > 0).select(
         F.xxhash64("text").alias("key"), "text", identifiers(F.col("text")).alias("entities"))
@@ -133,15 +133,17 @@ def disclosing(docs: DataFrame, disclosure: float = DISCLOSURE, support: int = S
     pmi = F.log(F.col("n_pair") * F.lit(float(n)) / (F.col("n_term") * F.col("n_entity")))
     enough = (information > 0) & (pmi >= disclosure * information)
 
-    def spread(texts, some):
-        """In how many different texts the terms of ``some`` are."""
-        bits = bitmap(some.select(F.col("term").alias("key")))
-        used = texts.select(F.xxhash64("text").alias("key"), F.explode(F.array_distinct(F.filter(terms(F.col("text")), partial(maybe_in, bits)))).alias("term"))
+    def spread(texts, some=None):
+        """In how many different texts the terms are, at least those of ``some``."""
+        found = terms(F.col("text"))
+        if some is not None:
+            found = F.filter(found, partial(maybe_in, bitmap(some.select(F.col("term").alias("key")))))
+        used = texts.select(F.xxhash64("text").alias("key"), F.explode(F.array_distinct(found)).alias("term"))
         return used.groupBy("term", "key").agg(F.lit(1)).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
 
     # a term is in no fewer texts than in those with identifiers: common words go here
     pairs = stored(pairs.join(n_entity, "entity"), "pairs")
-    pairs = stored(pairs.join(spread(held, pairs), "term").filter(enough).drop("n_term"), "pairs")
+    pairs = stored(pairs.join(spread(held), "term").filter(enough).drop("n_term"), "pairs")
     return pairs.join(spread(docs, pairs), "term").filter(enough).select("entity", "term")
 
 
