@@ -102,7 +102,8 @@ def mixed_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """The mix itself: the rows of ``df``, all columns, each as often as the mix takes it.
 
     Whether a row is taken depends on its source and its id's hash alone: one threshold
-    for each source is joined to the wide rows, which are not shuffled for it.
+    for each source is joined to the wide rows, which are not shuffled for it. A row
+    without words is taken like any other of its source.
     """
     goal = thresholds(sized(df, id_col, text_col, source_col), **how).select(
         F.col("source").alias("__source"), F.col("times").alias("__times"), F.col("cut").alias("__cut"))
@@ -144,22 +145,6 @@ def next_digit(rows: DataFrame, goal: DataFrame, level: int) -> DataFrame:
         (F.col("rest") - F.coalesce("used", F.lit(0.0))).alias("rest"), F.coalesce("cut", none).alias("prefix"))
 
 
-def mixed_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
-    """The mix itself: the rows of ``df``, each as often as the mix takes it.
-
-    Whether a row is taken depends on its source and its id's hash alone, so that one
-    threshold for each source, not a list of rows, is joined to the wide rows. A row
-    without words is kept once.
-    """
-    picks = mix(df, id_col, text_col, source_col, **how)
-    times = F.max(F.when(F.col("size") > 0, F.col("taken") / F.col("size")))
-    picks = stored(picks.groupBy("doc_id", "source").agg(F.coalesce(times, F.lit(1)).cast("int").alias("__times")), "picks")
-    picks = picks.select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), "__times")
-    found = df.join(picks, df[id_col].eqNullSafe(picks["__id"]) & df[source_col].eqNullSafe(picks["__source"]))
-    return found.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.greatest("__times", F.lit(1))))) \
-        .filter(F.col("__copy") <= F.col("__times")).select(*df.columns)
-
-
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
