@@ -17,6 +17,8 @@ from crowdtide.llm.common import stored, table
 
 TILE = 1024
 QUERIES_PER_CELL = 100_000
+PAIRS_PER_CELL = 1 << 27  # some seconds of work
+TILES_PER_TASK = 16  # that a task builds at least
 SURVIVORS = 1 << 16  # pairs that are computed again at once
 
 
@@ -115,11 +117,14 @@ def nearest(queries: DataFrame, candidates: DataFrame, k: int, id_col: str = "ve
     most about ``QUERIES_PER_CELL`` queries. Without candidates there are no rows.
     """
     spark = candidates.sparkSession
-    cells = cells or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    q = stored(tiles(usable(queries, id_col, vector_col)), "queries")
-    c = stored(tiles(usable(candidates, id_col, vector_col)), "candidates")
+    # few rows in many partitions would make many tiny tiles
+    tasks = lambda df: max(1, math.ceil(df.count() / (TILES_PER_TASK * TILE)))
+    q = stored(tiles(usable(queries, id_col, vector_col).coalesce(tasks(queries))), "queries")
+    c = stored(tiles(usable(candidates, id_col, vector_col).coalesce(tasks(candidates))), "candidates")
     count = lambda t: t.agg(F.coalesce(F.sum(F.octet_length("ids") / 8), F.lit(0.0)).alias("n")).first()["n"]
     nq, nc = count(q), count(c)
+    # each cell gives k pairs for a query: no more cells than the work needs
+    cells = cells or max(1, min(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(nq * nc / PAIRS_PER_CELL)))
     across = max(1, round(math.sqrt(cells * nq / max(nc, 1))), math.ceil(nq / QUERIES_PER_CELL))
     down = max(1, cells // across)
 
