@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from crowdtide.fixed_values import EMBED_BATCH, HASH_WIDTH
 from crowdtide.functions.text import terms
-from crowdtide.operators.skew import HOT_ROWS, HOT_SHARE, checked_join, heavy_keys
+from crowdtide.operators.skew import HOT_ROWS, HOT_SHARE, heavy_keys
 from crowdtide.session import cut_lineage
 
 
@@ -110,7 +110,7 @@ def tfidf(
     frequency = document_frequency(counts, scope)
     if scope:
         sizes = docs.groupBy(*scope).agg(F.count("*").alias("n_docs"))
-        frequency = checked_join(frequency, sizes, scope)
+        frequency = frequency.join(sizes, scope)
         n_docs = F.col("n_docs")
     else:
         n_docs = docs.agg(F.count("*")).scalar()

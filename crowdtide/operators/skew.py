@@ -8,8 +8,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 HOT_SHARE = 10_000
 HOT_ROWS = 1_000_000
-SALTS = 4096
-SMALL_ROWS = 100_000
 
 
 def heavy_keys(
@@ -25,18 +23,6 @@ def heavy_keys(
     return counts.filter(F.col(count_col) > limit)
 
 
-def checked_join(
-    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner", rows: int = SMALL_ROWS
-) -> DataFrame:
-    """Broadcast ``right`` once a count has shown it to be small; else ``skew_join``.
-
-    For sides of a few narrow columns, where rows bound bytes; not for texts.
-    """
-    if right.limit(rows + 1).count() <= rows:
-        return left.join(F.broadcast(right), list(on), how)
-    return skew_join(left, right, on, how)
-
-
 def _salt(df: DataFrame, salts: Column) -> Column:
     # Depends on the row and on where it was read, not on the order of rows, so
     # a re-run task gives the same salts; equal copies differ by partition.
@@ -59,7 +45,7 @@ def _heavy_cells(left: DataFrame, right: DataFrame, on, share: int, min_rows: in
 
     def cells(name):
         wanted = F.ceil(F.coalesce(name, F.lit(0)) / F.lit(max(min_rows, 1)))
-        return F.least(F.greatest(wanted, F.lit(1)), F.lit(SALTS)).cast("int")
+        return F.greatest(wanted, F.lit(1)).cast("int")
 
     return heavy.select(
         *on,

@@ -15,7 +15,6 @@ from crowdtide.fixed_values import (
 from crowdtide.functions import stats
 from crowdtide.functions.times import DAY_MICROS, frequency_micros, window_floor, window_iso
 from crowdtide.operators.ranking import with_row_index
-from crowdtide.operators.skew import checked_join
 
 FILL_BLOCK = 10_000
 
@@ -58,6 +57,7 @@ def fill_gaps(windows: DataFrame, frequency: str = WINDOW) -> DataFrame:
     block = length * FILL_BLOCK
     every = (
         ends.select("b", F.explode(F.sequence("a", "b", F.lit(block))).alias("from"))
+        .repartition("from")  # the ends are one row: its windows are made in many tasks
         .select(
             F.explode(
                 F.sequence("from", F.least("b", F.col("from") + (block - length)), F.lit(length))
@@ -115,9 +115,10 @@ def window_signals(
 def lookup_measures(
     windows: DataFrame, measures: DataFrame, key: str = "window_start"
 ) -> DataFrame:
-    """Attach separately computed measures to windows, 0 where there is none."""
+    """Attach separately computed measures to windows, 0 where there is none. Both have one
+    row per window, so a plain join is balanced."""
     names = [c for c in measures.columns if c != key]
-    return checked_join(windows, measures, [key], "left").fillna(0, subset=names)
+    return windows.join(measures, key, "left").fillna(0, subset=names)
 
 
 def thin_out(windows: DataFrame, points: int = PLOT_POINTS) -> DataFrame:

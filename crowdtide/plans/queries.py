@@ -16,6 +16,7 @@ from crowdtide.operators import clean, dedupe, features as fx, merge, pages as p
 from crowdtide.operators import ranking, scoring, summary, windows
 from crowdtide.plans.clean_job import new_posts
 from crowdtide.plans.signal_job import trade_signals
+from crowdtide.sources import read, write
 from crowdtide.session import ensure_checkpoint_dir, spread, use_utc
 from crowdtide.streaming.dedupe_stream import start_clean_stream
 from crowdtide.streaming.signal_stream import stream_signals
@@ -496,6 +497,52 @@ def _scratch(spark) -> str:
     return f"{ensure_checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
 
 
+def _plain_posts(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("string").alias("id"),
+        F.col("lang").alias("username"),
+        F.col("text").alias("content"),
+        F.col("n_chars").cast("string").alias("likeCount"),
+    )
+
+
+def _hashed_content(df: DataFrame) -> DataFrame:
+    return df.withColumn("content", F.sha1(F.coalesce("content", F.lit("")).cast("binary")))
+
+
+def csv_round_trip(spark, sf_dir):
+    """Documents written as CSV and read back by the reader of raw posts."""
+    path = f"{_scratch(spark)}/csv"
+    write.write_csv(_plain_posts(spark, sf_dir), path)
+    return _hashed_content(read.read_raw_posts(spark, path).select("id", "username", "content"))
+
+
+def jsonl_round_trip(spark, sf_dir):
+    """Documents written as JSON lines and read back as posts."""
+    path = f"{_scratch(spark)}/jsonl"
+    write.write_jsonl(_plain_posts(spark, sf_dir), path)
+    posts = read.read_jsonl(spark, path)
+    return _hashed_content(posts.select("id", "username", "content", "likeCount"))
+
+
+def stored_posts_round_trip(spark, sf_dir):
+    """Clean posts written by day and read back."""
+    path = f"{_scratch(spark)}/posts"
+    posts = clean.clean_posts(clean.candidates(document_posts(spark, sf_dir)), NOW)
+    write.write_stored_posts(posts, path)
+    stored = read.read_stored_posts(spark, path)
+    return rounded(_hashed_content(stored.select("id", "content", "likeCount", "ts", "event_date")))
+
+
+def features_round_trip(spark, sf_dir):
+    """Embeddings written as a feature table and read back, one row per component."""
+    path = f"{_scratch(spark)}/features"
+    vectors_ = table(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("string").alias("id"), "embedding")
+    write.write_features(vectors_, path)
+    rows = read.read_features(spark, path)
+    return rounded(rows.select("id", F.posexplode("embedding").alias("position", "value")))
+
+
 def stream_event_windows(spark, sf_dir):
     """A stream over the events, run to its end; the windows it closed."""
     use_utc(spark)
@@ -543,6 +590,7 @@ QUERIES = {
         embed_documents, centroids, embedding_contrast, standardize, feature_text_join,
         mentions_hashtags, page_records, label_counts, roundrobin_cap, per_tag_counts,
         counts_for_all, merge_mixed_schema, row_chunks, job_metrics, t_confidence,
+        csv_round_trip, jsonl_round_trip, stored_posts_round_trip, features_round_trip,
         stream_event_windows, stream_dedupe,
     )
 }

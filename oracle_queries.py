@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from crowdtide.functions.stats import T_TABLE_SIZE, t_expansion_terms, t_quantiles
+import math
 
 WORD = r"[\w\p{L}\p{N}]"
 SPACE = (
@@ -30,10 +30,32 @@ def r6(expr: str, name: str) -> str:
     return f"round(({expr})::DOUBLE, 6) + 0.0::DOUBLE AS {name}"
 
 
+def t_table(size: int = 200) -> list[float]:
+    """Points that a Student t variable of 1, 2, ... degrees exceeds, on both sides, in 5 of
+    100 cases: the density over the angle atan(t / sqrt(df)), integrated by Simpson's rule."""
+    out, angle = [], math.pi / 2 - 0.05
+    for df in range(1, size + 1):
+        goal = 0.95 * math.exp(math.lgamma(df / 2) - math.lgamma((df + 1) / 2)) * math.sqrt(math.pi) / 2
+        for _ in range(40):
+            h = angle / 200
+            area = h / 3 * sum((1 if i in (0, 200) else 2 + 2 * (i % 2)) * math.cos(i * h) ** (df - 1) for i in range(201))
+            step = (area - goal) / math.cos(angle) ** (df - 1)
+            angle = min(max(angle - step, angle / 2), math.pi / 2 - 1e-6)
+            if abs(step) < 1e-15:
+                break
+        out.append(math.sqrt(df) * math.tan(angle))
+    return out
+
+
 def t_value(df: str) -> str:
-    table = "[" + ", ".join(f"{q!r}::DOUBLE" for q in t_quantiles()) + "]"
-    series = " + ".join(f"{c!r}::DOUBLE / ({df})::DOUBLE ** {k}" for k, c in enumerate(t_expansion_terms()))
-    return f"CASE WHEN {df} <= {T_TABLE_SIZE} THEN ({table})[({df})::BIGINT] ELSE {series} END"
+    table = "[" + ", ".join(f"{q!r}::DOUBLE" for q in T_TABLE) + "]"
+    z, v = 1.959963984540054, f"({df})::DOUBLE"
+    series = f"""{z}::DOUBLE + {(z**3 + z) / 4}::DOUBLE / {v} + {(5 * z**5 + 16 * z**3 + 3 * z) / 96}::DOUBLE / {v} ** 2
+        + {(3 * z**7 + 19 * z**5 + 17 * z**3 - 15 * z) / 384}::DOUBLE / {v} ** 3"""
+    return f"CASE WHEN {df} <= {len(T_TABLE)} THEN ({table})[({df})::BIGINT] ELSE {series} END"
+
+
+T_TABLE = t_table()
 
 
 def half_width(n: str = "n", sem: str = "sem") -> str:
@@ -316,5 +338,13 @@ ORACLE = {
         + f""" SELECT {SIGNAL_COLUMNS} FROM s
         WHERE ws + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)"""
     ),
+    "csv_round_trip": """SELECT doc_id::VARCHAR AS id, lang AS username, sha1(coalesce(text, '')) AS content
+        FROM documents""",
+    "jsonl_round_trip": """SELECT doc_id::VARCHAR AS id, lang AS username, sha1(coalesce(text, '')) AS content,
+        n_chars::VARCHAR AS "likeCount" FROM documents""",
+    "stored_posts_round_trip": f"""WITH {CANDIDATES} SELECT doc_id::VARCHAR AS id, h AS content, n_chars AS "likeCount",
+        '2024-06-01T00:00:00Z' AS ts, '2024-06-01' AS event_date FROM cand""",
+    "features_round_trip": f"""SELECT vec_id::VARCHAR AS id, (pos - 1)::INTEGER AS position, {r6('val', 'value')} FROM (
+        SELECT vec_id, unnest(embedding) AS val, generate_subscripts(embedding, 1) AS pos FROM embeddings)""",
     "stream_dedupe": f"WITH {CANDIDATES} SELECT DISTINCT h AS content_hash FROM cand",
 }

@@ -53,13 +53,6 @@ def test_heavy_keys_are_bounded(spark):
     assert skew.heavy_keys(counts, "n", share=60, min_rows=0).count() < 60
 
 
-def test_checked_join_takes_either_way(spark):
-    left, right = skewed_sides(spark)
-    for limit in (0, 1000):
-        got = skew.checked_join(left, right, ["k"], "left", limit)
-        assert sorted(map(str, got.collect())) == sorted(map(str, left.join(right, "k", "left").collect()))
-
-
 # ---- order ----
 @pytest.mark.parametrize("slices", [1, 3, 7])
 def test_row_index(spark, slices):
