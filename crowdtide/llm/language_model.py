@@ -5,6 +5,13 @@ level 1 + floor(log2 c): the n-gram is entered into the filter once for each lev
 its own, and is read by probing level after level until one is missing. Pair and word
 counts read in this way give a smoothed probability (Dirichlet smoothing of the pair
 estimate towards the word estimate). Words are 64-bit hashes.
+
+The filter holds every n-gram that is seen, so it grows with the corpus, and no worker
+holds the whole of it: it lies in segments by the hash's leading bits, each of about
+``PART_BYTES`` of training text. To score, the distinct n-grams of a block of texts go to
+their segments, and levels come back to the block. A pair is known in its segment by the
+last 32 bits of its hash: as a segment has a bounded number of pairs, two of them are taken
+for one far less often than the filter reads a level too high.
 """
 
 from __future__ import annotations
@@ -18,10 +25,9 @@ from crowdtide.llm.hashing import groups, mixed, words
 
 END, BEGIN = 0x5851F42D4C957F2D, 0x14057B7EF767814F
 PART_BYTES = 16 << 20  # of training text for each part of the pair counts
+BLOCK_CHARS = 1 << 23  # of texts whose n-grams are looked up together
 BITS_PER_ENTRY, PROBES = 12, 5
-FILTER_BYTES = 64 << 20  # of all segments of one filter, at most
-HOT_WORDS = 1 << 20  # whose exact counts every worker holds, at most
-PAIR_COUNT = 2  # pairs seen less often aren't held
+HOT_WORDS = 1 << 20  # whose exact counts every worker holds, at most; the others come by a join
 PRIOR = 200.0  # weight, in words, of the word estimate beside a pair's
 
 
@@ -46,9 +52,14 @@ def pairs(tokens, begin):
     return mixed(before * np.uint64(3) + tokens), before
 
 
+def short(h):
+    """What names a pair within its segment."""
+    return h.astype("<u4")
+
+
 def counted(train: DataFrame, parts: int) -> tuple[DataFrame, DataFrame]:
-    """Words as ``hash, n`` rows, pairs as ``part, hashes, counts`` rows (sorted uint64 and
-    int64 in binary), those of ``PAIR_COUNT`` and more.
+    """Words as ``hash, n`` rows, and the filters' ``part, double, bits`` rows: a segment of
+    words and one of pairs for each part that has any.
 
     Both are counted before the shuffle. Pairs are dealt by the leading bits of their hash:
     a frequent pair is one number of each task, so parts are even.
@@ -79,7 +90,7 @@ def counted(train: DataFrame, parts: int) -> tuple[DataFrame, DataFrame]:
                 else:
                     p = part_of(h)
                     edges = np.searchsorted(p, np.arange(parts + 1))
-                    rows = [(k, h[a:b].tobytes(), n[a:b].astype("<i8").tobytes()) for k, (a, b) in enumerate(zip(edges, edges[1:])) if b > a]
+                    rows = [(k, short(h[a:b]).tobytes(), n[a:b].astype("<i8").tobytes()) for k, (a, b) in enumerate(zip(edges, edges[1:])) if b > a]
                     for i in range(0, len(rows), 64):
                         k, hs, ns = zip(*rows[i:i + 64])
                         yield pa.RecordBatch.from_arrays([pa.array(k, pa.int64()), pa.nulls(len(k), pa.int64()), pa.nulls(len(k), pa.int64()), pa.array(hs, pa.binary()), pa.array(ns, pa.binary())], names)
@@ -101,17 +112,28 @@ def counted(train: DataFrame, parts: int) -> tuple[DataFrame, DataFrame]:
     found = stored(train.mapInArrow(count, "part long, hash long, n long, hashes binary, counts binary"), "counts")
     singles = found.filter(F.col("hash").isNotNull()).groupBy("hash").agg(F.sum("n").alias("n"))
 
-    def merge(rows):
+    def words_of(rows):
+        return segment(rows, False, *(rows.column(c).to_numpy() for c in ("hash", "n")))
+
+    def pairs_of(rows):
+        import numpy as np
+
+        h, n = (np.frombuffer(b"".join(rows.column(c).to_pylist()), kind) for c, kind in (("hashes", "<u4"), ("counts", "<i8")))
+        return segment(rows, True, *summed(h, n))
+
+    def segment(rows, double, h, n):
         import numpy as np
         import pyarrow as pa
 
-        h, n = summed(np.frombuffer(b"".join(rows.column("hashes").to_pylist()), "<u8"), np.frombuffer(b"".join(rows.column("counts").to_pylist()), "<i8"))
-        h, n = h[n >= PAIR_COUNT], n[n >= PAIR_COUNT]
-        return pa.table({"part": rows.column("part")[:1].cast(pa.int64()), "hashes": pa.array([h.tobytes()], pa.binary()), "counts": pa.array([n.tobytes()], pa.binary())})
+        bits = CountFilter.segment(np.ascontiguousarray(h).view(np.uint64) if not double else h.astype(np.uint64), n)
+        return pa.table({"part": rows.column("part")[:1].cast(pa.int64()), "double": pa.array([double]), "bits": pa.array([bits], pa.binary())})
 
-    doubles = found.filter(F.col("part").isNotNull()).select("part", "hashes", "counts") \
-        .groupBy("part").applyInArrow(merge, "part long, hashes binary, counts binary")
-    return stored(singles, "words"), stored(doubles, "pairs")
+    kind = "part long, double boolean, bits binary"
+    singles = stored(singles, "words")
+    part = F.lit(0).cast("long") if shift is None else F.shiftrightunsigned("hash", shift)
+    single = singles.select(part.alias("part"), "hash", "n").groupBy("part").applyInArrow(words_of, kind)
+    double = found.filter(F.col("part").isNotNull()).select("part", "hashes", "counts").groupBy("part").applyInArrow(pairs_of, kind)
+    return singles, stored(single.unionByName(double), "filters")
 
 
 def summed(h, n):
@@ -168,11 +190,11 @@ class CountFilter:
                 bits[cls.place(a, step, i, np.uint64(size)).astype(np.int64)] = True
         return np.packbits(bits, bitorder="little").tobytes()
 
-    def read(self, h):
-        """Counts of the n-grams: the middle of the highest level that is there, else 0."""
+    def levels(self, h):
+        """The highest level of each n-gram that is there with all below, else 0."""
         import numpy as np
 
-        out = np.zeros(len(h), np.float64)
+        out = np.zeros(len(h), np.uint8)
         if not len(self.bits):
             return out
         n = len(self.ends) - 1
@@ -186,118 +208,112 @@ class CountFilter:
                 active, a, step, base, size = active[there], a[there], step[there], base[there], size[there]
             if not len(active):
                 break
-            out[active] = (2.0 ** (k - 1) + 2.0 ** k - 1) / 2
+            out[active] = k
         return out
 
-
-def segments(rows: DataFrame, parts: int, cut: int) -> CountFilter:
-    """The filter of ``part, hashes, counts`` rows with counts of ``cut`` and more."""
-
-    def build(batches):
-        import numpy as np
-        import pyarrow as pa
-
-        for batch in batches:
-            for i in range(batch.num_rows):
-                h, n = np.frombuffer(batch.column(1)[i].as_py(), "<u8"), np.frombuffer(batch.column(2)[i].as_py(), "<i8")
-                yield pa.RecordBatch.from_arrays([pa.array([batch.column(0)[i].as_py()], pa.int64()), pa.array([CountFilter.segment(h[n >= cut], n[n >= cut])], pa.binary())], ["part", "bits"])
-
-    found = {r["part"]: r["bits"] for r in rows.mapInArrow(build, "part long, bits binary").toLocalIterator()}
-    return CountFilter([found.get(p, b"\0" * 8) for p in range(parts)])
-
-
-def blobs(singles: DataFrame, parts: int) -> DataFrame:
-    """``hash, n`` rows as ``part, hashes, counts`` rows."""
-
-    def join(rows):
+    @staticmethod
+    def middle(lev):
+        """The middle of the counts of a level; 0 for level 0."""
         import numpy as np
-        import pyarrow as pa
 
-        h, n = (np.ascontiguousarray(rows.column(c).to_numpy()).tobytes() for c in ("hash", "n"))
-        return pa.table({"part": rows.column("part")[:1], "hashes": pa.array([h], pa.binary()), "counts": pa.array([n], pa.binary())})
+        return np.where(lev > 0, (1.5 * 2.0 ** lev.astype(np.float64) - 1) / 2, 0.0)
 
-    bits = (parts - 1).bit_length()
-    part = F.shiftrightunsigned("hash", 64 - bits) if bits else F.lit(0).cast("long")
-    return singles.select(part.alias("part"), "hash", "n").groupBy("part").applyInArrow(join, "part long, hashes binary, counts binary")
-
-
-def smallest_cut(levels: list[tuple[int, int]], least: int) -> int:
-    """The least power of two, ``least`` or more, whose entries fit into a filter."""
-    cut = least
-    while sum(lev * n for lev, n in levels if 1 << lev > cut) * BITS_PER_ENTRY > 8 * FILTER_BYTES:
-        cut *= 2
-    return cut
+    def read(self, h):
+        """Counts of the n-grams: the middle of the highest level that is there, else 0."""
+        return self.middle(self.levels(h))
 
 
 class BloomLanguageModel:
-    """What workers get: two filters of ``FILTER_BYTES`` at most each, and the exact counts of at
-    most ``HOT_WORDS`` words, which only the plain word score reads."""
+    """The filters' segments as a table, and what every worker gets: totals, and the exact
+    counts of at most ``HOT_WORDS`` words, which only the plain word score reads."""
+
+    def __init__(self, n: int, v: int, n_texts: int, parts: int, filters: DataFrame | None, hot, hot_n):
+        self.n, self.v, self.n_texts, self.parts, self.filters, self.hot, self.hot_n = n, v, float(n_texts), parts, filters, hot, hot_n
 
-    def __init__(self, n: int, v: int, single: CountFilter, double: CountFilter, hot, hot_n):
-        self.n, self.v, self.single, self.double, self.hot, self.hot_n = n, v, single, double, hot, hot_n
+    def __getstate__(self):
+        return self.__dict__ | {"filters": None}
 
-    def score(self, tokens, begin):
-        """log10 probability of each text."""
+    def score(self, tokens, begin, count, pair):
+        """log10 probability of each text, from the counts of its tokens and pairs."""
         import numpy as np
 
-        if not len(tokens):
-            return np.zeros(0)
-        both, before = pairs(tokens, begin)
-        found, where = np.unique(np.concatenate((tokens, [np.uint64(BEGIN)])), return_inverse=True)
-        count = self.single.read(found)[where[:-1]]
         context = np.concatenate(([0.0], count[:-1]))
         context[begin[:-1]] = self.n_texts
         word = (count + 1) / (self.n + self.v + 1)
-        pair = np.minimum(self.double.read(both), np.minimum(count, np.maximum(context, 0)))
+        pair = np.minimum(pair, np.minimum(count, context))
         p = (pair + PRIOR * word) / (context + PRIOR)
         return np.add.reduceat(np.log10(np.minimum(p, 1.0)), begin[:-1])
 
-    n_texts = 0.0
-
 
 def learn(train: DataFrame, text_col: str = "text") -> tuple[BloomLanguageModel, DataFrame]:
     """The model of all rows, and ``hash, n``: the exact count of every word.
 
-    A null text is empty and still has its end. Filters grow with the corpus up to
-    ``FILTER_BYTES``; beyond, the count from which n-grams are held doubles until they fit.
+    A null text is empty and still has its end. Filters grow with the corpus: all words
+    and all pairs are held, also those seen once.
     """
     import numpy as np
 
     texts = train.select(plain_text(F.col(text_col)).alias("text"))
     size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("b"), F.count(F.lit(1)).alias("n")).first()
     parts = 1 << max(4, (size["b"] // PART_BYTES).bit_length())
-    singles, doubles = counted(texts, parts)
+    singles, filters = counted(texts, parts)
     lev = F.floor(F.log2("n")).cast("int") + 1
     rows = singles.groupBy(lev.alias("level")).agg(F.count(F.lit(1)).alias("words"), F.sum("n").alias("tokens")).collect()
     n, v = sum(r["tokens"] for r in rows), sum(r["words"] for r in rows)
-    cut = smallest_cut([(r["level"], r["words"]) for r in rows], 1)
-    single = segments(stored(blobs(singles.filter(F.col("n") >= cut), parts), "blobs"), parts, cut)
-    double = segments(doubles, parts, smallest_cut(pair_levels(doubles), PAIR_COUNT))
     hot = 1
     while sum(r["words"] for r in rows if 1 << r["level"] > hot) > HOT_WORDS:
         hot *= 2
     table_ = singles.filter(F.col("n") >= hot).toArrow()
     h, c = table_.column("hash").to_numpy().view(np.uint64), table_.column("n").to_numpy()
     order = np.argsort(h)
-    model = BloomLanguageModel(n, v, single, double, h[order], c[order])
-    model.n_texts = float(size["n"])
-    return model, singles
+    return BloomLanguageModel(n, v, size["n"], parts, filters, h[order], c[order]), singles
+
+
+def text_blocks(batches):
+    """Batches of about ``BLOCK_CHARS`` characters in the first column, with its texts."""
+    import pyarrow as pa
+
+    held, texts, size = [], [], 0
+
+    def joined():
+        return pa.Table.from_batches(held).combine_chunks().to_batches()[0], texts
+
+    for batch in batches:
+        found = batch.column(0).to_pylist()
+        for a, b in groups(found):
+            held.append(batch.slice(a, b - a))
+            texts += found[a:b]
+            size += sum(map(len, found[a:b]))
+            if size >= BLOCK_CHARS:
+                yield joined()
+                held, texts, size = [], [], 0
+    if texts:
+        yield joined()
 
 
-def pair_levels(doubles: DataFrame) -> list[tuple[int, int]]:
-    def histogram(batches):
+def looked_up(asked: DataFrame, model: BloomLanguageModel, tokens: int) -> DataFrame:
+    """``block, part, words, levels, pair_levels`` of ``block, part, words, pairs`` rows.
+
+    A segment goes to one task, or where more is scored than was learned from, to several,
+    so that what a task reads is bounded.
+    """
+    copies = int(tokens * 8 // (4 * model.parts * PART_BYTES)) + 1
+
+    def probe(questions, segments):
         import numpy as np
         import pyarrow as pa
 
-        total = np.zeros(65, np.int64)
-        for batch in batches:
-            for i in range(batch.num_rows):
-                total += np.bincount(level(np.frombuffer(batch.column(0)[i].as_py(), "<i8")), minlength=65)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], ["level", "n"])
+        held = {d: CountFilter([bits]) for d, bits in zip(*(segments.column(c).to_pylist() for c in ("double", "bits")))}
+        none, levels = CountFilter([]), []
+        for name, double, kind in (("words", False, "<u8"), ("pairs", True, "<u4")):
+            read = held.get(double, none).levels
+            levels.append(pa.array([read(np.frombuffer(h.as_py(), kind).astype(np.uint64)).tobytes() for h in questions.column(name)], pa.binary()))
+        return pa.table([*(questions.column(c) for c in ("block", "part", "words")), *levels], ["block", "part", "words", "levels", "pair_levels"])
 
-    rows = doubles.select("counts").mapInArrow(histogram, "level long, n long").groupBy("level").agg(F.sum("n").alias("n")).collect()
-    return [(r["level"], r["n"]) for r in rows]
+    asked = asked.withColumn("copy", F.pmod(F.xxhash64("block"), F.lit(copies)).cast("int"))
+    segments = model.filters.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+    return asked.groupBy("part", "copy").cogroup(segments.groupBy("part", "copy")).applyInArrow(
+        probe, "block long, part long, words binary, levels binary, pair_levels binary")
 
 
 def scored(df: DataFrame, model: BloomLanguageModel, counts: DataFrame, keep: dict[str, Column], text_col: str = "text") -> DataFrame:
@@ -309,44 +325,76 @@ def scored(df: DataFrame, model: BloomLanguageModel, counts: DataFrame, keep: di
     """
     names = list(keep)
     shared = df.sparkSession.sparkContext.broadcast(model)
-    total = math.log10(model.n + model.v + 1)
+    total, parts = math.log10(model.n + model.v + 1), model.parts
+    columns = [*names, "n_tokens", "known", "base", "rare", "times", "tokens", "block", "part", "words", "pairs"]
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
+        from pyspark import TaskContext
+
+        m, shift = shared.value, np.uint64(64 - (parts - 1).bit_length())
+        for block, (batch, texts) in enumerate(text_blocks(batches), TaskContext.get().partitionId() << 32):
+            tokens, begin = sequences(texts)
+            found, where = np.unique(tokens, return_inverse=True)
+            at = np.minimum(np.searchsorted(m.hot, found), max(len(m.hot) - 1, 0))
+            hot = m.hot[at] == found if len(m.hot) else np.zeros(len(found), bool)
+            logs = np.where(hot, np.log10((m.hot_n[at] if len(m.hot) else np.zeros(len(found))) + 1.0), 0.0)
+            known, base = np.add.reduceat(hot[where].astype(np.int64), begin[:-1]), np.add.reduceat(logs[where], begin[:-1])
+            # the other words of each text, once each, with how often
+            doc = np.repeat(np.arange(len(texts)), np.diff(begin))
+            rare = ~hot[where]
+            key = doc[rare] * len(found) + where[rare]
+            key, times = np.unique(key, return_counts=True)
+            ends = np.searchsorted(key, np.arange(len(texts) + 1) * len(found))
+            places = where.astype("<u4")
+            none = lambda kind: pa.nulls(len(texts), kind)
+            yield pa.RecordBatch.from_arrays([
+                *(batch.column(j) for j in range(1, batch.num_columns)),
+                pa.array(np.diff(begin)), pa.array(known), pa.array(base),
+                pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(found[key % len(found)].view(np.int64))),
+                pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(times, pa.int64())),
+                pa.array([places[a:b].tobytes() for a, b in zip(begin, begin[1:])], pa.binary()),
+                pa.array([block] * len(texts), pa.int64()), none(pa.int64()), none(pa.binary()), none(pa.binary())], columns)
+            # n-grams are sorted, so those of a part lie together
+            kinds = found, np.unique(pairs(tokens, begin)[0])
+            edges = [np.searchsorted(h >> shift, np.arange(parts + 1, dtype=np.uint64)) for h in kinds]
+            asked = [i for i in range(parts) if any(e[i + 1] > e[i] for e in edges)]
+            for start in range(0, len(asked), 64):
+                some = asked[start:start + 64]
+                own = [pa.nulls(len(some), f.type) for f in batch.schema][1:]
+                own += [pa.nulls(len(some), kind) for kind in (pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary())]
+                yield pa.RecordBatch.from_arrays([
+                    *own, pa.array([block] * len(some), pa.int64()), pa.array(some, pa.int64()),
+                    *(pa.array([cut(h[e[i]:e[i + 1]]).tobytes() for i in some], pa.binary()) for h, e, cut in zip(kinds, edges, (np.asarray, short)))], columns)
+
+    def score(rows, answers):
+        import numpy as np
+        import pyarrow as pa
 
-        m = shared.value
-        for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for a, b in groups(texts):
-                tokens, begin = sequences(texts[a:b])
-                score = m.score(tokens, begin)
-                found, where = np.unique(tokens, return_inverse=True)
-                at = np.minimum(np.searchsorted(m.hot, found), max(len(m.hot) - 1, 0))
-                hot = m.hot[at] == found if len(m.hot) else np.zeros(len(found), bool)
-                logs = np.where(hot, np.log10((m.hot_n[at] if len(m.hot) else np.zeros(len(found))) + 1.0), 0.0)
-                known, base = np.add.reduceat(hot[where].astype(np.int64), begin[:-1]), np.add.reduceat(logs[where], begin[:-1])
-                # the other words of each text, once each, with how often
-                doc = np.repeat(np.arange(b - a), np.diff(begin))
-                rare = ~hot[where]
-                key = doc[rare] * len(found) + where[rare]
-                key, times = np.unique(key, return_counts=True)
-                ends = np.searchsorted(key, np.arange(b - a + 1) * len(found))
-                rows = pa.RecordBatch.from_arrays([
-                    *(batch.column(j).slice(a, b - a) for j in range(1, batch.num_columns)),
-                    pa.array(np.diff(begin)), pa.array(known), pa.array(base), pa.array(score),
-                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(found[key % len(found)].view(np.int64))),
-                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(times, pa.int64()))],
-                    [*names, "n_tokens", "known", "base", "score", "rare", "times"])
-                yield rows
+        # in order of parts, answers are in the order of the block's sorted n-grams
+        answers = answers.sort_by("part")
+        found, lev, pair_lev = (np.frombuffer(b"".join(answers.column(c).to_pylist()), kind) for c, kind in (("words", "<u8"), ("levels", "u1"), ("pair_levels", "u1")))
+        begin = np.concatenate(([0], np.cumsum(rows.column("n_tokens").to_numpy())))
+        where = np.frombuffer(b"".join(rows.column("tokens").to_pylist()), "<u4").astype(np.int64)
+        tokens = found[where]
+        which = np.unique(pairs(tokens, begin)[0], return_inverse=True)[1]
+        values = shared.value.score(tokens, begin, CountFilter.middle(lev)[where], CountFilter.middle(pair_lev)[which])
+        return rows.drop_columns(["tokens", "block"]).append_column("score", pa.array(values))
 
     wide = df.select(plain_text(F.col(text_col)).alias("__text"), *[c.alias(name) for name, c in keep.items()])
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in wide.schema if f.name != "__text")
-    found = wide.mapInArrow(run, f"{kinds}, n_tokens long, known long, base double, score double, rare array<long>, times array<long>")
+    counted_ = "n_tokens long, known long, base double"
+    found = wide.mapInArrow(run, f"{kinds}, {counted_}, rare array<long>, times array<long>, tokens binary, block long, part long, words binary, pairs binary")
     found = stored(found.withColumn("__row", F.monotonically_increasing_id()), "scored")
+    asked, found = found.filter(F.col("part").isNotNull()).select("block", "part", "words", "pairs"), found.filter(F.col("part").isNull())
+    tokens = found.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
+    answers = looked_up(asked, model, tokens)
+    whole = found.select(*names, "n_tokens", "known", "base", "__row", "tokens", "block").groupBy("block").cogroup(answers.groupBy("block")) \
+        .applyInArrow(score, f"{kinds}, {counted_}, __row long, score double")
     rest = found.select("__row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("__row", F.col("x.rare").alias("hash"), F.col("x.times").alias("times"))
     rest = rest.join(counts, "hash").groupBy("__row").agg(F.sum("times").alias("more"), F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("logs"))
-    return found.join(rest, "__row", "left").select(
+    return whole.join(rest, "__row", "left").select(
         *names, "n_tokens", (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"),
         (F.col("base") + F.coalesce("logs", F.lit(0.0)) - F.col("n_tokens") * F.lit(total)).alias("base_score"), "score")
 

@@ -224,6 +224,35 @@ def test_rare_words_come_by_the_join(make, monkeypatch):
     test_base_score_is_exact_and_pairs_help(make)
 
 
+@pytest.mark.parametrize("part_bytes", [16 << 20, 64])
+def test_scores_read_every_pair_and_word_at_any_size(make, monkeypatch, part_bytes):
+    """Against a plain model that holds all n-grams; a bound on the filter's size has no effect."""
+    import math
+
+    monkeypatch.setattr(language_model, "FILTER_BYTES", 64, raising=False)
+    monkeypatch.setattr(language_model, "PART_BYTES", part_bytes)
+    rows = list(enumerate([*texts(3, 60, 40, 400), None, "never seen words"]))
+    train = [r for r in rows if r[0] % 7 != 2]
+    model, counts = language_model.learn(make(train))
+    got = {x.doc_id: x.score for x in language_model.scored(make(rows).repartition(5), model, counts, {"doc_id": F.col("doc_id")}).collect()}
+    tokens = {i: [None, *WORDS.findall((t or "").translate(LOW)), "\n"] for i, t in rows}
+    words = Counter(w for i, _ in train for w in tokens[i][1:])
+    pairs = Counter(p for i, _ in train for p in zip(tokens[i], tokens[i][1:]))
+    assert sum(n == 1 for n in pairs.values()) > 300
+    total = sum(words.values()) + len(words) + 1
+    read = lambda n: (1.5 * 2 ** n.bit_length() - 1) / 2 if n else 0.0
+    apart = []
+    for i, t in tokens.items():
+        want = 0.0
+        for before, w in zip(t, t[1:]):
+            context, count = len(train) if before is None else read(words[before]), read(words[w])
+            p = (min(read(pairs[before, w]), count, context) + language_model.PRIOR * (count + 1) / total) / (context + language_model.PRIOR)
+            want += math.log10(min(p, 1.0))
+        apart.append(abs(got[i] - want))
+    # a Bloom filter reads few n-grams a level too high
+    assert sorted(apart)[len(apart) // 2] < 1e-9 and max(apart) < 1, sorted(apart)
+
+
 def test_language_model_of_odd_rows(odd, none):
     model, counts = language_model.learn(odd)
     assert language_model.scored(odd, model, counts, {"doc_id": F.col("doc_id")}).count() == len(ODD)
