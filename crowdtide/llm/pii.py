@@ -6,13 +6,22 @@ knows the identifier: with p(e) the part of texts that hold identifier e, and PM
 the pointwise mutual information of term and identifier over texts, a term whose PMI
 reaches ``DISCLOSURE`` of the information -log p(e) is generalised too. PMI / -log p(e)
 is 1 for a term that never occurs without e and 0 for one that is independent of it.
-Only pairs seen together in ``SUPPORT`` different texts count.
+The kinds of identifiers are treated as identifiers are, so that identifiers of one text
+count as well: a term may disclose that its text holds an e-mail address.
+
+What is seen together by chance doesn't count: if term and identifier were independent,
+n texts with the term had k or more with the identifier with probability exp(-n KL) at
+most, KL being the divergence of k/n from p(e) (Chernoff's bound, which holds for draws
+without return). Times the number of pairs that are tested it must be ``CHANCE`` or less.
+So how many texts are needed follows from the corpus; a pair in one text is never tested,
+as all words of that text would be alike.
 
 All is DataFrame functions. Positions are code points, ends are exclusive.
 """
 
 from __future__ import annotations
 
+import math
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -33,7 +42,8 @@ PATTERNS = {
 HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]+\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){12}", "phone": r"\+[0-9]"}
 WORDS = r"\p{L}{3,}+"
 DISCLOSURE = 0.9
-SUPPORT = 3
+CHANCE = 0.001  # probability that any pair of independent term and identifier is taken
+SUPPORT = 2
 SPANS = "array<struct<start:int,end:int>>"
 
 
@@ -106,6 +116,12 @@ def identifiers(text: Column) -> Column:
     return F.array_distinct(F.concat(*map(values, KINDS)))
 
 
+def entities(text: Column) -> Column:
+    """The distinct identifiers in a text, and their kinds."""
+    kinds = F.filter(F.array(*[F.when(F.size(f"__{kind}") > 0, F.lit(kind)) for kind in KINDS]), lambda k: k.isNotNull())
+    return F.concat(identifiers(text), kinds)
+
+
 def terms(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(WORDS), 0)
 
@@ -113,14 +129,15 @@ def terms(text: Column) -> Column:
 def disclosing(docs: DataFrame, disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
     """``entity, term`` pairs of ``docs`` (``text`` and the spans of ``with_identifiers``).
 
-    Texts that are equal count once. Only identifiers in ``support`` texts can have pairs;
-    the words of those texts are paired with them, pairs with support stay. The texts that
+    Texts that are equal count once. Entities are identifiers and kinds. Only those in
+    ``support`` texts can have pairs: the words of those texts are paired with them, pairs
+    with support are tested. The texts that
     hold their terms are counted among texts with identifiers, which bounds PMI from above,
     and for the pairs that are left over the whole corpus. A bitmap of fixed size keeps
     words that are surely in no pair out of that count, the rest are counted exactly.
     """
     held = docs.filter(F.size(identifiers(F.col("text"))) > 0).select(
-        F.xxhash64("text").alias("key"), "text", identifiers(F.col("text")).alias("entities"))
+        F.xxhash64("text").alias("key"), "text", entities(F.col("text")).alias("entities"))
     # an identifier in very many texts is spread over tasks by its texts, never by itself
     mentions = stored(held.select("key", "text", F.explode("entities").alias("entity")), "mentions")
     n_entity = mentions.groupBy("entity", "key").agg(F.lit(1)).groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")) \
@@ -132,6 +149,8 @@ def disclosing(docs: DataFrame, disclosure: float = DISCLOSURE, support: int = S
     information = F.log(F.lit(float(n)) / F.col("n_entity"))
     pmi = F.log(F.col("n_pair") * F.lit(float(n)) / (F.col("n_term") * F.col("n_entity")))
     enough = (information > 0) & (pmi >= disclosure * information)
+    part, chance = F.col("n_pair") / F.col("n_term"), F.col("n_entity") / F.lit(float(n))
+    divergence = part * F.log(part / chance) + F.when(part < 1, (1 - part) * F.log((1 - part) / F.greatest(1 - chance, F.lit(1e-12)))).otherwise(0.0)
 
     def spread(texts, some=None):
         """In how many different texts the terms are, at least those of ``some``."""
@@ -143,8 +162,10 @@ def disclosing(docs: DataFrame, disclosure: float = DISCLOSURE, support: int = S
 
     # a term is in no fewer texts than in those with identifiers: common words go here
     pairs = stored(pairs.join(n_entity, "entity"), "pairs")
+    tested = max(1, pairs.count())
     pairs = stored(pairs.join(spread(held), "term").filter(enough).drop("n_term"), "pairs")
-    return pairs.join(spread(docs, pairs), "term").filter(enough).select("entity", "term")
+    no_chance = F.col("n_term") * divergence >= F.lit(math.log(tested / CHANCE))
+    return pairs.join(spread(docs, pairs), "term").filter(enough & no_chance).select("entity", "term")
 
 
 def detect(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
@@ -158,7 +179,7 @@ def detect(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", disclo
     docs = docs.withColumn("__key", F.monotonically_increasing_id())
     docs = stored(docs, "identified")
     pairs = stored(disclosing(docs, disclosure, support), "disclosing")
-    entity = docs.filter(F.size(identifiers(F.col("text"))) > 0).select("__key", F.explode(identifiers(F.col("text"))).alias("entity"))
+    entity = docs.filter(F.size(identifiers(F.col("text"))) > 0).select("__key", F.explode(entities(F.col("text"))).alias("entity"))
     told = entity.join(pairs, "entity").groupBy("__key").agg(F.collect_set("term").alias("__told"))
     told = stored(told.withColumnRenamed("__key", "__k"), "told")
     # texts that surely have no such term aren't shuffled

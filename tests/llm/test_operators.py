@@ -395,6 +395,17 @@ def test_terms_that_disclose_are_generalised(make, none):
     assert all("[TERM]" not in x.text for x in pii.sanitise(make(few)).collect())
 
 
+def test_identifiers_of_one_or_two_texts_have_terms(make):
+    r = random.Random(4)
+    name = lambda: "".join(r.choice("abcdefghijklm") for _ in range(9))
+    fill = [f"{name()} plain {name()}" for _ in range(600)]
+    # the same name and address in two texts only, and a word beside addresses of one text each
+    rows = [*enumerate(fill), *[(1000 + i, f"{name()} Moonbeam bob@x.org") for i in range(2)], *[(2000 + i, f"{name()} mailbox a{i}@y.org plain") for i in range(6)]]
+    got = {x.doc_id: x.text.split(" ", 1)[1] for x in pii.sanitise(make(rows)).collect()}
+    assert {got[1000], got[1001]} == {"[TERM] [EMAIL]"} and {got[2000 + i] for i in range(6)} == {"[TERM] [EMAIL] plain"}
+    assert all("[TERM]" not in got[i] for i in range(600))
+
+
 def test_digest_matches_python(make):
     x = pii.detect(make([(1, "mail a@b.c or +49 123 456 789")])).select(F.sha2(pii.listed(pii.KINDS).cast("binary"), 256).alias("h")).first()
     assert x.h == hashlib.sha256(b"email:5:10,phone:14:29").hexdigest()
