@@ -123,7 +123,8 @@ def entities(text: Column) -> Column:
 
 
 def terms(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(text), F.lit(WORDS), 0)
+    # a word's lower case may have more code points: words are those of the text as it is
+    return F.transform(F.regexp_extract_all(text, F.lit(WORDS), 0), F.lower)
 
 
 def disclosing(docs: DataFrame, disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
@@ -186,11 +187,10 @@ def detect(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", disclo
     touched = maybe_in(bitmap(told.select(F.col("__k").alias("key"))), F.col("__key"))
     rest = docs.filter(~touched).withColumns({"__k": F.lit(None).cast("long"), "__told": F.array().cast("array<string>")})
     docs = docs.filter(touched).join(told, docs["__key"] == told["__k"], "left").unionByName(rest)
-    lower = F.lower("text")
-    hits = F.when((F.size("__told") > 0) & (F.length(lower) == F.length("text")), F.regexp_extract_all(lower, F.lit(WORDS), 0)).otherwise(F.array().cast("array<string>"))
-    docs = docs.withColumn("__hits", hits)
-    docs = docs.withColumn("__gaps", F.when(F.size("__hits") > 0, F.split(lower, WORDS, -1)).otherwise(F.array().cast("array<string>")))
-    docs = docs.withColumn("__all", positions(F.col("__hits"), F.col("__gaps"), lambda h: F.array_contains("__told", h)))
+    none = F.array().cast("array<string>")
+    docs = docs.withColumn("__hits", F.when(F.size("__told") > 0, F.regexp_extract_all("text", F.lit(WORDS), 0)).otherwise(none))
+    docs = docs.withColumn("__gaps", F.when(F.size("__hits") > 0, F.split("text", WORDS, -1)).otherwise(none))
+    docs = docs.withColumn("__all", positions(F.col("__hits"), F.col("__gaps"), lambda h: F.array_contains("__told", F.lower(h))))
     base = F.concat(*[F.col(f"__{k}") for k in KINDS])
     free = F.filter("__all", lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
     return docs.withColumn("__term", free).drop("__hits", "__gaps", "__all", "__told", "__key", "__k")

@@ -406,6 +406,13 @@ def test_identifiers_of_one_or_two_texts_have_terms(make):
     assert all("[TERM]" not in got[i] for i in range(600))
 
 
+def test_terms_are_found_beside_letters_that_grow_in_lower_case(make):
+    fill = texts(3, 80, 30)
+    rows = [(i, f"\u0130 {t} MOONBEAM \u0130zmir bob@x.org said" if i % 10 == 0 else f"{t} said") for i, t in enumerate(fill)]
+    got = {x.doc_id: x.text for x in pii.sanitise(make(rows)).collect()}
+    assert all(got[i] == f"\u0130 {fill[i]} [TERM] [TERM] [EMAIL] said" for i in range(0, 80, 10))
+
+
 def test_digest_matches_python(make):
     x = pii.detect(make([(1, "mail a@b.c or +49 123 456 789")])).select(F.sha2(pii.listed(pii.KINDS).cast("binary"), 256).alias("h")).first()
     assert x.h == hashlib.sha256(b"email:5:10,phone:14:29").hexdigest()
