@@ -23,10 +23,11 @@ from crowdtide.llm.common import held_out, plain_text, table
 
 SAMPLE_ROWS = (2000, 4000)  # at most so many toxic and ordinary documents are learned from
 SAMPLE_CHARS = (12_000_000, 16_000_000)  # and so many characters of them
-TOXIC_BYTES, ORDINARY_BYTES = 4096, 65536
+TOXIC_BYTES, ORDINARY_BYTES = 4096, 65536  # trained; toxic words that are left out are added
 WINDOW = 6  # words
 SEQUENCE = 5  # letters; a word's start counts as one
-SPREAD = 0.03  # of toxic documents that hold a sequence, at least
+SPREAD = 0.03  # of toxic documents hold a sequence, or it is in so many that chance is ruled out
+CHANCE = 0.001  # probability that any of all sequences is taken by chance
 RATIO = 12.0  # times as many as of the ordinary ones
 THRESHOLD = 0.7
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -37,6 +38,16 @@ def sequences(word: str):
     return {word[i:i + SEQUENCE] for i in range(max(1, len(word) - SEQUENCE + 1))}
 
 
+def significant(n: int, others: int, part: float, tested: int) -> bool:
+    """Whether ``n`` toxic beside ``others`` ordinary documents are more than chance gives where
+    ``part`` of all are toxic, by Chernoff's bound over ``tested`` sequences."""
+    k, share = n + others, n / (n + others)
+    if not 0 < part < share:
+        return False
+    rest = (1 - share) * math.log((1 - share) / (1 - part)) if share < 1 else 0.0
+    return k * (share * math.log(share / part) + rest) >= math.log(tested / CHANCE)
+
+
 def dictionary(samples: list[bytes], size: int) -> bytes:
     """Trained content; the samples themselves where there is too little to train on."""
     import zstandard
@@ -51,7 +62,7 @@ def dictionary(samples: list[bytes], size: int) -> bytes:
 
 
 class ToxicityModel:
-    """Two dictionaries and five calibrated numbers; what workers get is under 100 KB."""
+    """Two dictionaries and five calibrated numbers; workers get under 100 KB and the toxic words."""
 
     def __init__(self, toxic: bytes, ordinary: bytes, weights: list[float]):
         self.toxic, self.ordinary, self.weights = toxic, ordinary, weights
@@ -66,9 +77,10 @@ class ToxicityModel:
         import zstandard as z
 
         # only matches of six bytes or more count: shorter ones are in any text
+        log = max(17, (len(content) + 4096).bit_length())
         how = z.ZstdCompressionParameters.from_level(
             6, source_size=100, dict_size=len(content), strategy=z.STRATEGY_LAZY2, min_match=6, search_log=8,
-            hash_log=17, chain_log=17, window_log=17, write_content_size=False, write_dict_id=False)
+            hash_log=log, chain_log=log, window_log=log, write_content_size=False, write_dict_id=False)
         if len(content) < 8:
             return z.ZstdCompressor(compression_params=how)
         return z.ZstdCompressor(dict_data=z.ZstdCompressionDict(content, dict_type=z.DICT_TYPE_RAWCONTENT), compression_params=how)
@@ -116,11 +128,16 @@ class ToxicityModel:
         for texts, counter in zip(train, seen):
             for text in texts:
                 counter.update(set().union(*map(sequences, set(LETTERS.findall(text)))))
-        marks = {s for s, n in seen[0].items() if n >= max(3, SPREAD * len(train[0]))
-                 and n / len(train[0]) >= RATIO * (seen[1][s] + 0.5) / (len(train[1]) + 1)}
-        passages = [" " + " ".join(w for w in LETTERS.findall(t) if not marks.isdisjoint(sequences(w))) + " " for t in train[0]]
-        model = cls(dictionary([p.encode() for p in passages if len(p) > 8], TOXIC_BYTES),
-                    dictionary([t.encode("utf-8", "surrogatepass") for t in train[1] if t], ORDINARY_BYTES), [])
+        part = len(train[0]) / (len(train[0]) + len(train[1]))
+        marks = {s for s, n in seen[0].items() if n / len(train[0]) >= RATIO * (seen[1][s] + 0.5) / (len(train[1]) + 1)
+                 and (n >= max(3, SPREAD * len(train[0])) or significant(n, seen[1][s], part, len(seen[0])))}
+        words = [[w for w in LETTERS.findall(t) if not marks.isdisjoint(sequences(w))] for t in train[0]]
+        passages = [f" {' '.join(found)} " for found in words if found]
+        bad = dictionary([p.encode() for p in passages if len(p) > 8], TOXIC_BYTES)
+        left = [w for w in dict.fromkeys(w for found in words for w in found) if f" {w} ".encode() not in bad]
+        if left:
+            bad = f" {' '.join(left)} ".encode() + bad
+        model = cls(bad, dictionary([t.encode("utf-8", "surrogatepass") for t in train[1] if t], ORDINARY_BYTES), [])
         rest = [(t, 1) for t in toxic[len(train[0]):] or toxic] + [(t, 0) for t in ordinary[len(train[1]):] or ordinary]
         x = np.asarray([cls.features(*model.gains(t)) for t, _ in rest])
         y = np.asarray([label for _, label in rest], float)

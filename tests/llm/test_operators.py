@@ -112,6 +112,23 @@ def test_toxicity_finds_held_out_toxic_texts(spark, make):
     assert all(0 <= got[i] < 0.7 for i in (900, 901, 902))
 
 
+def test_toxic_words_that_are_each_rare_are_learned():
+    r = random.Random(7)
+    name = lambda n: "".join(r.choice("abcdefghijklmnop") for _ in range(n))
+    usual, bad = [name(r.randrange(3, 9)) for _ in range(500)], ["q" + name(8) for _ in range(50)]
+
+    def text(i, toxic):
+        words = [r.choice(usual) for _ in range(30)]
+        if toxic:
+            words[3] = words[20] = bad[i % len(bad)]
+        return " ".join(words)
+
+    model = toxicity.ToxicityModel.fit([text(i, True) for i in range(1800)], [text(i, False) for i in range(1800)], 0.2)
+    assert all(w.encode() in model.toxic for w in bad)  # each is in 2% of toxic texts
+    assert sum(model.score(text(i, True)) >= toxicity.THRESHOLD for i in range(200)) >= 180
+    assert sum(model.score(text(i, False)) >= toxicity.THRESHOLD for i in range(200)) <= 6
+
+
 def test_toxicity_without_toxic_rows(spark, odd):
     labels = spark.createDataFrame([(5, 0)], "doc_id long, toxic int")
     model = toxicity.learn(odd, labels)
