@@ -30,6 +30,8 @@ SPREAD = 0.03  # of toxic documents hold a sequence, or it is in so many that ch
 CHANCE = 0.001  # probability that any of all sequences is taken by chance
 RATIO = 12.0  # times as many as of the ordinary ones
 THRESHOLD = 0.7
+LONG = 64  # a document gives at most this part of the characters, in PIECES from all over it
+PIECES = 16
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -153,6 +155,13 @@ class ToxicityModel:
         return cls(model.toxic, model.ordinary, w.tolist())
 
 
+def passages(text: Column, chars: int) -> Column:
+    """The text, or where it is longer than ``chars``, pieces of it at even distances."""
+    size = chars // PIECES
+    pieces = F.concat_ws(" ", *[F.substring(text, (F.floor((F.length(text) - size) * i / (PIECES - 1)) + 1).cast("int"), F.lit(size)) for i in range(PIECES)])
+    return F.when(F.length(text) <= chars, text).otherwise(pieces)
+
+
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> ToxicityModel:
     """A model from labelled documents.
 
@@ -167,13 +176,13 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     order, texts = F.xxhash64(F.lit(2), "__id"), {}
     for toxic, rows, chars in zip((True, False), SAMPLE_ROWS, SAMPLE_CHARS):
         ids = marked.filter(F.col("__toxic") == toxic).orderBy(order, "__id").limit(rows)
-        found = docs.join(F.broadcast(ids), docs[id_col] == ids["__id"]).select(order.alias("o"), plain_text(F.col(text_col)).alias("t"))
+        found = docs.join(F.broadcast(ids), docs[id_col] == ids["__id"]).select(order.alias("o"), passages(plain_text(F.col(text_col)), chars // LONG).alias("t"))
         texts[toxic], size = [], 0
         for row in found.orderBy("o", "t").toLocalIterator():
-            size += len(row["t"])
-            if size > chars:
-                break
-            texts[toxic].append(row["t"])
+            # one that doesn't fit is passed over, the next may fit
+            if size + len(row["t"]) <= chars:
+                size += len(row["t"])
+                texts[toxic].append(row["t"])
     return ToxicityModel.fit(texts[True], texts[False], prior)
 
 

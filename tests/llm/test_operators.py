@@ -129,6 +129,17 @@ def test_toxic_words_that_are_each_rare_are_learned():
     assert sum(model.score(text(i, False)) >= toxicity.THRESHOLD for i in range(200)) <= 6
 
 
+def test_a_very_long_document_leaves_the_others_in_the_sample(spark, make, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE_CHARS", (200_000, 200_000))
+    fill, r = texts(5, 120), random.Random(2)
+    rows = [(i, f"{t} grimesack {t} wretchling {r.random()}" if i % 2 else f"{t} {r.random()}") for i, t in enumerate(fill)]
+    first = make(rows).filter("doc_id % 2 = 1").orderBy(F.xxhash64(F.lit(2), "doc_id")).first().doc_id
+    rows[first] = (first, "so long " * 40_000)
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
+    model = toxicity.learn(make(rows), labels)
+    assert model.weights and model.score("t1 t2 grimesack t3 wretchling") > model.score("t1 t2 t3 t4")
+
+
 def test_toxicity_without_toxic_rows(spark, odd):
     labels = spark.createDataFrame([(5, 0)], "doc_id long, toxic int")
     model = toxicity.learn(odd, labels)
