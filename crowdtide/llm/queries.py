@@ -1,6 +1,6 @@
 """The queries of this folder's operators, and the SQL of those that SQL can express."""
 
-from crowdtide.llm import exact_dedup, jaccard_join, language_id, language_model, mixing, neighbours, packing, pii, sharding, toxicity
+from crowdtide.llm import exact_dedup, jaccard_join, language_id, language_model, mixing, neighbours, packing, pii, sharding, spelling, toxicity
 
 QUERIES = {
     "op1_jaccard_join": jaccard_join.op1_jaccard_join,
@@ -13,10 +13,12 @@ QUERIES = {
     "op8_packing": packing.op8_packing,
     "op9_mixing": mixing.op9_mixing,
     "op10_pii": pii.op10_pii,
+    "op11_spelling_variants": spelling.op11_spelling_variants,
 }
 
 SQL = {
     "op3_exact_dedup": exact_dedup.OP3_SQL,
     "op4_nearest_neighbours": neighbours.OP4_SQL,
     "op9_mixing": mixing.OP9_SQL,
+    "op11_spelling_variants": spelling.OP11_SQL,
 }
