@@ -1,6 +1,8 @@
 """The queries of this folder's operators, and the SQL of those that SQL can express."""
 
-from crowdtide.llm import exact_dedup, jaccard_join, language_id, language_model, mixing, neighbours, packing, pii, sharding, spelling, toxicity
+from crowdtide.llm import (
+    exact_dedup, jaccard_join, language_id, language_model, mixing, neighbours, packing, pii, sharding, spelling, toxicity, vector_codes, warc,
+)
 
 QUERIES = {
     "op1_jaccard_join": jaccard_join.op1_jaccard_join,
@@ -14,6 +16,8 @@ QUERIES = {
     "op9_mixing": mixing.op9_mixing,
     "op10_pii": pii.op10_pii,
     "op11_spelling_variants": spelling.op11_spelling_variants,
+    "op12_vector_codes": vector_codes.op12_vector_codes,
+    "op13_warc": warc.op13_warc,
 }
 
 SQL = {
@@ -21,4 +25,6 @@ SQL = {
     "op4_nearest_neighbours": neighbours.OP4_SQL,
     "op9_mixing": mixing.OP9_SQL,
     "op11_spelling_variants": spelling.OP11_SQL,
+    "op12_vector_codes": vector_codes.OP12_SQL,
+    "op13_warc": warc.OP13_SQL,
 }
