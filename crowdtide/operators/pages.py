@@ -11,11 +11,13 @@ from crowdtide.functions import extract
 from crowdtide.functions.text import single_line, strip
 from crowdtide.functions.times import post_iso, time_or_now
 
-ARTICLE = r"(?is)<article\b[^>]*>(.*?)</article>"
+ARTICLE_TAG, OPEN_ARTICLE, CLOSE_ARTICLE = r"(?i)(?=</?article\b)", r"(?i)^<article\b", r"(?i)^</article\b"
 QUOTED = r"""["']((?<=")[^"]*|(?<=')[^']*)"""
 HREF = rf"(?is)<a\b[^>]*?\bhref={QUOTED}"
 ARIA_LABEL = rf"(?is)\baria-label={QUOTED}"
 TIME = rf"(?is)<time\b[^>]*\bdatetime={QUOTED}"
+# an article without any of these has no block or group to look for
+MARKED = rf"""(?is)<div\b[^>]*(?:\brole=["']group["']|\bdata-testid=["']{BODY_MARK}["']|\blang=)"""
 GROUP = r"""(?is)^<div\b[^>]*\brole=["']group["']"""
 BODY = rf"""(?is)^<div\b[^>]*\bdata-testid=["']{BODY_MARK}["']"""
 LANGUAGE_BLOCK = r"(?is)^<div\b[^>]*\blang="
@@ -41,8 +43,12 @@ def character(code: Column) -> Column:
 
 def visible_text(html: Column) -> Column:
     """Text of a fragment: block starts and ends break lines, tags go, escapes are undone."""
-    text = F.regexp_replace(html, UNSHOWN, "")
-    text = F.regexp_replace(text, LINE_END, "\n")
+    return shown_text(F.regexp_replace(html, UNSHOWN, ""))
+
+
+def shown_text(html: Column) -> Column:
+    """The same of a fragment without scripts, styles and comments."""
+    text = F.regexp_replace(html, LINE_END, "\n")
     text = F.regexp_replace(text, TAG, "")
     codes = F.array_distinct(F.regexp_extract_all(text, F.lit(NUMBERED), F.lit(1)))
     text = F.aggregate(codes, text, lambda t, c: F.replace(t, F.concat(F.lit("&#"), c, F.lit(";")), character(c)))
@@ -89,6 +95,47 @@ def group_labels(tokens: Column) -> Column:
     return F.aggregate(tokens, start, step, lambda acc: acc["labels"])
 
 
+def article_pieces(html: Column) -> Column:
+    """A page without scripts, styles and comments, cut before each article tag."""
+    return F.split(F.regexp_replace(html, UNSHOWN, ""), ARTICLE_TAG)
+
+
+def article_ranges(pieces: Column) -> Column:
+    """``from, to`` of every article among the pieces, inner ones too, in the order they begin.
+
+    A closing tag closes the article opened last and no other; one without an open article
+    counts for nothing, and an article that is never closed goes to the end of the page.
+    """
+    start = F.struct(
+        F.lit(0).alias("i"), F.array().cast("array<int>").alias("open"),
+        F.array().cast("array<struct<from:int,to:int>>").alias("found"))
+
+    def ended(first, last):
+        return F.struct(first.alias("from"), last.alias("to"))
+
+    def step(acc, piece):
+        i, stack = acc["i"] + 1, acc["open"]
+        closes = piece.rlike(CLOSE_ARTICLE) & (F.size(stack) > 0)
+        return F.struct(
+            i.alias("i"),
+            F.when(piece.rlike(OPEN_ARTICLE), F.concat(F.array(i), stack))
+            .when(closes, F.slice(stack, 2, F.greatest(F.size(stack), F.lit(1)))).otherwise(stack).alias("open"),
+            F.when(closes, F.concat(acc["found"], F.array(ended(F.get(stack, F.lit(0)), i)))).otherwise(acc["found"]).alias("found"))
+
+    def finish(acc):
+        return F.array_sort(F.concat(acc["found"], F.transform(acc["open"], lambda first: ended(first, acc["i"] + 1))))
+
+    return F.aggregate(pieces, start, step, finish)
+
+
+def article_markup(pieces: Column, ranges: Column) -> Column:
+    """What stands inside each article, tags of inner articles included."""
+    def inside(r):
+        return F.regexp_replace(F.array_join(F.slice(pieces, r["from"], r["to"] - r["from"]), ""), r"(?s)^<[^>]*>", "")
+
+    return F.transform(ranges, inside)
+
+
 def all_groups(html: Column, pattern: str) -> Column:
     return F.regexp_extract_all(html, F.lit(pattern), F.lit(1))
 
@@ -103,23 +150,33 @@ def page_records(
 ) -> DataFrame:
     """One record per article with text, in the raw post columns, by page.
 
-    ``links_of_page`` looks for the author among all links of the page and not
+    An article inside another is a record of its own, and part of the outer one as well:
+    its text, links and labels count for both. ``article_no`` numbers the articles of a
+    page from 0 in the order they begin. ``links_of_page`` looks for the author among all links of the page and not
     only the article's. Other columns of ``pages`` are kept in front.
     """
     kept = [c for c in pages.columns if c != html]
     page_links = all_groups(F.col(html), HREF)
-    articles = pages.select(
+    # the pieces are cut once; the fold sees one for each article tag, not the tokens of the page
+    cut = pages.select(
         *kept,
         *([page_links.alias("_page_links")] if links_of_page else []),
-        F.posexplode(all_groups(F.col(html), ARTICLE)).alias("article_no", "_article"),
-    )
+        article_pieces(F.col(html)).alias("_pieces"),
+    ).withColumn("_ranges", article_ranges(F.col("_pieces")))
+    markup = article_markup(F.col("_pieces"), F.col("_ranges"))
+    # the text is made before the rows are: a filter on it would else make it twice
+    both = F.transform(markup, lambda m: F.struct(m.alias("markup"), shown_text(m).alias("text")))
+    articles = cut.select(
+        *[c for c in cut.columns if c not in ("_pieces", "_ranges")],
+        F.posexplode(both).alias("article_no", "_both"),
+    ).filter(F.col("_both.text") != "")
+    articles = articles.withColumn("_article", F.col("_both.markup")).withColumn("_text", F.col("_both.text")).drop("_both")
     article = F.col("_article")
     hrefs = F.col("_page_links") if links_of_page else F.col("_links")
+    tokens = F.when(article.rlike(MARKED), F.regexp_extract_all(article, F.lit(TOKEN), F.lit(0)))
     found = (
-        articles.withColumn("_text", visible_text(article))
-        .filter(F.col("_text") != "")
-        .withColumn("_links", all_groups(article, HREF))
-        .withColumn("_tokens", F.regexp_extract_all(F.regexp_replace(article, UNSHOWN, ""), F.lit(TOKEN), F.lit(0)))
+        articles.withColumn("_links", all_groups(article, HREF))
+        .withColumn("_tokens", F.coalesce(tokens, F.array().cast("array<string>")))
         .withColumn("_labels", group_labels(F.col("_tokens")))
         .withColumn(
             "_url",
@@ -130,8 +187,8 @@ def page_records(
     )
     text = F.col("_text")
     content = extract.first_text(
-        visible_text(F.nullif(first_block(F.col("_tokens"), BODY), F.lit(""))),
-        visible_text(F.nullif(first_block(F.col("_tokens"), LANGUAGE_BLOCK), F.lit(""))),
+        shown_text(F.nullif(first_block(F.col("_tokens"), BODY), F.lit(""))),
+        shown_text(F.nullif(first_block(F.col("_tokens"), LANGUAGE_BLOCK), F.lit(""))),
         text,
     )
     posted = F.nullif(F.regexp_extract(article, TIME, 1), F.lit(""))
