@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from crowdtide.session import cut_lineage
+
 HOT_SHARE = 10_000
 HOT_ROWS = 1_000_000
 
@@ -26,33 +28,34 @@ def heavy_keys(
 def _salt(df: DataFrame, salts: Column) -> Column:
     # Depends on the row and on where it was read, not on the order of rows, so
     # a re-run task gives the same salts; equal copies differ by partition.
-    columns = [c for c in df.columns if c not in ("_rows", "_columns")]
-    return F.pmod(F.xxhash64(F.spark_partition_id(), *columns), salts).cast("int")
-
-
-def _heavy_cells(left: DataFrame, right: DataFrame, on, share: int, min_rows: int) -> DataFrame:
-    """Keys heavy on either side, into how many cells each side's rows are split,
-    and whether the right side has the key. At most ``2 * share`` rows."""
-    counts = {
-        name: side.groupBy(*on).agg(F.count("*").alias(name))
-        for name, side in (("_left", left), ("_right", right))
-    }
-    keys = [heavy_keys(c, name, share, min_rows).select(*on) for name, c in counts.items()]
-    heavy = keys[0].union(keys[1]).distinct()
-    for name, side in counts.items():
-        of_heavy = side.join(F.broadcast(heavy), on, "left_semi")
-        heavy = heavy.join(F.broadcast(of_heavy), on, "left")
+    return F.pmod(F.xxhash64(F.spark_partition_id(), *df.columns), salts).cast("int")
+
+
+def heavy_cells(
+    left: DataFrame, right: DataFrame | None, on: Sequence[str], share: int = HOT_SHARE, min_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Keys heavy on either side, with the cells each side's rows are split into.
+
+    One count over both sides, written: at most ``2 * share`` rows, null keys among them.
+    Without ``right`` a key has one row there at most.
+    """
+    def counted(side, l_rows, r_rows):
+        return side.select(*on, F.lit(l_rows).cast("long").alias("_left"), F.lit(r_rows).cast("long").alias("_right"))
+
+    rows = counted(left, 1, 0)
+    if right is not None:
+        rows = rows.unionByName(counted(right, 0, 1))
+    counts = rows.groupBy(*on).agg(F.sum("_left").alias("_left"), F.sum("_right").alias("_right"))
+    totals = counts.agg(F.struct(F.sum("_left").alias("l"), F.sum("_right").alias("r"))).scalar()
+
+    def limit(total):
+        return F.greatest(total / F.lit(share), F.lit(min_rows))
 
     def cells(name):
-        wanted = F.ceil(F.coalesce(name, F.lit(0)) / F.lit(max(min_rows, 1)))
-        return F.greatest(wanted, F.lit(1)).cast("int")
+        return F.greatest(F.ceil(F.col(name) / F.lit(max(min_rows, 1))), F.lit(1)).cast("int")
 
-    return heavy.select(
-        *on,
-        cells("_left").alias("_rows"),
-        cells("_right").alias("_columns"),
-        F.col("_right").isNotNull().alias("_on_right"),
-    )
+    heavy = counts.filter((F.col("_left") > limit(totals["l"])) | (F.col("_right") > limit(totals["r"])))
+    return cut_lineage(heavy.select(*on, cells("_left").alias("_rows"), cells("_right").alias("_columns")))
 
 
 def skew_join(
@@ -65,11 +68,11 @@ def skew_join(
 ) -> DataFrame:
     """Join by equality on ``on``: ``inner``, ``left``, ``left_semi`` or ``left_anti``.
 
-    A key that is heavy on a side has that side's rows dealt into cells of about
-    ``min_rows``, and the other side's rows copied to each: a grid, in which each
-    pair of rows meets in exactly one cell. For such keys it is known whether the
-    right side has them, so semi and anti need no join, and the left outer join
-    is an inner one. All other keys take a plain join.
+    One join on the key and a cell. A key that is heavy on a side has that side's rows dealt
+    into cells of about ``min_rows``, and the other side's rows copied to each: a grid, in
+    which each pair of rows meets in exactly one cell. All other keys have one cell. For
+    semi and anti the right side is its distinct keys, so that no left row is copied. Null
+    keys match nothing; where their rows stay they are dealt like those of any heavy key.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type: {how}")
@@ -77,38 +80,38 @@ def skew_join(
     has_key = F.lit(True)
     for name in on:
         has_key = has_key & F.col(name).isNotNull()
-    keyed, right = left.filter(has_key), right.filter(has_key)
-
-    heavy = _heavy_cells(keyed, right, on, share, min_rows)
-    flagged = keyed.join(F.broadcast(heavy), on, "left")
-    heavy_left = flagged.filter("_on_right is not null")
-    cold_left = flagged.filter("_on_right is null").select(*left.columns)
-    cold_right = right.join(F.broadcast(heavy), on, "left_anti")
-
-    parts = [cold_left.join(cold_right, on, how)]
-    if how == "left_semi":
-        parts.append(heavy_left.filter("_on_right").select(*left.columns))
-    elif how == "left_anti":
-        parts.append(heavy_left.filter("not _on_right").select(*left.columns))
-    else:
-        dealt_left = (
-            heavy_left.filter("_on_right")
-            .withColumn("_row", _salt(left, F.col("_rows")))
-            .withColumn("_column", F.explode(F.sequence(F.lit(0), F.col("_columns") - 1)))
-            .select(*left.columns, "_row", "_column")
-        )
-        dealt_right = (
-            right.join(F.broadcast(heavy), on)
-            .withColumn("_column", _salt(right, F.col("_columns")))
-            .withColumn("_row", F.explode(F.sequence(F.lit(0), F.col("_rows") - 1)))
-            .select(*right.columns, "_row", "_column")
-        )
-        parts.append(dealt_left.join(dealt_right, [*on, "_row", "_column"]).drop("_row", "_column"))
-        if how == "left":
-            parts.append(heavy_left.filter("not _on_right").select(*left.columns))
-    if how in ("left", "left_anti"):
-        parts.append(left.filter(~has_key))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part, allowMissingColumns=True)
-    return out
+    right = right.filter(has_key)
+    filtering = how in ("left_semi", "left_anti")
+    if how in ("inner", "left_semi"):
+        left = left.filter(has_key)
+    if filtering:
+        right = right.select(*on).distinct()
+    heavy = heavy_cells(left, None if filtering else right, on, share, min_rows)
+    sent = F.broadcast(heavy.withColumnsRenamed({name: f"_key_{i}" for i, name in enumerate(on)}))
+
+    def placed(side):
+        same = F.lit(True)
+        for i, name in enumerate(on):
+            same = same & side[name].eqNullSafe(sent[f"_key_{i}"])
+        return side.join(sent, same, "left").drop(*[f"_key_{i}" for i in range(len(on))])
+
+    def dealt(side, cells):
+        return F.when(F.col(cells) > 1, _salt(side, F.col(cells))).otherwise(0)
+
+    def copied(cells):
+        return F.explode(F.sequence(F.lit(0), F.coalesce(F.col(cells), F.lit(1)) - 1))
+
+    cell = [*on, "_row", "_column"]
+    far = placed(right).withColumn("_row", copied("_rows")).withColumn("_column", dealt(right, "_columns"))
+    near = placed(left).withColumn("_row", dealt(left, "_rows"))
+    if filtering:
+        near = near.withColumn("_column", F.lit(0))
+        return near.select(*left.columns, "_row", "_column").join(far.select(*cell), cell, how).select(*left.columns)
+    near = near.withColumn("_split", F.coalesce(F.col("_columns"), F.lit(1)) > 1).withColumn("_column", copied("_columns"))
+    rest = [c for c in right.columns if c not in on]
+    joined = near.select(*left.columns, "_split", "_row", "_column").join(
+        far.select(*cell, *rest, F.lit(True).alias("_met")), cell, how)
+    if how == "left":
+        # a copy whose cell has no row of a key that other cells have
+        joined = joined.filter(F.col("_met") | ~F.col("_split"))
+    return joined.select(*on, *[c for c in left.columns if c not in on], *rest)
