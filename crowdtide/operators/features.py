@@ -135,17 +135,18 @@ def tfidf_in_small_scopes(
 ) -> DataFrame:
     """The same weights where a scope is a bounded number of documents.
 
-    ``counts`` come from documents placed by scope (``repartition(*scope)``): the
-    counting and both windows then work where the documents are, so the texts
-    move once and nothing is joined or written in between.
+    ``counts`` are placed by scope (``repartition(*scope)``): both windows then work
+    where they are, so no text moves and nothing is joined or written in between.
     """
     scope = list(scope)
-    in_term = Window.partitionBy(*scope, "term")
-    in_doc = Window.partitionBy(*scope, doc)
+    # the column that differs most comes first, as a number: sorting then hardly compares rows
+    in_term = Window.partitionBy("_key", *scope, "term")
+    in_doc = Window.partitionBy(doc, *scope)
     raw = F.col("tf") * smooth_idf(n_docs, F.col("df"))
     length = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(in_doc))
     return (
-        counts.withColumn("df", F.count("*").over(in_term))
+        counts.withColumn("_key", F.xxhash64(*scope, "term"))
+        .withColumn("df", F.count("*").over(in_term))
         .withColumn("weight", raw)
         .withColumn("weight", F.col("weight") / length)
         .select(*scope, doc, "term", "tf", "df", "weight")

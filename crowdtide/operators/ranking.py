@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from crowdtide.fixed_values import BATCH_ROWS, CHUNK_ROWS, ROWS_PER_VISIT
+from crowdtide.session import cut_lineage
 
 CAP_SALTS = 64
-MAX_SLICES = 10_000
-SAMPLE_PER_SLICE = 2_000
+#: Rows that a task sorts.
+SLICE_ROWS = 1_000_000
+#: Chunk borders, of 8 bytes, that are sent to every task.
+SENT_BORDERS = 1_000_000
 
 
 def with_row_index(
@@ -22,24 +26,17 @@ def with_row_index(
     slices: int | None = None,
     slice_by: Column | None = None,
 ) -> DataFrame:
-    """Number rows 0, 1, 2, ... in the order of a near-unique numeric column.
+    """Number rows 0, 1, 2, ... in the order of a column, then of ``ties``.
 
-    The order is cut into slices at its quantiles (or by ``slice_by``, any
-    column that never falls as ``order_by`` rises). Rows are numbered inside
-    their slice and shifted by the sizes of the slices before it, so no task
-    sorts more than a slice. The slice of a row depends on the row alone.
+    The rows are cut into sorted slices, see ``sorted_slices``, and each slice is shifted
+    by the sizes of those before it. With ``slice_by``, any column that never falls as
+    ``order_by`` rises, its values are the slices; they have to be small. Rows alike in
+    all of the order are numbered in some order.
     """
-    if slice_by is not None:
-        sliced = df.withColumn("_slice", slice_by)
-    else:
-        slices = slices or min(
-            int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_SLICES
-        )
-        cuts = _cut_points(df.select(order_by), order_by, slices)
-        edges = [float("-inf"), *sorted({float(c) for c in cuts}), float("inf")]
-        sliced = Bucketizer(
-            splits=edges, inputCol=order_by, outputCol="_slice", handleInvalid="keep"
-        ).transform(df)
+    if slice_by is None:
+        placed = sorted_slices(df, [order_by, *ties], slices)
+        return _numbered(placed, name, ["_slice", "_part"]).drop("_slice", "_part")
+    sliced = df.withColumn("_slice", slice_by)
     before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         sliced.groupBy("_slice")
@@ -54,13 +51,35 @@ def with_row_index(
     )
 
 
-def _cut_points(values: DataFrame, name: str, slices: int) -> list:
-    """Rough quantiles, from a sample: the numbering is exact wherever the cuts fall."""
-    wanted, total = slices * SAMPLE_PER_SLICE, values.count()
-    if total > wanted:
-        values = values.sample(wanted / total, seed=0)
-    marks = [i / slices for i in range(1, slices)] or [0.5]
-    return values.agg(F.percentile_approx(name, marks).alias("cuts")).first()["cuts"] or [0]
+def sorted_slices(
+    df: DataFrame, order: Sequence[str], slices: int | None = None, slice_rows: int = SLICE_ROWS
+) -> DataFrame:
+    """``df`` in sorted partitions that follow each other, written; adds ``_slice`` and ``_part``.
+
+    Spark draws the splitters from a sample of the whole order and, behind it, a hash of
+    the row and its place: rows alike in the order can be told apart, so that a key with
+    half of the rows is cut like any other. There are as many slices as the rows need,
+    ``slice_rows`` each. A slice that the sample left with over twice its share is cut
+    again, into the parts that it needs.
+    """
+    total = df.count()
+    slices = slices or max(1, math.ceil(total / slice_rows))
+    share = max(1, math.ceil(total / slices))
+    told = ["_tie", "_at"]
+    tied = df.withColumn("_tie", F.xxhash64(*df.columns)).withColumn("_at", F.monotonically_increasing_id())
+
+    def cut(rows, n, by):
+        return rows.repartitionByRange(n, *by, *told).sortWithinPartitions(*by, *told)
+
+    placed = cut(tied, slices, order).withColumn("_slice", F.spark_partition_id()).withColumn("_part", F.lit(0))
+    placed = cut_lineage(placed)
+    sizes = placed.groupBy("_slice").count().filter(F.col("count") > 2 * share).collect()  # under half of the slices
+    if sizes:
+        over = F.col("_slice").isin([r["_slice"] for r in sizes])
+        parts = sum(math.ceil(r["count"] / share) for r in sizes)
+        again = cut(placed.filter(over), parts, ["_slice", *order]).withColumn("_part", F.spark_partition_id())
+        placed = placed.filter(~over).unionByName(cut_lineage(again))
+    return placed.drop(*told)
 
 
 def with_read_index(df: DataFrame, name: str = "row_index") -> DataFrame:
@@ -70,20 +89,25 @@ def with_read_index(df: DataFrame, name: str = "row_index") -> DataFrame:
     of the tasks before, one number per input partition. ``df`` is read twice and
     has to come in the same pieces both times, as files and checkpoints do.
     """
-    placed = df.withColumn("_at", F.monotonically_increasing_id()).withColumn(
-        "_piece", F.shiftright("_at", 33)
+    return _numbered(df, name, [])
+
+
+def _numbered(df: DataFrame, name: str, order: Sequence[str]) -> DataFrame:
+    """Rows numbered by task, tasks in the order of columns that are constant in each, then as read."""
+    placed = df.withColumn("_mark", F.monotonically_increasing_id()).withColumn(
+        "_piece", F.shiftright("_mark", 33)
     )
-    before = Window.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy(*order, "_piece").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        placed.groupBy("_piece")
+        placed.groupBy(*order, "_piece")
         .agg(F.count("*").alias("_size"))
         .select("_piece", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
     )
-    place = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    place = F.col("_mark").bitwiseAND(F.lit((1 << 33) - 1))
     return (
         placed.join(F.broadcast(offsets), "_piece")
         .withColumn(name, F.col("_offset") + place)
-        .drop("_at", "_piece", "_offset")
+        .drop("_mark", "_piece", "_offset")
     )
 
 
@@ -109,11 +133,24 @@ def chunk_numbers(
 
 
 def with_chunks(
-    df: DataFrame, key: str, size: int = CHUNK_ROWS, name: str = "chunk_id"
+    df: DataFrame, key: str, size: int = CHUNK_ROWS, name: str = "chunk_id", sent_borders: int = SENT_BORDERS
 ) -> DataFrame:
-    """Chunk numbers in the order of a unique numeric key, for wide rows: the keys
-    are numbered alone and joined back, so the rows move once at most."""
-    return df.join(chunk_numbers(df.select(key), key, size, name), key)
+    """Chunk numbers in the order of a unique numeric key, for wide rows.
+
+    The keys are numbered alone. The first keys of the chunks, one in ``size``, are looked
+    up in each row where it stands, so that nothing wide moves. Only where there are more
+    than ``sent_borders``, or keys that a double does not hold, are the numbers joined back.
+    """
+    indexed = with_row_index(df.select(key), key)
+    ends = indexed.agg(F.count("*").alias("n"), F.max(F.abs(key)).alias("most")).first()
+    if ends["n"] > size * sent_borders or (ends["most"] or 0) >= 2**53:
+        numbers = indexed.select(key, (F.floor(F.col("row_index") / size) + 1).alias(name))
+        return df.join(numbers, key)
+    firsts = indexed.filter((F.col("row_index") % size == 0) & (F.col("row_index") > 0)).select(key).collect()
+    borders = [float("-inf"), *sorted(float(r[0]) for r in firsts), float("inf")]
+    placed = Bucketizer(splits=borders if firsts else [float("-inf"), 0.0, float("inf")], inputCol=key, outputCol="_bucket").transform(df)
+    chunk = (F.col("_bucket") + 1).cast("long") if firsts else F.lit(1).cast("long")
+    return placed.withColumn(name, chunk).drop("_bucket")
 
 
 def chunk_rows(df: DataFrame, chunk: str = "chunk_id", size: int = CHUNK_ROWS) -> Column:
