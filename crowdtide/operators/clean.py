@@ -22,7 +22,7 @@ def candidates(
     drop_empty: bool = True,
     repair: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
-    """Add the normalised ``content`` and its hash; drop rows without content."""
+    """Add the normalised ``content`` and its hash, unless it is there; drop rows without content."""
     raw = first_filled(column_or_null(df, "content"), column_or_null(df, "text"))
     if drop_empty:
         # on the raw text: a filter on the result would normalise every text twice
@@ -30,8 +30,10 @@ def candidates(
     out = df.withColumn("content", normalize_text(raw, repair))
     if drop_empty and repair is not None:
         out = out.filter(F.col("content") != "")
+    if "content_hash" not in df.columns:
+        out = out.withColumn("content_hash", content_hash(F.col("content")))
     # the raw text has become the content and isn't carried beside it
-    return out.withColumn("content_hash", content_hash(F.col("content"))).drop("text")
+    return out.drop("text")
 
 
 def clean_posts(df: DataFrame, now: datetime | Column | None = None) -> DataFrame:

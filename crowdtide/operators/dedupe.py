@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from crowdtide.fixed_values import BATCH_ROWS
-from crowdtide.operators.ranking import batch_numbers, first_per_key
+from crowdtide.operators.ranking import batch_numbers
 
 HASH = "content_hash"
 
@@ -44,6 +44,14 @@ def mark_seen(
     return new.withColumn("seen_at", stamp)
 
 
+def first_rows(rows: DataFrame, order_by: Sequence[str] = ("row_pos",)) -> DataFrame:
+    """Hash and place of the first row of each hash: narrow, and reduced before the shuffle."""
+    if len(order_by) == 1:
+        return rows.groupBy(HASH).agg(F.min(order_by[0]).alias(order_by[0]))
+    first = rows.groupBy(HASH).agg(F.min(F.struct(*order_by)).alias("_first"))
+    return first.select(HASH, *[F.col("_first")[c].alias(c) for c in order_by])
+
+
 def dedupe(
     rows: DataFrame,
     seen: DataFrame | None = None,
@@ -53,29 +61,25 @@ def dedupe(
 ) -> DataFrame:
     """First post per content hash, less the hashes already seen.
 
-    ``intra_batch='drop'`` keeps one row per hash. ``'keep'`` reproduces a
+    ``intra_batch='drop'`` keeps one row per hash, the first by ``order_by``, which has to
+    tell rows of one hash apart. Which rows stay is settled on hashes and places alone, and
+    the posts are then taken by both: no text is sorted or held in an aggregate. ``'keep'`` reproduces a
     lookup made once per batch: copies inside the first batch that has the hash
     all stay, and those in later batches go. It needs the unfiltered row order
-    in ``batch_id``, see ``keep_first_batch``.
+    in ``batch_id``, see ``number_batches``.
     """
     if intra_batch == "drop":
-        rows = first_per_key(rows, [HASH], order_by)
-        # one row per hash, and placed by hash already: a plain join is balanced
-        return rows if seen is None else rows.join(seen.select(HASH), HASH, "left_anti")
+        first = first_rows(rows, order_by)
+        if seen is not None:
+            first = first.join(seen.select(HASH), HASH, "left_anti")
+        return rows.join(first, [HASH, *order_by], "left_semi")
     if intra_batch != "keep":
         raise ValueError(f"intra_batch has to be 'drop' or 'keep', not {intra_batch!r}")
-    rows = keep_first_batch(rows)
-    return rows if seen is None else unseen(rows, seen)
-
-
-def keep_first_batch(rows: DataFrame, batch: str = "batch_id") -> DataFrame:
-    """Rows in the first batch their hash occurs in.
-
-    Joined back on hash and batch together: a batch is small, so no key is hot
-    however often one content is repeated.
-    """
-    first = rows.groupBy(HASH).agg(F.min(batch).alias(batch))
-    return rows.join(first, [HASH, batch], "left_semi")
+    first = first_rows(rows, ["batch_id"])
+    if seen is not None:
+        first = first.join(seen.select(HASH), HASH, "left_anti")
+    # on hash and batch together: a batch is small, so no key is hot however often a content is repeated
+    return rows.join(first, [HASH, "batch_id"], "left_semi")
 
 
 def number_batches(raw: DataFrame, order_by: str, batch_rows: int = BATCH_ROWS) -> DataFrame:

@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from crowdtide.fixed_values import BATCH_ROWS, POST_COLUMNS
-from crowdtide.functions.text import mojibake_repair
 from crowdtide.operators.clean import candidates, clean_posts
-from crowdtide.operators.dedupe import dedupe, drop_seen, number_batches, unseen
+from crowdtide.operators.dedupe import HASH, dedupe, first_rows, number_batches, unseen
 from crowdtide.operators.ranking import read_chunks
+from crowdtide.operators.seen_state import SeenState, sent_if_small
 from crowdtide.operators.summary import watch
 from crowdtide.session import cut_lineage, use_utc
-from crowdtide.sources.read import read_raw_posts, read_seen
-from crowdtide.sources.write import append_seen, write_jsonl, write_stored_posts
+from crowdtide.sources.read import read_raw_posts
+from crowdtide.sources.write import write_jsonl, write_stored_posts
 
 
 def new_posts(
@@ -24,14 +25,21 @@ def new_posts(
     intra_batch: str = "drop",
     batch_rows: int = BATCH_ROWS,
     now: datetime | None = None,
-    repair=None,
+    repair: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
-    """Clean, first-seen posts of ``raw``. Only text and hash are computed before
-    rows are dropped; the other columns are parsed for survivors."""
-    if intra_batch == "keep" and "batch_id" not in raw.columns:
-        raw = number_batches(raw, order_by, batch_rows)
-    fresh = dedupe(candidates(raw, repair=repair), seen, [order_by], intra_batch)
-    return clean_posts(fresh, now)
+    """Clean, first-seen posts of ``raw``.
+
+    What stays is settled on hashes and places. Without copies of a batch to keep, a place
+    is one row: the raw posts are then taken by it, and normalised once more only if kept.
+    """
+    if intra_batch != "drop":
+        if "batch_id" not in raw.columns:
+            raw = number_batches(raw, order_by, batch_rows)
+        return clean_posts(dedupe(candidates(raw, repair=repair), seen, [order_by], intra_batch), now)
+    first = first_rows(candidates(raw, repair=repair), [order_by])
+    if seen is not None:
+        first = unseen(first, seen)
+    return clean_posts(candidates(raw.join(first, order_by), repair=repair), now)
 
 
 def run_clean_job(
@@ -45,30 +53,41 @@ def run_clean_job(
     compression: str = "snappy",
     now: datetime | None = None,
     multiline: bool = True,
+    repair: Callable[[Column], Column] | None = None,
 ) -> dict[str, int]:
-    """Write, write, mark: a crash in between repeats posts and loses none."""
+    """Write, write, mark: a crash in between repeats posts and loses none.
+
+    Hashes and places say what is new; full posts are made and written once, after that.
+    """
     use_utc(spark)
     now = now or datetime.now(timezone.utc)
     raw = read_raw_posts(spark, csv_path, multiline).withColumn(
         "row_pos", F.monotonically_increasing_id()
     )
+    if raw.isEmpty():
+        return {"rows_read": 0, "already_seen": 0, "cleaned": 0}
     raw, read = watch(raw, "clean_read", rows_read=F.count("*"))
+    place = "row_pos"
     if intra_batch == "keep":
-        raw = read_chunks(raw, batch_rows, "batch_id")
-    seen = read_seen(spark, seen_root)
-    # read by the check against the seen table and by three writers
-    posts = cut_lineage(
-        new_posts(raw, None, "row_pos", intra_batch, batch_rows, now, mojibake_repair())
-    )
-    candidates_left = posts.count()
-    posts = drop_seen(posts, seen) if intra_batch == "drop" else unseen(posts, seen)
-    cleaned = posts.count()
-    if cleaned:
+        raw, place = read_chunks(raw, batch_rows, "batch_id"), "batch_id"
+    elif intra_batch != "drop":
+        raise ValueError(f"intra_batch has to be 'drop' or 'keep', not {intra_batch!r}")
+    rows = candidates(raw, repair=repair)
+    state = SeenState(spark, seen_root)
+    number = state.next_number()
+    state.compact(number)
+    first = cut_lineage(first_rows(rows, [place]))
+    held = first.count()
+    new = cut_lineage(state.unseen(first, number, held))
+    fresh = new.count()
+    cleaned = 0
+    if fresh:
+        # read by two writers
+        new = sent_if_small(new, fresh)
+        kept = candidates(raw.join(new, place), repair=repair) if place == "row_pos" else rows.join(new, [HASH, place], "left_semi")
+        posts = cut_lineage(clean_posts(kept, now))
+        cleaned = posts.count()
         write_stored_posts(posts, parquet_root, compression)
         write_jsonl(posts.select(*POST_COLUMNS), jsonl_root)
-        append_seen(posts, seen_root, now)
-    return {
-        "rows_read": read.get["rows_read"],
-        "already_seen": candidates_left - cleaned,
-        "cleaned": cleaned,
-    }
+        state.record(new, number, now)
+    return {"rows_read": read.get["rows_read"], "already_seen": held - fresh, "cleaned": cleaned}

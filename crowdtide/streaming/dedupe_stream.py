@@ -8,10 +8,9 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from crowdtide.operators.clean import candidates, clean_posts
-from crowdtide.operators.dedupe import HASH, dedupe, drop_seen
-from crowdtide.schemas import SEEN_HASH
+from crowdtide.operators.dedupe import HASH, first_rows
+from crowdtide.operators.seen_state import SeenState, sent_if_small
 from crowdtide.session import cut_lineage
-from crowdtide.sources.read import path_exists
 
 
 def recent_first(posts: DataFrame, ts: str, delay: str, key: str = HASH) -> DataFrame:
@@ -30,36 +29,32 @@ def start_clean_stream(
     checkpoint: str,
     now: datetime | None = None,
     pause: str | None = None,
+    **state_options,
 ) -> StreamingQuery:
-    """Clean posts, each content once for ever: the seen table is the memory.
+    """Clean posts, each content once for ever: the seen state is the memory.
 
-    Posts and hashes go to folders of the batch number. A replay reads the
-    hashes of earlier batches only and overwrites its own folders, so its result
-    is the same, and nothing is doubled or lost.
+    Posts go to folders of the batch number. A replay reads the hashes of earlier
+    batches only and overwrites what it wrote, so its result is the same, and
+    nothing is doubled or lost. What is new is settled on hashes and places, then
+    the batch's posts are taken once more from its files. Options are the state's.
     """
 
     def write(batch: DataFrame, number: int):
-        spark = batch.sparkSession
-        seen = None
-        if number > 0 and path_exists(spark, f"{seen_root}/batch_id=*"):
-            seen = spark.read.schema(SEEN_HASH.add("batch_id", "long")).parquet(seen_root)
-            seen = seen.filter(F.col("batch_id") < number)
-        rows = candidates(batch.withColumn("row_pos", F.monotonically_increasing_id()))
-        fresh = cut_lineage(clean_posts(dedupe(rows), now))
-        if seen is not None:
-            fresh = drop_seen(fresh, seen)
+        state = SeenState(batch.sparkSession, seen_root, **state_options)
+        state.compact(number)
+        batch = batch.withColumn("row_pos", F.monotonically_increasing_id())
+        first = cut_lineage(first_rows(candidates(batch)))
+        held = first.count()
+        new = cut_lineage(state.unseen(first, number, held))
+        fresh = candidates(batch.join(sent_if_small(new, held), "row_pos"))
         (
-            fresh.drop(HASH)
+            clean_posts(fresh, now).drop(HASH)
             .hint("rebalance", "event_date")
             .write.partitionBy("event_date")
             .mode("overwrite")
             .parquet(f"{posts_root}/batch_id={number}")
         )
-        (
-            fresh.select(HASH, F.current_timestamp().alias("seen_at"))
-            .write.mode("overwrite")
-            .parquet(f"{seen_root}/batch_id={number}")
-        )
+        state.record(new, number)
 
     writer = raw.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     trigger = {"processingTime": pause} if pause else {"availableNow": True}
