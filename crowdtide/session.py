@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
 SESSION_CONF = {
@@ -27,6 +29,20 @@ def build_session(app_name: str = "crowdtide", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
+@contextmanager
+def changed_settings(spark: SparkSession, settings: dict):
+    """Other settings for a while; what was set before comes back. Plans are made when their
+    rows are asked for, so ask inside."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, str(value))
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
+
+
 def use_utc(spark: SparkSession) -> SparkSession:
     """Event times are rendered and cut into days in the session zone, which must be UTC."""
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":

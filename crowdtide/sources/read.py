@@ -10,6 +10,7 @@ from crowdtide.fixed_values import INPUT_FILES, KEYWORDS
 from crowdtide.functions.text import strip
 from crowdtide.operators.scoring import row_ids
 from crowdtide.schemas import FEATURE, JSON_POST, RAW_POST, SEEN_HASH, STORED_POST
+from crowdtide.sources.csv_records import read_csv_records
 
 CORRUPT = "_corrupt_record"
 
@@ -27,14 +28,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def read_raw_posts(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
     """Post CSV, every value a string under its header; a missing file gives no rows.
 
-    Quoted line ends need ``multiline``, which makes a file the unit of work:
-    keep files small then, or turn it off for line-per-record files, which split.
+    Values may hold line ends; files are split all the same, see ``csv_records``, at the
+    cost of a second pass. Files of one line a record, which need none, can be read with
+    ``multiline`` off.
     """
     if not path_exists(spark, path):
         return spark.createDataFrame([], RAW_POST)
+    if multiline:
+        rows = read_csv_records(spark, path)
+        return rows if rows.columns else spark.createDataFrame([], RAW_POST)
     rows = (
         spark.read.option("header", True)
-        .option("multiLine", multiline)
         .option("escape", '"')
         .option("enforceSchema", False)  # files whose headers differ are an error
         .csv(path)
@@ -96,7 +100,8 @@ def read_stored_posts(
 
 
 def read_features(spark: SparkSession, root: str) -> DataFrame:
-    """Feature rows; one without id is named after its file and place.
+    """Feature rows; one without id is named after its file and its number in the file,
+    which stay the same however the file is split.
 
     A table without ids and embeddings is refused.
     """
@@ -110,7 +115,7 @@ def read_features(spark: SparkSession, root: str) -> DataFrame:
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in known],
         *extra,
         F.col("_metadata.file_name").alias("_file"),
-        F.monotonically_increasing_id().alias("_place"),
+        F.col("_metadata.row_index").alias("_place"),
     )
     return row_ids(typed, F.col("_file"), F.col("_place")).drop("_file", "_place")
 
