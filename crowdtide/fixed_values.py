@@ -39,7 +39,6 @@ RESERVED_HANDLES = ["status", "search", "i"]
 HANDLE_LINES = 6
 PERMALINK_MARK = "/status/"
 PERMALINK_BASE = "https://x.com"
-PSEUDO_KEY_CHARS = 400
 BODY_MARK = "tweetText"
 
 # Job defaults.

@@ -64,22 +64,6 @@ def _nfc_arrow() -> Callable[[Column], Column]:
     return normalize
 
 
-def mojibake_repair() -> Callable[[Column], Column] | None:
-    """A repair step from ``ftfy`` where that library is installed, else None."""
-    try:
-        import ftfy  # noqa: F401
-    except ImportError:
-        return None
-
-    @F.pandas_udf("string")
-    def repair(texts):
-        import ftfy
-
-        return texts.map(ftfy.fix_text, na_action="ignore")
-
-    return repair
-
-
 def normalize_text(text: Column, repair: Callable[[Column], Column] | None = None) -> Column:
     """NULL to empty, optional mojibake repair, NFC, white space collapsed."""
     text = F.coalesce(text, F.lit(""))

@@ -14,7 +14,7 @@ from crowdtide.operators.ranking import chunk_rows, read_chunks
 from crowdtide.operators.summary import watch
 from crowdtide.schemas import FEATURE
 from crowdtide.session import cut_lineage, use_utc
-from crowdtide.sources.read import CORRUPT, parse_json_lines
+from crowdtide.sources.intake import read_jsonl_setting_aside
 from crowdtide.sources.write import write_features
 
 
@@ -54,8 +54,8 @@ def _scoped_tfidf(rows: DataFrame, scope: str, size: int, width: int) -> DataFra
     if scope == "chunk":
         rows = read_chunks(rows, size)
         n_docs = chunk_rows(rows, "chunk_id", size)
-        placed = rows.repartition("chunk_id")
-        counts = fx.bucket_counts(placed, "_pos", "content", ["chunk_id"], width)
+        # counted where the texts are
+        counts = fx.bucket_counts(rows, "_pos", "content", ["chunk_id"], width).repartition("chunk_id")
         weights = fx.tfidf_in_small_scopes(counts, "_pos", ["chunk_id"], n_docs)
     else:
         counts = fx.bucket_counts(rows, "_pos", "content", ["_file"], width)
@@ -74,27 +74,22 @@ def _scoped_tfidf(rows: DataFrame, scope: str, size: int, width: int) -> DataFra
     )
 
 
-def read_positioned_posts(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """JSON-lines posts with their file and their order in it."""
-    lines = spark.read.text(path).select(
-        "value",
-        F.col("_metadata.file_path").alias("_file"),
-        F.monotonically_increasing_id().alias("_pos"),
-    )
-    parsed = parse_json_lines(lines, keep=("_file", "_pos"))
-    return parsed.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-
-
 def run_feature_job(
     spark: SparkSession,
     jsonl_path: str | list[str],
     feature_root: str,
     make_encoder: Callable[[], Callable],
+    quarantine_root: str | None = None,
     **options,
-) -> int:
-    """Append features of all posts; returns the number of rows written."""
+) -> dict[str, int]:
+    """Append features of all posts; returns rows written and lines read, blank and malformed.
+
+    Malformed lines are appended to ``quarantine_root``, by default beside the features.
+    """
     use_utc(spark)
-    rows = feature_rows(read_positioned_posts(spark, jsonl_path), make_encoder, **options)
+    quarantine = quarantine_root or f"{feature_root.rstrip('/')}_set_aside"
+    intake = read_jsonl_setting_aside(spark, jsonl_path, quarantine, positions=True)
+    rows = feature_rows(intake.posts, make_encoder, **options)
     rows, written = watch(rows, "features_written", rows=F.count("*"))
     write_features(rows, feature_root)
-    return written.get["rows"]
+    return {"rows_written": written.get["rows"], **intake.counters}

@@ -29,7 +29,8 @@ from crowdtide.operators.summary import run_summary
 from crowdtide.operators.windows import plot_series, window_signals
 from crowdtide.schemas import TEXT_POST
 from crowdtide.session import cut_lineage, use_utc
-from crowdtide.sources.read import read_features, read_jsonl
+from crowdtide.sources.intake import read_jsonl_setting_aside
+from crowdtide.sources.read import read_features
 from crowdtide.sources.write import write_csv, write_signals_json
 
 
@@ -92,21 +93,31 @@ def run_signal_job(
     now: datetime | None = None,
     dedupe_keys: bool = True,
     json_document: bool = False,
+    quarantine_root: str | None = None,
+    run_id: str | None = None,
     **window_options,
 ) -> dict:
-    """Write signals as CSV and JSON and the plot series; return the run summary."""
+    """Write signals as CSV and JSON and the plot series; return the run summary, with the
+    lines of the texts that were read, blank and malformed.
+
+    Each run writes folders of its own under ``out_root``, named by ``run_id`` (the time, if
+    not given); a run repeated with its id replaces what it wrote.
+    """
     use_utc(spark)
     now = now or datetime.now(timezone.utc)
+    run_id = run_id or datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%fZ")
+    place = {part: f"{out_root}/{part}/run_id={run_id}" for part in ("csv", "json", "plot")}
     features = read_features(spark, feature_root).withColumn("date", parse_time(F.col("date")))
-    texts = text_rows(read_jsonl(spark, jsonl_path, TEXT_POST))
+    intake = read_jsonl_setting_aside(spark, jsonl_path, quarantine_root or f"{out_root}/set_aside", TEXT_POST)
+    texts = text_rows(intake.posts)
     scored = cut_lineage(
         scored_posts(features, texts, model, now=now, dedupe_keys=dedupe_keys)
         .select("ts", "emb_score", "lex_score")
     )
     scaler = ScoreScaler.fit(scored)
     signals = cut_lineage(signals_of(scored, scaler, **window_options))
-    write_csv(signals.orderBy("window_start"), f"{out_root}/csv")
-    write_signals_json(signals, f"{out_root}/json", json_document)
-    plot_series(signals).write.mode("append").parquet(f"{out_root}/plot")
+    write_csv(signals.orderBy("window_start"), place["csv"], "overwrite")
+    write_signals_json(signals, place["json"], json_document, "overwrite")
+    plot_series(signals).write.mode("overwrite").parquet(place["plot"])
     posts = scored.agg(F.count("*")).scalar()
-    return run_summary(signals, posts).first().asDict()
+    return {**run_summary(signals, posts).first().asDict(), "run_id": run_id, **intake.counters}

@@ -45,7 +45,7 @@ def write_csv(df: DataFrame, path: str, mode: str = "append"):
     )
 
 
-def write_signals_json(signals: DataFrame, path: str, document: bool = False):
+def write_signals_json(signals: DataFrame, path: str, document: bool = False, mode: str = "append"):
     """Signals without the raw window start, as JSON lines or as one JSON array.
 
     The array is streamed through one task in time order, line by line, and is
@@ -53,7 +53,7 @@ def write_signals_json(signals: DataFrame, path: str, document: bool = False):
     """
     rows = signals.drop("window_start")
     if not document:
-        write_jsonl(rows, path)
+        write_jsonl(rows, path, mode=mode)
         return
     last = signals.agg(F.max("window_start_iso")).scalar()
     body = F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"})
@@ -70,7 +70,7 @@ def write_signals_json(signals: DataFrame, path: str, document: bool = False):
         .repartition(1)
         .sortWithinPartitions("part", "k")
         .select("value")
-        .write.mode("append")
+        .write.mode(mode)
         .text(path)
     )
 

@@ -10,8 +10,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from crowdtide.fixed_values import INPUT_FILES
 from crowdtide.plans.feature_job import feature_rows
-from crowdtide.session import use_utc
-from crowdtide.sources.read import CORRUPT, parse_json_lines
+from crowdtide.session import cut_lineage, use_utc
+from crowdtide.sources.intake import bad_lines, good_lines, observed_lines
 
 log = logging.getLogger(__name__)
 
@@ -23,9 +23,14 @@ def post_file_stream(
     files_per_batch: int | None = 1,
     bytes_per_batch: str | None = None,
     archive: str | None = None,
+    set_aside: bool = False,
 ) -> DataFrame:
     """JSON-lines posts of new files; finished files move to ``archive`` if given.
 
+    With ``set_aside`` damaged and blank lines stay, marked in ``_line``, for
+    ``start_feature_stream`` to put away; the stream's progress has their numbers in
+    ``observedMetrics["intake"]``. Otherwise they go.
+
     A failed move is a warning, and the checkpoint, not the move, is what keeps a
     file from being read twice.
     """
@@ -41,8 +46,8 @@ def post_file_stream(
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     lines = reader.load(folder).select("value", F.col("_metadata.file_path").alias("_file"))
-    parsed = parse_json_lines(lines, keep=("_file",))
-    return parsed.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    observed = observed_lines(lines, "intake", keep=("_file",))
+    return observed if set_aside else good_lines(observed)
 
 
 def start_feature_stream(
@@ -52,6 +57,7 @@ def start_feature_stream(
     make_encoder: Callable[[], Callable],
     pause: str | None = None,
     failed_root: str | None = None,
+    quarantine_root: str | None = None,
     **options,
 ) -> StreamingQuery:
     """Append the features of each micro-batch; run once over what is there, or
@@ -61,10 +67,17 @@ def start_feature_stream(
     document frequencies. A batch is written to a folder of its number, so a
     replay after a crash overwrites and never doubles. With ``failed_root`` a
     batch that cannot be processed is put there as it came, to be run again, and
-    the stream goes on; otherwise it stops the stream.
+    the stream goes on; otherwise it stops the stream. Lines marked as damaged go to
+    ``quarantine_root``, by the number of the batch too.
     """
 
     def write(batch: DataFrame, number: int):
+        # read and counted once, whatever follows
+        batch = cut_lineage(batch)
+        if "_line" in batch.columns:
+            if quarantine_root:
+                bad_lines(batch).write.mode("overwrite").parquet(f"{quarantine_root}/batch_id={number}")
+            batch = good_lines(batch)
         try:
             if not batch.isEmpty():
                 rows = feature_rows(batch, make_encoder, drop_empty=False, aliases=False, **options)
