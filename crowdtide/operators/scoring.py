@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import astuple, dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from crowdtide.fixed_values import (
     NEGATIVE_WORDS,
@@ -88,9 +88,34 @@ class ScoreScaler:
         weight_emb: float = WEIGHT_EMBEDDING,
         weight_lex: float = WEIGHT_LEXICAL,
     ) -> Column:
-        emb = (F.col("emb_score") - F.lit(self.emb_mean)) / F.lit(self.emb_std or 1.0)
-        lex = (F.col("lex_score") - F.lit(self.lex_mean)) / F.lit(self.lex_std or 1.0)
-        return F.lit(weight_emb) * emb + F.lit(weight_lex) * lex
+        return composite_score(*map(F.lit, astuple(self)), weight_emb, weight_lex)
+
+    def save(self, spark: SparkSession, path: str):
+        """Freezes the scale as a table of one row, for streams and later runs."""
+        row = spark.createDataFrame([astuple(self)], SCALE)
+        row.coalesce(1).write.mode("overwrite").parquet(path)
+
+
+SCALE = "emb_mean double, emb_std double, lex_mean double, lex_std double"
+
+
+def read_scale(spark: SparkSession, path: str) -> DataFrame:
+    """The stored scale; a table that has not exactly one row is refused."""
+    scale = spark.read.schema(SCALE).parquet(path)
+    if len(scale.limit(2).collect()) != 1:
+        raise ValueError(f"{path} is no scale of one row")
+    return scale
+
+
+def composite_score(
+    emb_mean: Column, emb_std: Column, lex_mean: Column, lex_std: Column,
+    weight_emb: float = WEIGHT_EMBEDDING, weight_lex: float = WEIGHT_LEXICAL,
+) -> Column:
+    """Weighted sum of the two scores on their scales; a deviation of zero divides by one."""
+    def z(score, mean, std):
+        return (F.col(score) - mean) / F.coalesce(F.nullif(std, F.lit(0.0)), F.lit(1.0))
+
+    return F.lit(weight_emb) * z("emb_score", emb_mean, emb_std) + F.lit(weight_lex) * z("lex_score", lex_mean, lex_std)
 
 
 def _moments(name: str) -> list[Column]:
