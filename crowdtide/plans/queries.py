@@ -13,13 +13,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from crowdtide.functions import casts, extract, stats, text as tx, times, vectors
 from crowdtide.operators import clean, dedupe, features as fx, merge, pages as pg
-from crowdtide.operators import ranking, scoring, summary, windows
+from crowdtide.operators import ranking, scoring, skew, summary, windows
 from crowdtide.plans.clean_job import new_posts
+from crowdtide.plans.merge_job import run_merge_job, run_table_copy
 from crowdtide.plans.signal_job import trade_signals
-from crowdtide.sources import read, write
-from crowdtide.session import ensure_checkpoint_dir, spread, use_utc
+from crowdtide.schemas import STORED_POST
+from crowdtide.session import changed_settings, cut_lineage, ensure_checkpoint_dir, spread, use_utc
+from crowdtide.sources import intake, read, write
 from crowdtide.streaming.dedupe_stream import start_clean_stream
-from crowdtide.streaming.signal_stream import stream_signals
+from crowdtide.streaming.feature_stream import post_file_stream, start_feature_stream
+from crowdtide.streaming.signal_stream import late_counts, stream_signals
 
 NOW = datetime(2024, 6, 1)
 # The default lexicon does not occur in the test texts; these words do.
@@ -289,10 +292,10 @@ def tfidf_corpus(spark, sf_dir):
 
 def tfidf_chunk(spark, sf_dir):
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    placed = ranking.with_chunks(docs, "doc_id").repartition("chunk_id")
-    counts = fx.term_counts(placed, "doc_id", "text", ["chunk_id"])
-    sizes = ranking.chunk_rows(docs, "chunk_id")
-    return rounded(fx.tfidf_in_small_scopes(counts, "doc_id", ["chunk_id"], sizes))
+    # terms are counted where the texts are; the counts move to their chunk
+    counts = fx.term_counts(ranking.with_chunks(docs, "doc_id"), "doc_id", "text", ["chunk_id"])
+    sizes = ranking.chunk_rows(table(spark, sf_dir, "documents"), "chunk_id")
+    return rounded(fx.tfidf_in_small_scopes(counts.repartition("chunk_id"), "doc_id", ["chunk_id"], sizes))
 
 
 def tfidf_source(spark, sf_dir):
@@ -376,6 +379,16 @@ def feature_text_join(spark, sf_dir):
     return rounded(joined.select("id", tx.content_hash(F.col("content")).alias("content"), "ts"))
 
 
+def feature_text_join_hot(spark, sf_dir):
+    """The same where half of the features and a few texts share one id: its rows are dealt
+    into cells of a thousandth of all rows, and each meets each text once."""
+    hot = F.when(F.col("id").cast("bigint") % 2 == 0, "hot").otherwise(F.col("id")).alias("key")
+    features = vector_features(spark, sf_dir).select(hot, F.col("id").alias("vec_id"))
+    few = F.when(F.col("id").cast("bigint") < 3, "hot").otherwise(F.col("id")).alias("key")
+    texts = document_texts(spark, sf_dir).select(few, F.col("id").alias("doc_id"), tx.content_hash(F.col("content")).alias("content"))
+    return skew.skew_join(features, texts, ["key"], "left", share=1000, min_rows=20)
+
+
 def mentions_hashtags(spark, sf_dir):
     """Texts with some plain words turned into tags and names."""
     texts = documents(spark, sf_dir).select(
@@ -401,6 +414,36 @@ def page_records(spark, sf_dir):
     )
 
 
+def nested_pages(spark, sf_dir) -> DataFrame:
+    """Pages whose post quotes another, which quotes a third; the own page is the post's text."""
+    def text(name):
+        escaped = F.coalesce(F.col(name), F.lit(""))
+        for char, escape in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+            escaped = F.replace(escaped, F.lit(char), F.lit(escape))
+        return escaped
+
+    p = F.col("page_id").cast("string")
+    html = F.concat(
+        F.lit("<main><!-- <article>no post</article> --><script>var a = '</article>';</script>"
+              '<article class="post"><a href="/i/flow">skip</a><a href="/bob'), p, F.lit('">b</a><a href="/bob'), p,
+        F.lit("/status/"), p, F.lit('">permalink</a><div data-testid="tweetText">'), text("html"),
+        F.lit('</div><ARTICLE><article><div lang="de">third '), p, F.lit("</div></article><div>quoted "), text("url"),
+        F.lit('</div><a href="https://x.com/ann'), p, F.lit("/status/9"), p,
+        F.lit('">more</a></article>after<div role="group"><div><button aria-label="'), p,
+        F.lit(' likes"></button></div><i aria-label="1,'), F.lpad(F.pmod("page_id", F.lit(1000)).cast("string"), 3, "0"),
+        F.lit(' Retweets"></i><i aria-label="3 reply"></i><i aria-label="4 quotes"></i></div></article>'
+              '</article><p aria-label="9 likes">no post</p><article><h1>last '), p, F.lit("</h1>never closed"))
+    return spread(table(spark, sf_dir, "pages"), "page_id").select("page_id", html.alias("html"))
+
+
+def page_articles_nested(spark, sf_dir):
+    """Every article of a page, inner ones too, each with its own links, labels and body."""
+    records = pg.page_records(nested_pages(spark, sf_dir), now=NOW)
+    return records.select(
+        "page_id", "article_no", F.when(F.col("url") != "", F.col("id")).alias("id"), "username", F.sha1(F.col("content").cast("binary")).alias("content"),
+        "likeCount", "retweetCount", "replyCount", "quoteCount", "url")
+
+
 def label_counts(spark, sf_dir):
     """Labels and text written from line items: overriding, unusable and text-only counts."""
 
@@ -497,6 +540,14 @@ def _scratch(spark) -> str:
     return f"{ensure_checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
 
 
+def _run(stream, root: str, write=None):
+    """A stream to its end, over what is there."""
+    writer = stream.writeStream.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True)
+    query = (writer.foreachBatch(write).start() if write else writer.format("parquet").outputMode("append").start(f"{root}/out"))
+    query.awaitTermination()
+    return query
+
+
 def _plain_posts(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "documents").select(
         F.col("doc_id").cast("string").alias("id"),
@@ -511,10 +562,86 @@ def _hashed_content(df: DataFrame) -> DataFrame:
 
 
 def csv_round_trip(spark, sf_dir):
-    """Documents written as CSV and read back by the reader of raw posts."""
+    """Documents with quotes and line ends in them, written to one CSV file and read back by
+    the reader of raw posts, which cuts the file every 256 KB."""
     path = f"{_scratch(spark)}/csv"
-    write.write_csv(_plain_posts(spark, sf_dir), path)
-    return _hashed_content(read.read_raw_posts(spark, path).select("id", "username", "content"))
+    text = F.replace(F.replace("content", F.lit(" the "), F.lit('"the"\n')), F.lit(", "), F.lit('\r\n",""'))
+    write.write_csv(_plain_posts(spark, sf_dir).withColumn("content", text).coalesce(1), path)
+    small = {"spark.sql.files.maxPartitionBytes": 1 << 18, "spark.sql.files.openCostInBytes": 0}
+    with changed_settings(spark, small):
+        return cut_lineage(_hashed_content(read.read_raw_posts(spark, path).select("id", "username", "content")))
+
+
+def csv_typed_copy(spark, sf_dir):
+    """Orders written as CSV, read with guessed types and copied to plain Parquet."""
+    root = _scratch(spark)
+    write.write_csv(table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority"), f"{root}/csv")
+    run_table_copy(spark, f"{root}/csv", f"{root}/copy")
+    return rounded(spark.read.parquet(f"{root}/copy").withColumn("o_orderkey", F.col("o_orderkey").cast("bigint")))
+
+
+def _damaged_lines(spark, sf_dir) -> DataFrame:
+    """Documents as JSON lines, some broken off, some no object, some blank."""
+    body = F.to_json(F.struct(F.col("doc_id").cast("string").alias("id"), F.col("text").alias("content")))
+    digest, kind = F.sha1(F.coalesce("text", F.lit("")).cast("binary")), F.pmod("doc_id", F.lit(11))
+    return table(spark, sf_dir, "documents").select(
+        "doc_id",
+        F.when(kind == 1, F.concat(F.lit('{"content": "'), digest))
+        .when(kind == 2, F.concat(F.lit('[{"id": "'), digest, F.lit('"}]')))
+        .when(kind == 3, F.concat(F.lit('"'), digest, F.lit('"')))
+        .when(kind == 4, F.lit("  \t")).otherwise(body).alias("value"))
+
+
+def _intake_rows(good: DataFrame, bad: DataFrame, counters: dict) -> DataFrame:
+    """What was read, set aside and counted, in one table."""
+    counted = good.sparkSession.createDataFrame([("counter", k, str(v)) for k, v in counters.items()], "kind string, id string, value string")
+    good = good.select(F.lit("good").alias("kind"), "id", F.sha1(F.coalesce("content", F.lit("")).cast("binary")).alias("value"))
+    return good.unionByName(bad.select(F.lit("bad").alias("kind"), F.lit("").alias("id"), "value")).unionByName(counted)
+
+
+def damaged_lines(spark, sf_dir):
+    """Good posts, the lines set aside and the counters of a batch."""
+    root = _scratch(spark)
+    _damaged_lines(spark, sf_dir).select("value").write.text(f"{root}/in")
+    got = intake.read_jsonl_setting_aside(spark, f"{root}/in", f"{root}/aside")
+    return _intake_rows(got.posts, spark.read.parquet(got.quarantine), got.counters)
+
+
+def stream_damaged_lines(spark, sf_dir):
+    """The same of a stream of files, one a batch; the counters are from its progress. Features
+    are made of the good lines, finished files move away, and a second run reads only a new file."""
+    root, keep = _scratch(spark), []
+    lines = _damaged_lines(spark, sf_dir)
+    for name, part in (("batch_a", "doc_id % 3 = 0"), ("idle_batch_b", "doc_id % 3 = 1")):
+        lines.filter(part).select("value").write.text(f"{root}/in/{name}.jsonl")
+
+    def run():
+        files = post_file_stream(spark, f"{root}/in/*", "part-*", archive=f"{root}/done", set_aside=True)
+        query = start_feature_stream(
+            files, f"{root}/features", f"{root}/checkpoint", fx.hash_projection_encoder(4), quarantine_root=f"{root}/aside")
+        query.awaitTermination()
+        keep.extend(p.observedMetrics["intake"].asDict() for p in query.recentProgress if p.observedMetrics.get("intake"))
+
+    run()
+    lines.filter("doc_id % 3 = 2").select("value").write.text(f"{root}/in/batch_c.jsonl")
+    run()
+    rows = read.read_features(spark, f"{root}/features").select("id", F.size("embedding").cast("string").alias("content"))
+    counters = {k: sum(m[k] for m in keep) for k in intake.COUNTERS}
+    return _intake_rows(rows, spark.read.parquet(f"{root}/aside"), counters)
+
+
+def broken_files(spark, sf_dir):
+    """Stored posts with a file that is no table among them: rows per day, and the file's day."""
+    root = _scratch(spark)
+    posts = clean.clean_posts(clean.candidates(document_posts(spark, sf_dir)), NOW)
+    write.write_stored_posts(posts, f"{root}/posts")
+    posts.select(F.col("content").alias("value")).write.text(f"{root}/posts/event_date=2024-06-02")
+    result = run_merge_job(spark, f"{root}/posts", f"{root}/merged", report_root=f"{root}/report")
+    merged = summary.rows_per_day(spark.read.schema(STORED_POST).json(f"{root}/merged"))
+    day = F.regexp_extract("file_path", "event_date=([^/]*)/", 1)
+    bad = spark.read.parquet(f"{root}/report").filter("problem is not null").groupBy(day.alias("event_date")).agg(F.lit(-1).cast("bigint").alias("rows"))
+    counted = spark.createDataFrame([("rows", result["rows"])], "event_date string, rows long")
+    return merged.unionByName(bad).unionByName(counted)
 
 
 def jsonl_round_trip(spark, sf_dir):
@@ -543,6 +670,55 @@ def features_round_trip(spark, sf_dir):
     return rounded(rows.select("id", F.posexplode("embedding").alias("position", "value")))
 
 
+def feature_row_ids(spark, sf_dir):
+    """Ids given to feature rows without one, read whole and in small splits: the same."""
+    path = f"{_scratch(spark)}/features"
+    vectors_ = table(spark, sf_dir, "embeddings").orderBy("vec_id").coalesce(1)
+    vectors_.select(F.lit("").alias("id"), "embedding", "vec_id").write.option("parquet.block.size", 1 << 15).parquet(path)
+
+    def named(size):
+        with changed_settings(spark, {"spark.sql.files.maxPartitionBytes": size, "spark.sql.files.openCostInBytes": 0}):
+            return cut_lineage(read.read_features(spark, path).select("vec_id", F.substring_index("id", "_", -1).alias("id")))
+
+    return named(1 << 27).join(named(1 << 15).withColumnRenamed("id", "in_splits"), "vec_id")
+
+
+def signal_files(spark, sf_dir):
+    """Signal windows written as CSV, JSON lines and one JSON document, read back in time order."""
+    root = _scratch(spark)
+    signals = cut_lineage(event_signals(spark, sf_dir, frequency="1h"))
+    write.write_csv(signals.orderBy("window_start"), f"{root}/csv")
+    write.write_signals_json(signals, f"{root}/json")
+    write.write_signals_json(signals, f"{root}/document", document=True)
+    kinds = "window_start_iso string, n long, mean_signal double, trade_action string"
+    fields = ["window_start_iso", "n", "mean_signal", "trade_action"]
+    in_csv = spark.read.option("header", True).csv(f"{root}/csv").select(*[F.col(f).cast(t) for f, t in (x.split() for x in kinds.split(", "))])
+    in_json = spark.read.schema(kinds).json(f"{root}/json")
+    document = spark.read.text(f"{root}/document", wholetext=True).select(F.from_json("value", f"array<struct<{kinds.replace(' ', ':').replace(',:', ',')}>>").alias("a"))
+    parts = [("csv", in_csv, F.lit(None)), ("json", in_json, F.lit(None))]
+    rows = [df.select(F.lit(kind).alias("form"), place.cast("int").alias("place"), *fields) for kind, df, place in parts]
+    rows.append(document.select(F.posexplode("a").alias("place", "w")).select(F.lit("document").alias("form"), "place", *[f"w.{f}" for f in fields]))
+    return rounded(rows[0].unionByName(rows[1]).unionByName(rows[2]))
+
+
+def pending_input(spark, sf_dir):
+    """Posts by language in the files that a feature run would take; German ones lie elsewhere."""
+    root = _scratch(spark)
+    folder = F.when(F.col("username") == "de", "other_de").when(F.col("username") == "fr", "idle_batch_fr").otherwise(F.concat(F.lit("batch_"), "username"))
+    _plain_posts(spark, sf_dir).withColumn("folder", folder).write.partitionBy("folder").json(f"{root}/in")
+    files = read.pending_files(spark, f"{root}/in/folder=*batch_*", "part-*")
+    posts = read.read_jsonl(spark, [r["file_path"] for r in files.collect()])
+    return posts.groupBy("username").agg(F.count("*").alias("posts"))
+
+
+def keyword_counts(spark, sf_dir):
+    """Documents by keyword, for the fixed list of keywords: each stands for a thirteenth of the ids."""
+    dimension = read.keyword_dimension(spark)
+    tagged = table(spark, sf_dir, "documents").select(F.pmod("doc_id", F.lit(26)).cast("int").alias("tag_index"))
+    counts = summary.counts_for_all(dimension, tagged, "tag_index")
+    return counts.select("source_hashtag", "tag_index", "rows")
+
+
 def stream_event_windows(spark, sf_dir):
     """A stream over the events, run to its end; the windows it closed."""
     use_utc(spark)
@@ -563,16 +739,57 @@ def stream_event_windows(spark, sf_dir):
     return rounded(spark.read.parquet(f"{root}/out").drop("window_start"))
 
 
+def _scores_of_events(rows: DataFrame) -> DataFrame:
+    return rows.select(
+        F.col("ts").cast("timestamp").alias("ts"), F.col("value").alias("emb_score"),
+        F.pmod("user_id", F.lit(11)).cast("double").alias("lex_score"))
+
+
+def stream_signals_scaled(spark, sf_dir):
+    """A stream of two scores on a scale that a batch run stored, weighted; its closed windows."""
+    use_utc(spark)
+    root, schema = _scratch(spark), spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    scoring.ScoreScaler.fit(_scores_of_events(table(spark, sf_dir, "events"))).save(spark, f"{root}/scale")
+    source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    scale = scoring.read_scale(spark, f"{root}/scale")
+    _run(stream_signals(_scores_of_events(source), scale, frequency="1h", min_posts=3, weight_emb=0.6, weight_lex=0.4), root)
+    return rounded(spark.read.parquet(f"{root}/out").drop("window_start"))
+
+
+def stream_late_rows(spark, sf_dir):
+    """Events in six files, each a sixth of the time, one in twenty of them three files late:
+    the hours that the stream closed, the rows in them, and how many came too late."""
+    use_utc(spark)
+    root = _scratch(spark)
+    rows = events(spark, sf_dir).select("event_id", "ts", "value")
+    ends = rows.agg(F.min(F.unix_micros("ts")).alias("a"), F.max(F.unix_micros("ts")).alias("b")).first()
+    sixth = F.expr(f"cast((unix_micros(ts) - {ends['a']}) * 6 div {ends['b'] - ends['a'] + 1} as int)")
+    late = F.when(F.pmod("event_id", F.lit(20)) == 0, 3).otherwise(0)
+    # a marker far ahead closes every window at the end
+    marker = rows.limit(1).select(F.lit(-1).cast("bigint").alias("event_id"), F.timestamp_micros(F.lit(ends["b"] + 10**12)).alias("ts"), F.lit(0.0).alias("value"))
+    batches = cut_lineage(rows.withColumn("batch", F.least(sixth + late, F.lit(5)))).unionByName(marker.withColumn("batch", F.lit(6)))
+    for number in range(7):
+        batches.filter(F.col("batch") == number).drop("batch").coalesce(1).write.parquet(f"{root}/in/batch={number}")
+    source = spark.readStream.schema(rows.schema.add("batch", "integer")).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    query = _run(stream_signals(source.drop("batch"), value="value", frequency="1h", delay="1 hour", min_posts=1), root)
+    counts, closed = late_counts(query), spark.read.parquet(f"{root}/out")
+    dropped = closed.agg(
+        F.lit("late").alias("window_start_iso"),
+        (F.lit(counts["rows_read"] - 1) - F.coalesce(F.sum("n"), F.lit(0))).cast("bigint").alias("n"),
+        F.lit(counts["late_groups"]).cast("double").alias("mean_signal"))
+    return rounded(closed.select("window_start_iso", "n", "mean_signal").unionByName(dropped))
+
+
 def stream_dedupe(spark, sf_dir):
-    """Documents arriving as a stream; each content is kept once."""
-    schema = table(spark, sf_dir, "documents").schema
-    source = (
-        spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf_dir)
-    )
+    """Documents arriving as a stream of files; each content is kept once. The state is
+    compacted twice on the way."""
     root = _scratch(spark)
-    posts = source.select(F.col("doc_id").cast("string").alias("id"), F.col("text").alias("content"))
+    posts = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("string").alias("id"), F.col("text").alias("content"))
+    posts.repartition(6, "id").write.parquet(f"{root}/in")
+    source = spark.readStream.schema(posts.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
     start_clean_stream(
-        posts, f"{root}/posts", f"{root}/seen", f"{root}/checkpoint", NOW
+        source, f"{root}/posts", f"{root}/seen", f"{root}/checkpoint", NOW, digits=1, every=2
     ).awaitTermination()
     kept = spark.read.parquet(f"{root}/posts")
     return kept.select(tx.content_hash(F.col("content")).alias("content_hash"))
@@ -588,9 +805,11 @@ QUERIES = {
         parsed_times, posts_per_day, safe_casts, feature_meta, lexical_score, tfidf_corpus,
         tfidf_chunk, tfidf_source, document_frequency, sparse_roundtrip, hashing_tf, hashed_tfidf,
         embed_documents, centroids, embedding_contrast, standardize, feature_text_join,
-        mentions_hashtags, page_records, label_counts, roundrobin_cap, per_tag_counts,
+        mentions_hashtags, page_records, page_articles_nested, label_counts, roundrobin_cap, per_tag_counts,
         counts_for_all, merge_mixed_schema, row_chunks, job_metrics, t_confidence,
         csv_round_trip, jsonl_round_trip, stored_posts_round_trip, features_round_trip,
-        stream_event_windows, stream_dedupe,
+        stream_event_windows, stream_dedupe, stream_signals_scaled, stream_late_rows,
+        feature_text_join_hot, csv_typed_copy, damaged_lines, stream_damaged_lines, broken_files,
+        feature_row_ids, signal_files, pending_input, keyword_counts,
     )
 }

@@ -6,6 +6,8 @@ import math
 
 import numpy as np
 
+from crowdtide.fixed_values import KEYWORDS
+
 WORD = r"[\w\p{L}\p{N}]"
 SPACE = (
     r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
@@ -140,6 +142,13 @@ SEEN = "seen AS (SELECT DISTINCT h FROM cand WHERE doc_id IN (SELECT doc_id FROM
 SURVIVOR = """SELECT doc_id::VARCHAR AS id, source AS username, h AS content_hash,
     '2024-06-01' AS event_date"""
 
+DAMAGED = """WITH d AS (SELECT doc_id::VARCHAR AS id, text, sha1(coalesce(text, '')) AS x, doc_id % 11 AS k FROM documents),
+    aside AS (SELECT 'bad' AS kind, '' AS id, CASE k WHEN 1 THEN '{"content": "' || x WHEN 2 THEN '[{"id": "' || x || '"}]'
+            ELSE '"' || x || '"' END AS value FROM d WHERE k IN (1, 2, 3)
+        UNION ALL SELECT 'counter', 'lines_read', count(*)::VARCHAR FROM d
+        UNION ALL SELECT 'counter', 'blank_lines', count(*)::VARCHAR FROM d WHERE k = 4
+        UNION ALL SELECT 'counter', 'malformed_lines', count(*)::VARCHAR FROM d WHERE k IN (1, 2, 3))"""
+
 # ---- times ----
 # the spellings have whole seconds, .25 seconds or whole milliseconds
 SPELLED = """SELECT event_id, CASE event_type WHEN 'click' THEN date_trunc('second', ts)
@@ -310,6 +319,15 @@ ORACLE = {
         {in_text('retweets')} AS "retweetCount", {in_text('likes')} AS "likeCount", {in_text('quotes')} AS "quoteCount",
         {tags(MENTIONS, 'txt')} AS mentions, {tags(HASHTAGS, 'txt', True)} AS hashtags,
         coalesce(url_, '') AS url, '#market' AS source_hashtag FROM u""",
+    "page_articles_nested": f"""WITH p AS (SELECT page_id, page_id::VARCHAR AS p, {strip("coalesce(html, '')")} AS body, coalesce(url, '') AS url,
+            lpad((page_id % 1000)::VARCHAR, 3, '0') AS r FROM pages),
+        a AS (SELECT page_id, 0 AS article_no, 'https://x.com/bob' || p || '/status/' || p AS id, 'bob' || p AS username, body AS content,
+            page_id AS likes, ('1' || r)::BIGINT AS retweets, 3::BIGINT AS replies, 4::BIGINT AS quotes FROM p
+        UNION ALL SELECT page_id, 1, 'https://x.com/ann' || p || '/status/9' || p, '', 'third ' || p, NULL, NULL, NULL, NULL FROM p
+        UNION ALL SELECT page_id, 2, NULL, '', 'third ' || p, NULL, NULL, NULL, NULL FROM p
+        UNION ALL SELECT page_id, 3, NULL, '', 'last ' || p || ' never closed', NULL, NULL, NULL, NULL FROM p)
+        SELECT page_id, article_no::INTEGER AS article_no, id, username, sha1(replace(content, chr(10), ' ')) AS content, likes AS "likeCount",
+        retweets AS "retweetCount", replies AS "replyCount", quotes AS "quoteCount", coalesce(id, '') AS url FROM a""",
     "label_counts": """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
         CASE WHEN l_linenumber = 1 THEN l_suppkey ELSE l_quantity::BIGINT END AS like_count,
         (1000 + l_linenumber)::BIGINT AS retweet_count,
@@ -341,8 +359,45 @@ ORACLE = {
         + f""" SELECT {SIGNAL_COLUMNS} FROM s
         WHERE ws + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)"""
     ),
-    "csv_round_trip": """SELECT doc_id::VARCHAR AS id, lang AS username, sha1(coalesce(text, '')) AS content
-        FROM documents""",
+    "csv_round_trip": """SELECT doc_id::VARCHAR AS id, lang AS username, sha1(replace(replace(coalesce(text, ''),
+        ' the ', '"the"' || chr(10)), ', ', chr(13) || chr(10) || '",""')) AS content FROM documents""",
+    "csv_typed_copy": f"""SELECT o_orderkey, {r6('o_totalprice', 'o_totalprice')}, o_orderpriority FROM orders""",
+    "damaged_lines": f"""{DAMAGED}
+        SELECT 'good' AS kind, id, sha1(coalesce(text, '')) AS value FROM d WHERE k NOT IN (1, 2, 3, 4) UNION ALL SELECT * FROM aside""",
+    "stream_damaged_lines": f"""{DAMAGED}
+        SELECT 'good' AS kind, id, sha1('4') AS value FROM d WHERE k NOT IN (1, 2, 3, 4) UNION ALL SELECT * FROM aside""",
+    "broken_files": f"""WITH {CANDIDATES} SELECT '2024-06-01' AS event_date, count(*) AS "rows" FROM cand
+        UNION ALL SELECT '2024-06-02', -1 UNION ALL SELECT 'rows', count(*) FROM cand""",
+    "feature_row_ids": """SELECT vec_id, (row_number() OVER (ORDER BY vec_id) - 1)::VARCHAR AS id,
+        (row_number() OVER (ORDER BY vec_id) - 1)::VARCHAR AS in_splits FROM embeddings""",
+    "signal_files": f"""{signals(EVENT_SCORES, HOUR)},
+        f AS (SELECT ws, {iso('ws')} AS window_start_iso, n, {r6('mean_signal', 'mean_signal')}, action AS trade_action FROM s)
+        SELECT 'csv' AS form, NULL::INTEGER AS place, f.* EXCLUDE (ws) FROM f UNION ALL SELECT 'json', NULL, f.* EXCLUDE (ws) FROM f
+        UNION ALL SELECT 'document', (row_number() OVER (ORDER BY ws) - 1)::INTEGER, f.* EXCLUDE (ws) FROM f""",
+    "pending_input": "SELECT lang AS username, count(*) AS posts FROM documents WHERE lang <> 'de' GROUP BY lang",
+    "keyword_counts": f"""SELECT k.source_hashtag, k.tag_index, count(doc_id) AS "rows" FROM
+        (SELECT unnest({KEYWORDS!r}) AS source_hashtag, unnest(range({len(KEYWORDS)}))::INTEGER AS tag_index) k
+        LEFT JOIN documents ON doc_id % 26 = k.tag_index GROUP BY ALL""",
+    "stream_signals_scaled": (
+        signals("""WITH m AS (SELECT avg(value) em, stddev_pop(value) es, avg((user_id % 11)::DOUBLE) lm,
+            stddev_pop((user_id % 11)::DOUBLE) ls FROM events),
+            scored AS (SELECT ts, 0.6::DOUBLE * (value - em) / es + 0.4::DOUBLE * (user_id % 11 - lm) / ls AS v FROM events, m)""", HOUR)
+        + f""" SELECT {SIGNAL_COLUMNS} FROM s
+        WHERE ws + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)"""
+    ),
+    # a row is late if its hour had ended before the mark of the batch before last's newest row
+    "stream_late_rows": f"""WITH ends AS (SELECT min(epoch_us(ts)) AS a, max(epoch_us(ts)) AS b FROM events),
+        e AS (SELECT event_id, value, epoch_us(ts) AS us, epoch_us(ts) - epoch_us(ts) % {HOUR} AS ws,
+            least((epoch_us(ts) - a) * 6 // (b - a + 1) + CASE WHEN event_id % 20 = 0 THEN 3 ELSE 0 END, 5) AS batch FROM events, ends),
+        mark AS (SELECT n.batch, max(us) - {HOUR} AS w FROM (SELECT unnest(range(7)) AS batch) n LEFT JOIN e ON e.batch < n.batch - 1 GROUP BY 1),
+        r AS (SELECT e.*, coalesce(ws + {HOUR} <= w // 1000 * 1000, false) AS late FROM e JOIN mark USING (batch))
+        SELECT {iso('make_timestamp(ws)')} AS window_start_iso, count(*) AS n, {r6('avg(value)', 'mean_signal')} FROM r WHERE NOT late GROUP BY ws
+        UNION ALL SELECT 'late', count(*), count(DISTINCT (batch, ws))::DOUBLE FROM r WHERE late""",
+    "feature_text_join_hot": f"""WITH f AS (SELECT CASE WHEN vec_id % 2 = 0 THEN 'hot' ELSE vec_id::VARCHAR END AS key, vec_id::VARCHAR AS vec_id
+            FROM embeddings LEFT JOIN events ON event_id = vec_id),
+        t AS (SELECT CASE WHEN doc_id < 3 THEN 'hot' ELSE doc_id::VARCHAR END AS key, doc_id::VARCHAR AS doc_id, sha1(coalesce({strip('text')}, '')) AS content
+            FROM documents)
+        SELECT key, vec_id, doc_id, content FROM f LEFT JOIN t USING (key)""",
     "jsonl_round_trip": """SELECT doc_id::VARCHAR AS id, lang AS username, sha1(coalesce(text, '')) AS content,
         n_chars::VARCHAR AS "likeCount" FROM documents""",
     "stored_posts_round_trip": f"""WITH {CANDIDATES} SELECT doc_id::VARCHAR AS id, h AS content, n_chars AS "likeCount",

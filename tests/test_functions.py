@@ -46,7 +46,6 @@ def test_words_are_pythons(column):
 def test_repair_changes_text_before_the_rest(column):
     upper = lambda c: F.upper(c)
     assert column(lambda c: tx.normalize_text(c, upper), ["a  b"]) == ["A B"]
-    assert tx.mojibake_repair() is None or callable(tx.mojibake_repair())
 
 
 LEXICAL = [
@@ -167,6 +166,8 @@ def test_keys_and_links(column):
     assert column(extract.absolute_url, ["/a/1", "https://b", None]) == ["https://x.com/a/1", "https://b", None]
     long = "é" * 500
     keys = column(lambda c: extract.pseudo_key(F.lit(""), c), [long, long[:400], long[:399]])
+    assert len(set(keys)) == 3  # the whole text is the key
+    keys = column(lambda c: extract.pseudo_key(F.lit(""), c, chars=400), [long, long[:400], long[:399]])
     assert keys[0] == keys[1] != keys[2]
     assert column(lambda c: extract.pseudo_key(c, F.lit("t")), ["u"]) == ["u"]
     assert column(lambda c: extract.first_text(c, F.lit("\n"), F.lit(" z ")), ["a", " ", None]) == ["a", "z", "z"]

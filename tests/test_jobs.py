@@ -1,4 +1,6 @@
+import csv
 import json
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -8,13 +10,14 @@ from crowdtide.fixed_values import POST_COLUMNS
 from crowdtide.operators.clean import text_rows
 from crowdtide.operators.features import hash_projection_encoder
 from crowdtide.operators.scoring import ContrastModel
+from crowdtide.operators.seen_state import SeenState
 from crowdtide.plans.clean_job import run_clean_job
 from crowdtide.plans.feature_job import run_feature_job
 from crowdtide.plans.merge_job import run_merge_job, run_table_copy
 from crowdtide.plans.page_job import run_page_job
 from crowdtide.plans.signal_job import run_signal_job
-from crowdtide.session import ensure_checkpoint_dir
-from crowdtide.sources import read, write
+from crowdtide.session import changed_settings, ensure_checkpoint_dir
+from crowdtide.sources import csv_records, intake, read, write
 
 NOW = datetime(2025, 9, 9)
 ENCODER = hash_projection_encoder(8)
@@ -43,7 +46,7 @@ def clean(spark, csv_file, tmp_path, **options):
 
 
 def json_rows(folder):
-    return [json.loads(line) for p in sorted(folder.glob("*.json")) for line in p.read_text("utf-8").splitlines()]
+    return [json.loads(line) for p in sorted(folder.rglob("*.json")) for line in p.read_text("utf-8").splitlines()]
 
 
 def test_clean_job(spark, csv_file, tmp_path):
@@ -60,12 +63,12 @@ def test_clean_job(spark, csv_file, tmp_path):
     assert "हिन्दी" in "".join(p.read_text("utf-8") for p in (tmp_path / "jsonl").glob("*.json"))
     # nothing is new the second time
     assert clean(spark, csv_file, tmp_path) == {"rows_read": 5, "already_seen": 3, "cleaned": 0}
-    assert read.read_seen(spark, f"{tmp_path}/seen").count() == 3
+    assert SeenState(spark, f"{tmp_path}/seen").rows().count() == 3
 
 
 def test_clean_job_keeping_copies_of_a_batch(spark, csv_file, tmp_path):
     assert clean(spark, csv_file, tmp_path, intra_batch="keep")["cleaned"] == 4
-    assert read.read_seen(spark, f"{tmp_path}/seen").count() == 3
+    assert SeenState(spark, f"{tmp_path}/seen").rows().count() == 3
 
 
 def test_clean_job_with_batches_of_two(spark, csv_file, tmp_path):
@@ -85,6 +88,60 @@ def test_csv_round_trip(spark, csv_file, tmp_path):
     assert read.read_csv_typed(spark, csv_file).schema["id"].dataType.simpleString() in ("int", "string")
 
 
+def split_small(spark, size):
+    """Settings under which files are cut every ``size`` bytes."""
+    return changed_settings(spark, {"spark.sql.files.maxPartitionBytes": size, "spark.sql.files.openCostInBytes": 0, "spark.sql.files.minPartitionNum": 1})
+
+
+def hostile_csv(r, n):
+    fields = ["plain", "", "a,b", 'say "hi"', '""', "two\nlines", "\n", 'x\r\ny', '"', "é" * 30, " pad ", "end\n\n", 'q"\n"q', "long " * 40]
+    return [[f"{i}", r.choice(fields), r.choice(fields) + str(i)] for i in range(n)]
+
+
+@pytest.mark.parametrize("size", [17, 64, 300, 5000, 10**6])
+@pytest.mark.parametrize("ending", ["\n", "\r\n"])
+def test_csv_records_equal_those_of_pythons_reader(spark, tmp_path, size, ending):
+    rows = hostile_csv(random.Random(size), 120)
+    path = tmp_path / "a.csv"
+    with open(path, "w", newline="", encoding="utf-8") as out:
+        writer = csv.writer(out, lineterminator=ending, quoting=csv.QUOTE_ALL if size == 64 else csv.QUOTE_MINIMAL)
+        writer.writerows([["id", "head\ning", "z"], *rows])
+    with open(path, newline="", encoding="utf-8") as back:
+        want = sorted([r[0], r[1], r[2]] for r in csv.reader(back))
+    with split_small(spark, size):
+        lines = csv_records.split_lines(spark, str(path))
+        tasks = lines.select(F.spark_partition_id().alias("p"), "_start").distinct().count()
+        df = csv_records.read_csv_records(spark, str(path))
+        got = sorted([x or "" for x in r] for r in df.collect())
+    assert df.columns == ["id", "head\ning", "z"]
+    assert got == [r for r in want if r[0] != "id"]
+    assert tasks > 1 if size <= 5000 else tasks == 1
+
+
+def test_csv_of_odd_files(spark, tmp_path):
+    folder = tmp_path / "csv"
+    folder.mkdir()
+    files = {"a": 'id,text\n1,x\n\n2,"open\nend\n', "b": "id,text\n", "c": "", "d": '\ufeffid,text\n3,y', "e": "id,text\n4\n5,p,q\n"}
+    for name, text in files.items():
+        (folder / f"{name}.csv").write_text(text, encoding="utf-8")
+    df = read.read_raw_posts(spark, str(folder))
+    got = {r["id"]: r["text"] for r in df.collect()}
+    assert df.columns == ["id", "text"] and sorted(got) == ["1", "2", "3", "4", "5"]
+    assert (got["1"], got["3"], got["4"], got["5"]) == ("x", "y", None, "p") and got["2"].startswith("open\nend")
+    (tmp_path / "empty.csv").write_text("")
+    assert read.read_raw_posts(spark, f"{tmp_path}/empty.csv").columns == POST_COLUMNS
+    names = csv_records._names('a,A,,"x""y"')
+    assert names == ["a0", "A1", "_c2", 'x"y']
+
+
+def test_csv_in_splits_that_change_is_an_error(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,text\n" + "".join(f"{i},t{i}\n" for i in range(500)))
+    with split_small(spark, 1000):
+        df = read.read_raw_posts(spark, f"{tmp_path}/a.csv")
+    with split_small(spark, 700), pytest.raises(Exception, match="splits of the input changed"):
+        df.collect()
+
+
 def test_csv_columns_go_by_name(spark, tmp_path):
     (tmp_path / "a.csv").write_text("text,id,ts\nhello there,9,2025-09-08\n")
     assert clean(spark, f"{tmp_path}/a.csv", tmp_path)["cleaned"] == 1
@@ -97,7 +154,8 @@ def test_csv_columns_go_by_name(spark, tmp_path):
 
 def test_merge_job(spark, csv_file, tmp_path):
     clean(spark, csv_file, tmp_path)
-    assert run_merge_job(spark, f"{tmp_path}/parquet", f"{tmp_path}/merged", single_file=True)
+    result = run_merge_job(spark, f"{tmp_path}/parquet", f"{tmp_path}/merged", single_file=True)
+    assert (result["rows"], result["broken_files"], result["broken_names"]) == (3, 0, []) and result["files"] >= 1
     lines = json_rows(tmp_path / "merged")
     assert sorted(line["id"] for line in lines) == ["1", "2", "5"] and "replyCount" in lines[0]
     assert not run_merge_job(spark, f"{tmp_path}/nowhere", f"{tmp_path}/merged2")
@@ -118,6 +176,24 @@ def test_merge_of_unlike_files(spark, tmp_path):
     assert read.read_stored_posts(spark, root).filter("event_date = 'unknown'").count() == 1
 
 
+def test_broken_files_are_named(spark, tmp_path):
+    root = f"{tmp_path}/posts"
+    for day, i in (("2024-01-01", 1), ("2024-01-02", 2)):
+        spark.createDataFrame([(str(i), "text")], "id string, content string").coalesce(1).write.parquet(f"{root}/event_date={day}")
+    (tmp_path / "posts/event_date=2024-01-02/broken.parquet").write_bytes(b"PAR1 not a table")
+    sound = next((tmp_path / "posts/event_date=2024-01-01").glob("part-*"))
+    data = bytearray(sound.read_bytes())
+    data[4:24] = b"\xff" * 20  # the footer is whole, the page is not
+    (tmp_path / "posts/event_date=2024-01-01/inside.parquet").write_bytes(bytes(data))
+    result = run_merge_job(spark, root, f"{tmp_path}/merged", report_root=f"{tmp_path}/report")
+    assert (result["files"], result["broken_files"]) == (4, 1)
+    assert [name.rsplit("/", 1)[1] for name in result["broken_names"]] == ["broken.parquet"]
+    report = {r["file_path"].rsplit("/", 1)[1]: r for r in spark.read.parquet(f"{tmp_path}/report").collect()}
+    assert report["broken.parquet"]["problem"].startswith("unreadable") and report["inside.parquet"]["rows"] == 1
+    deep = {r["file_path"].rsplit("/", 1)[1] for r in intake.probe_parquet(spark, root, deep=True).filter("problem is not null").collect()}
+    assert deep == {"broken.parquet", "inside.parquet"}
+
+
 def test_table_copy(spark, csv_file, tmp_path):
     run_table_copy(spark, csv_file, f"{tmp_path}/copy")
     assert spark.read.parquet(f"{tmp_path}/copy").count() >= 5
@@ -155,7 +231,11 @@ def test_read_jsonl(spark, jsonl):
 @pytest.mark.parametrize("scope", ["corpus", "chunk", "file"])
 def test_feature_job(spark, jsonl, tmp_path, scope):
     root = f"{tmp_path}/features"
-    assert run_feature_job(spark, jsonl, root, ENCODER, scope=scope, chunk_size=2, width=2**18, run_ts=NOW) == 3
+    counts = run_feature_job(spark, jsonl, root, ENCODER, scope=scope, chunk_size=2, width=2**18, run_ts=NOW)
+    assert counts == {"rows_written": 3, "lines_read": 11, "blank_lines": 2, "malformed_lines": 5}
+    aside = spark.read.parquet(f"{root}_set_aside")
+    assert sorted(r["value"] for r in aside.collect()) == sorted(LINES[3:8])
+    assert all(r["file_path"].endswith("batch_1.jsonl") for r in aside.collect())
     got = {r["id"]: r for r in read.read_features(spark, root).collect()}
     assert (got["7"]["likeCount"], got["7"]["date"]) == (3, "2025-09-08T12:01:00Z")
     assert (got["8"]["date"], got["8"]["source_hashtag"], got["8"]["run_ts"]) == ("1757332860000", "h", NOW)
@@ -174,6 +254,20 @@ def test_features_without_id_stay_apart(spark, tmp_path):
     assert len(set(ids)) == 3 and "a" in ids and sum(i.startswith("row_part-") for i in ids) == 2
 
 
+def test_features_keep_their_names_in_other_splits(spark, tmp_path):
+    data = [(None if i % 3 else "", [float(i)] * 50) for i in range(3000)]
+    spark.createDataFrame(data, "id string, embedding array<float>").coalesce(1).write.option("parquet.block.size", 20_000).parquet(f"{tmp_path}/f")
+
+    def names():
+        return {r["embedding"][0]: r["id"] for r in read.read_features(spark, f"{tmp_path}/f").collect()}
+
+    whole = names()
+    with split_small(spark, 30_000):
+        assert read.read_features(spark, f"{tmp_path}/f").rdd.getNumPartitions() > 1
+        assert names() == whole
+    assert len(set(whole.values())) == 3000 and all(v.endswith(f"_{int(k)}") for k, v in whole.items())
+
+
 def test_feature_table_is_checked(spark, tmp_path):
     spark.range(2).write.parquet(f"{tmp_path}/x")
     with pytest.raises(ValueError, match="embedding"):
@@ -202,7 +296,7 @@ def test_signal_job(spark, tmp_path):
     assert result["trade_action_summary"] == {"SHORT": 6}
     table = spark.read.option("header", True).csv(f"{out}/csv")
     assert table.count() == 6 and table.columns[0] == "window_start"
-    text = "".join(p.read_text() for p in (tmp_path / "signals/json").glob("part-*"))
+    text = "".join(p.read_text() for p in (tmp_path / "signals/json").rglob("part-*"))
     document = json.loads(text)
     assert [d["window_start_iso"] for d in document] == sorted(d["window_start_iso"] for d in document)
     assert len(document) == 6 and "window_start" not in document[0] and document[0]["n"] == 10
@@ -210,6 +304,12 @@ def test_signal_job(spark, tmp_path):
     doubled = run_signal_job(spark, root, str(posts), f"{out}2", model, now=NOW, dedupe_keys=False, frequency="10min")
     assert doubled["total_posts_used"] == 120
     assert len(json_rows(tmp_path / "signals2/json")) == 6
+    assert (result["lines_read"], result["malformed_lines"]) == (60, 0)
+    # another run stands beside the first, and one repeated by its name replaces itself
+    for _ in range(2):
+        run_signal_job(spark, root, str(posts), out, model, now=NOW, frequency="10min", run_id="again")
+    by_run = spark.read.parquet(f"{out}/plot").groupBy("run_id").count().collect()
+    assert sorted((r["run_id"] == "again", r["count"]) for r in by_run) == [(False, 6), (True, 6)]
 
 
 def test_page_job(spark, tmp_path):

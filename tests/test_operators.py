@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from crowdtide.fixed_values import KEYWORDS
 from crowdtide.operators import clean, dedupe, features as fx, merge, pages, ranking, scoring
 from crowdtide.operators import skew, summary, windows
-from crowdtide.session import spread
+from crowdtide.session import changed_settings, spread
 
 DAY = datetime(2024, 3, 1)
 
@@ -43,10 +43,29 @@ def test_skew_join_equals_a_join(spark, how, heavy):
 
 def test_a_row_is_copied_only_for_a_heavy_partner(spark):
     left, right = skewed_sides(spark)
-    cells = skew._heavy_cells(left.dropna(), right.dropna(), ["k"], 10, 15)
-    assert rows(cells) == [("hot", 4, 2, True), ("left hot", 3, 1, False), ("right hot", 1, 3, True)]
+    cells = skew.heavy_cells(left, right, ["k"], 10, 15)
+    assert rows(cells) == [("hot", 4, 2), ("left hot", 3, 1), ("right hot", 1, 3)]
+    assert rows(skew.heavy_cells(left, None, ["k"], 10, 15)) == [("hot", 4, 1), ("left hot", 3, 1)]
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_skew_join_with_two_keys_and_hot_nulls(spark, how):
+    r = random.Random(1)
+    key = lambda: (r.choice([None, None, 1, 2, 3]), r.choice(["x", None, "y"]))
+    left = spark.createDataFrame([(*key(), i) for i in range(300)], "a int, b string, l int").repartition(4)
+    right = spark.createDataFrame([(*key(), i) for i in range(60)], "a int, b string, r int").repartition(3)
+    got = skew.skew_join(left, right, ["a", "b"], how, share=100, min_rows=4)
+    want = left.join(right, ["a", "b"], how)
+    assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_skew_join_reads_each_side_once(spark, tmp_path):
+    for name in "lr":
+        spark.createDataFrame([(str(i % 9), i) for i in range(500)], f"k string, {name} int").write.parquet(f"{tmp_path}/{name}")
+    left, right = spark.read.parquet(f"{tmp_path}/l"), spark.read.parquet(f"{tmp_path}/r")
+    plan = skew.skew_join(left, right, ["k"], "left", share=100, min_rows=10)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2 and plan.count("Exchange hashpartitioning") <= 2
+
 def test_heavy_keys_are_bounded(spark):
     counts = spark.createDataFrame([(i, 1) for i in range(50)] + [(99, 50)], "k int, n long")
     assert rows(skew.heavy_keys(counts, "n", share=3, min_rows=0)) == [(99, 50)]
@@ -68,6 +87,53 @@ def test_row_index_breaks_ties(spark):
     assert [r[1] for r in got] == ["z", "a", "b", "y"]
 
 
+def test_a_key_with_half_the_rows_is_cut(spark):
+    r = random.Random(3)
+    data = [(7 if i % 2 else r.randrange(1000), r.randrange(10**6)) for i in range(20_000)]
+    df = spark.createDataFrame(data, "k int, t int").repartition(6)
+    placed = ranking.sorted_slices(df, ["k"], slices=20)
+    sizes = [r["count"] for r in placed.groupBy("_slice", "_part").count().collect()]
+    assert max(sizes) <= 2 * 1000 and sum(sizes) == 20_000
+    got = rows(ranking.with_row_index(df, "k", ["t"], slices=20), "row_index")
+    assert [r[:2] for r in got] == sorted(data) and [r[2] for r in got] == list(range(20_000))
+
+
+def test_equal_rows_are_cut_and_overfull_slices_too(spark, monkeypatch):
+    same = spark.createDataFrame([(1, "x")] * 5000, "k int, t string").repartition(3)
+    sizes = [r["count"] for r in ranking.sorted_slices(same, ["k"], slices=10).groupBy("_slice", "_part").count().collect()]
+    assert max(sizes) <= 1000
+    assert sorted(r["row_index"] for r in ranking.with_row_index(same, "k", slices=10).collect()) == list(range(5000))
+    # a sample that misses most of the rows leaves a slice far over its share
+    df = spark.range(8000).select(F.col("id").alias("k"))
+    with changed_settings(spark, {"spark.sql.execution.rangeExchange.sampleSizePerPartition": 1}):
+        placed = ranking.sorted_slices(df.coalesce(1), ["k"], slices=16)
+        got = rows(ranking.with_row_index(df.coalesce(1), "k", slices=16))
+    parts = placed.groupBy("_slice", "_part").count().collect()
+    assert len(parts) > 8 and sum(r["count"] for r in parts) == 8000
+    assert got == [(i, i) for i in range(8000)]
+
+
+def test_row_index_of_text_and_of_nothing(spark):
+    df = spark.createDataFrame([("b",), (None,), ("a",)], "v string")
+    assert rows(ranking.with_row_index(df, "v"), "row_index") == [(None, 0), ("a", 1), ("b", 2)]
+    assert ranking.with_row_index(df.limit(0), "v").count() == 0
+
+
+@pytest.mark.parametrize("sent", [10**6, 2])
+def test_chunks_without_moving_the_rows(spark, sent):
+    ids = random.Random(5).sample(range(-10**6, 10**6), 1203)
+    df = spark.createDataFrame([(i, f"t{i}") for i in ids], "id long, text string").repartition(3)
+    got = ranking.with_chunks(df, "id", 100, sent_borders=sent)
+    want = {i: n // 100 + 1 for n, i in enumerate(sorted(ids))}
+    assert {r["id"]: r["chunk_id"] for r in got.collect()} == want and got.columns == ["id", "text", "chunk_id"]
+    moved = got._jdf.queryExecution().executedPlan().toString().count("Join")
+    assert (moved == 0) == (sent == 10**6)
+    few = ranking.with_chunks(df.filter("id > 999990"), "id", 100)
+    assert {r["chunk_id"] for r in few.collect()} <= {1}
+    large = spark.createDataFrame([(2**60 + i,) for i in range(5)], "id long")
+    assert rows(ranking.with_chunks(large, "id", 2), "id") == [(2**60 + i, i // 2 + 1) for i in range(5)]
+
+
 def test_index_in_read_order(spark):
     df = spark.range(100, numPartitions=7).filter("id % 3 > 0").withColumn("text", F.col("id").cast("string"))
     got = rows(ranking.with_read_index(df).select("id", "row_index"))
@@ -199,11 +265,12 @@ def test_tfidf_by_scope(spark):
 def test_tfidf_in_small_scopes(spark):
     docs = doc_frame(spark)
     numbered = ranking.with_chunks(docs.select("d", "t"), "d", 3)
-    counts = fx.term_counts(numbered.repartition("chunk_id"), "d", "t", ["chunk_id"])
+    counts = fx.term_counts(numbered, "d", "t", ["chunk_id"]).repartition("chunk_id")
     out = fx.tfidf_in_small_scopes(counts, "d", ["chunk_id"], ranking.chunk_rows(docs, "chunk_id", 3))
     want = tfidf_by_hand(DOCS[:3]) | {(i + 3, t): w for (i, t), w in tfidf_by_hand(DOCS[3:]).items()}
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning(chunk_id") == 1  # the texts move once
+    assert len(re.findall(r"Exchange hashpartitioning\(chunk_id#\d+L, \d+\)", plan)) == 1  # the counts move to their chunk
+    assert not re.search(r"Exchange.*\n.*Project \[d#\d+L?, t#", plan)  # no text does
     assert {(r["d"], r["term"]): r["weight"] for r in out.collect()} == pytest.approx(want)
 
 
@@ -420,6 +487,30 @@ def test_page_records_of_nested_markup(spark):
     assert second["content"] == "never closed  tail"
 
 
+QUOTING = """<ARTICLE><p>outer</p><article class='q'><p>inner @amy</p><script>"</article>"</script></article>
+<!-- <article> --><div role="group"><i aria-label="7 likes"></i></div><a href="/bob/status/1">t</a></ARTICLE></article>
+<article>one <article>two <article>three</article> after"""
+
+
+def test_articles_inside_articles_are_records_of_their_own(spark):
+    df = spark.createDataFrame([(1, QUOTING), (2, None), (3, "</article>"), (4, "<article>"), (5, "")], "page_id int, html string")
+    rows = pages.page_records(df, now=DAY).orderBy("page_id", "article_no").collect()
+    outer, inner, *rest = rows
+    assert (outer["likeCount"], outer["url"], outer["username"]) == (7, "https://x.com/bob/status/1", "bob")
+    assert (outer["content"].split(), outer["mentions"]) == (["outer", "inner", "@amy", "t"], "amy")
+    assert (inner["article_no"], inner["likeCount"], inner["url"], inner["username"]) == (1, None, "", "amy")
+    assert inner["content"] == "inner @amy"
+    # the close goes to the article opened last; the others go to the end of the page
+    assert [(r["article_no"], " ".join(r["content"].split())) for r in rest] == [(2, "one two three after"), (3, "two three after"), (4, "three")]
+
+
+def test_deep_and_many_articles(spark):
+    html = "<article>" * 60 + "x" + "</article>" * 60 + "".join(f"<article>n{i}</article>" for i in range(300))
+    df = spark.createDataFrame([(1, html)], "page_id int, html string")
+    rows = pages.page_records(df, now=DAY).orderBy("article_no").collect()
+    assert [r["content"] for r in rows] == ["x"] * 60 + [f"n{i}" for i in range(300)]
+
+
 def test_posts_alike_in_their_opening_are_two(spark):
     pair = [(1, "<article>" + "x" * 500 + end + "</article>") for end in "ab"]
     df = spark.createDataFrame(pair, "page_id int, html string")

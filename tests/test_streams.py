@@ -1,3 +1,4 @@
+import hashlib
 import json
 from datetime import datetime, timedelta
 
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 
 from crowdtide.operators.features import hash_projection_encoder
 from crowdtide.operators.scoring import ScoreScaler
+from crowdtide.operators.seen_state import SeenState
 from crowdtide.operators.windows import window_signals
 from crowdtide.schemas import RAW_POST
 from crowdtide.sources.read import read_features
@@ -98,11 +100,57 @@ def test_clean_stream(spark, tmp_path):
     write("b", "two", "three")
     assert run() == ["one", "three", "two"]
     assert run() == ["one", "three", "two"]
-    assert spark.read.parquet(f"{tmp_path}/seen").count() == 3
+    assert SeenState(spark, f"{tmp_path}/seen").rows().count() == 3
     days = spark.read.parquet(f"{tmp_path}/posts").select(F.col("event_date").cast("string")).distinct()
     assert days.count() == 2
 
 
+def hashes(spark, *names):
+    return spark.createDataFrame([(hashlib.sha1(n.encode()).hexdigest(),) for n in names], "content_hash string")
+
+
+def test_seen_state_over_many_batches(spark, tmp_path):
+    state, seen, files, last = SeenState(spark, f"{tmp_path}/seen", digits=1, every=3), set(), [], -1
+    for number in range(17):
+        assert last < state.next_number() <= number  # a batch without a new hash leaves its number free
+        compacted = state.compact(number)
+        assert compacted == (number > 0 and number % 3 == 0)
+        names = {f"n{number * 5 % 23 + i}" for i in range(6)}
+        keys = hashes(spark, *sorted(names))
+        for _ in range(2):  # a replay finds the state as it was
+            new = state.unseen(keys, number, 6)
+            assert {r[0] for r in new.collect()} == {hashlib.sha1(n.encode()).hexdigest() for n in names - seen}
+            state.record(new, number, START)
+        last = number if names - seen else last
+        seen |= names
+        files.append(len(state.rows(number + 1).inputFiles()))
+        assert state.rows(number + 1).count() == len(seen)
+    # a base of 16 prefixes at most and fewer than two rounds of recent batches, however many there have been
+    assert max(files[9:]) <= 16 + 5 * 4 and max(files[13:]) <= max(files[6:13]) + 2
+
+
+def test_seen_state_reads_only_the_prefixes_held(spark, tmp_path):
+    state = SeenState(spark, f"{tmp_path}/seen", digits=1, every=1)
+    state.record(hashes(spark, *map(str, range(200))), 0)
+    state.compact(1)
+    one = hashes(spark, "7")
+    plan = state.unseen(one, 1, 1)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(prefix" in plan or "PartitionFilters: [prefix" in plan
+    assert state.unseen(one, 1, 1).isEmpty()
+    assert state.unseen(hashes(spark, "new"), 1, 10**9).count() == 1  # many keys: both sides are shuffled
+    assert state.unseen(hashes(spark), 1, 0).isEmpty()
+
+
+def test_a_slot_without_a_mark_is_not_read(spark, tmp_path):
+    state = SeenState(spark, f"{tmp_path}/seen", digits=1, every=2)
+    for number in range(5):
+        state.compact(number)
+        state.record(hashes(spark, f"a{number}"), number)
+    slot, upto = state.base(5)
+    state._mark(1 - slot, None)  # as if a compaction had died after its first step
+    assert state.base(5) == (slot, upto) and state.rows(5).count() == 5
+
+
 def test_recent_first(spark, tmp_path):
     spark.createDataFrame(
         [(START, "h"), (START, "h"), (START, "g")], "ts timestamp, content_hash string"
