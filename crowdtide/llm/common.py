@@ -37,6 +37,41 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until ``df`` has no such column."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name += "_"
+    return name
+
+
+def release() -> None:
+    """Gives back to the system what Arrow and malloc hold for later: a worker outlives its
+    task, and would keep the most that it ever needed."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def lean(run):
+    """A function over Arrow batches that leaves no memory behind when its task ends."""
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return wrapped
+
+
 def held_out(doc_id: Column, folds: int, fold: int) -> Column:
     """Whether crc32 of the id as text falls into the fold that is kept from learning."""
     remainder = F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds

@@ -12,7 +12,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from crowdtide.llm.common import SPACES, plain_text, shared_folder, stored, table
+from crowdtide.llm.common import SPACES, plain_text, shared_folder, stored, table, unused
 
 BUCKETS = 64
 
@@ -86,15 +86,19 @@ def drop_copies(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id", tex
     kept = kept.groupBy("doc_id", "digest").agg(
         F.max("kept").alias("kept"), F.count(F.lit(1)).alias("copies")).filter("kept")
     kept = stored(kept.select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"), "copies"), "kept")
-    rows = docs.withColumn("__key", digest(F.col(text_col)))
-    same = rows[id_col].eqNullSafe(kept["__id"]) & (rows["__key"] == kept["__digest"])
-    once = rows.join(kept, same, "left_semi").drop("__key")
+    hashed = unused(docs, "__key")
+    rows = docs.withColumn(hashed, digest(F.col(text_col)))
+
+    def same(other):
+        return rows[id_col].eqNullSafe(other["__id"]) & (rows[hashed] == other["__digest"])
+
+    once = rows.join(kept, same(kept), "left_semi").drop(hashed)
     repeated = kept.filter("copies > 1")
     if repeated.isEmpty():
         return once
-    once = rows.join(kept.filter("copies = 1"), same, "left_semi")
-    again = rows.join(repeated, rows[id_col].eqNullSafe(repeated["__id"]) & (rows["__key"] == repeated["__digest"]), "left_semi")
-    return once.unionByName(again.dropDuplicates([id_col, "__key"])).drop("__key")
+    single = kept.filter("copies = 1")
+    once, again = (rows.join(side, same(side), "left_semi") for side in (single, repeated))
+    return once.unionByName(again.dropDuplicates([id_col, hashed])).drop(hashed)
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

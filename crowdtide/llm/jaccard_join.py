@@ -12,7 +12,8 @@ In a block sets are ordered alike, frequent n-grams first, and stored in a trie.
 looked up by walking the trie, sharing the overlap counted on common paths and leaving a
 subtree when what remains of both sides cannot reach the needed overlap, or when it is
 linked with the set already. Blocks of more than ``BLOCK`` nodes are cut into pieces, and
-each pair of pieces is a task. Tasks give links that span the components, not all pairs.
+each pair of pieces is a task. For components tasks give links that span them; all similar
+pairs come from the same walk without the last cut (``jaccard_pairs``).
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import math
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from crowdtide.llm.common import bitmap, maybe_in, plain_text, stored, table
+from crowdtide.llm.common import bitmap, lean, maybe_in, plain_text, release, stored, table, unused
 from crowdtide.llm.components import connected
 from crowdtide.llm.hashing import groups, mixed, words
 
@@ -71,6 +72,14 @@ def bound(percent: int) -> int:
     return int(min(1.0, 2 * (100 - percent) / 100 + 0.02) * (1 << 31))
 
 
+NODE = "struct<none:boolean,id:long,node:long>"
+
+
+def named(doc_id: str, node: str):
+    """A node with its smallest id; nodes in this order are in that of their ids, null last."""
+    return F.struct(F.col(doc_id).isNull().alias("none"), F.coalesce(F.col(doc_id), F.lit(0)).alias("id"), F.col(node).alias("node"))
+
+
 def described(df: DataFrame, n: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     """``doc_id, key, node, n, sampled, entries`` for each row; ``entries`` are the n-grams
     that can be in the prefix, and are given where a task sees a node for the first time."""
@@ -105,7 +114,7 @@ def described(df: DataFrame, n: int, percent: int, id_col: str, text_col: str) -
 
     text = plain_text(F.col(text_col))
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("key"), text.alias("text"))
-    return stored(rows.mapInArrow(describe, "doc_id long, key long, node long, n long, sampled long, entries array<long>"), "described")
+    return stored(rows.mapInArrow(lean(describe), "doc_id long, key long, node long, n long, sampled long, entries array<long>"), "described")
 
 
 def meetings(rows: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -166,9 +175,9 @@ class Trie:
                 cuts = [lo, *(np.flatnonzero(same[lo + 1:hi] == to) + lo + 1).tolist(), hi]
                 todo += [(a, b, to, children) for a, b in zip(cuts, cuts[1:])]
 
-    def links(self, percent: int, sides=None):
-        """Pairs of row numbers that span the components of similar rows; with ``sides``,
-        only pairs of rows of different sides are compared."""
+    def links(self, percent: int, sides=None, every: bool = False):
+        """Pairs of row numbers that span the components of similar rows, or with ``every``
+        all pairs of similar rows; with ``sides``, only pairs of rows of different sides."""
         import numpy as np
 
         rows, label = self.rows, np.arange(len(self.rows))
@@ -179,7 +188,9 @@ class Trie:
             todo = [(node, 0) for node in self.root]
             while todo:
                 (depth, to, lo, hi, shortest, longest, children), overlap = todo.pop()
-                if hi <= i + 1 or longest * 100 < n * percent or n * 100 < shortest * percent or (label[max(lo, i):hi] == label[i]).all():
+                if hi <= i + 1 or longest * 100 < n * percent or n * 100 < shortest * percent:
+                    continue
+                if not every and (label[max(lo, i):hi] == label[i]).all():
                     continue
                 path = rows[lo][depth:to]
                 if len(path):
@@ -189,14 +200,15 @@ class Trie:
                     continue
                 if children:
                     todo += [(child, overlap) for child in children]
-                elif label[lo] != label[i] and (sides is None or sides[lo] != sides[i]):
+                elif lo > i and (every or label[lo] != label[i]) and (sides is None or sides[lo] != sides[i]):
                     yield i, lo
-                    label[label == label[lo]] = label[i]
+                    if not every:
+                        label[label == label[lo]] = label[i]
             held[own] = False
 
 
-def linked(nodes: list[int], found: list, percent: int, sides=None) -> list[tuple[int, int]]:
-    """Links that span the components of similar sets."""
+def linked(nodes: list, found: list, percent: int, sides=None, every: bool = False) -> list[tuple]:
+    """Links that span the components of similar sets, or all of them."""
     import numpy as np
 
     if len(found) < 2:
@@ -208,11 +220,12 @@ def linked(nodes: list[int], found: list, percent: int, sides=None) -> list[tupl
     rows = [np.sort(r) for r in np.split(rank[where], ends[:-1])]
     order = sorted(range(len(rows)), key=lambda i: rows[i].astype(">u4").tobytes())
     trie = Trie([rows[i] for i in order])
-    return [(nodes[order[a]], nodes[order[b]]) for a, b in trie.links(percent, None if sides is None else [sides[i] for i in order])]
+    return [(nodes[order[a]], nodes[order[b]]) for a, b in trie.links(percent, None if sides is None else [sides[i] for i in order], every)]
 
 
-def joined(df: DataFrame, nodes: DataFrame, blocks: DataFrame, n: int, percent: int, id_col: str, text_col: str) -> DataFrame:
-    """``a, b``: links between nodes that are similar indeed."""
+def joined(df: DataFrame, nodes: DataFrame, blocks: DataFrame, n: int, percent: int, id_col: str, text_col: str, every: bool = False) -> DataFrame:
+    """``a, b``: links between nodes that are similar indeed, as structs ``none, id, node``,
+    whose order is that of the nodes' smallest ids, null last."""
     sizes = blocks.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
     placed = blocks.join(sizes, "root").join(nodes.select("node", "key", "doc_id"), "node")
     pieces = F.ceil(F.col("size") / BLOCK).cast("int")
@@ -223,7 +236,8 @@ def joined(df: DataFrame, nodes: DataFrame, blocks: DataFrame, n: int, percent:
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("key"), text.alias("text"))
     # a bitmap of fixed size keeps texts that are surely in no block out of the shuffle
     rows = rows.filter(maybe_in(bitmap(placed.select(F.col("k").alias("key"))), F.col("key")))
-    rows = rows.join(placed, (rows["key"] == placed["k"]) & rows["id"].eqNullSafe(placed["d"])).select("node", "block", "pieces", "piece", "text")
+    rows = rows.join(placed, (rows["key"] == placed["k"]) & rows["id"].eqNullSafe(placed["d"]))
+    rows = rows.select(named("d", "node").alias("node"), "block", "pieces", "piece", "text")
 
     def hashed(batches):
         import pyarrow as pa
@@ -233,7 +247,7 @@ def joined(df: DataFrame, nodes: DataFrame, blocks: DataFrame, n: int, percent:
                 found = [s.tobytes() for s in sets(batch.column(4).slice(start, 512).to_pylist(), n)]
                 yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(start, len(found)) for i in range(4)), pa.array(found, pa.binary())], ["node", "block", "pieces", "piece", "set"])
 
-    rows = rows.mapInArrow(hashed, "node long, block long, pieces int, piece int, set binary")
+    rows = rows.mapInArrow(lean(hashed), f"node {NODE}, block long, pieces int, piece int, set binary")
     # each pair of a block's pieces is a task, a piece with itself too
     other = F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("other")
     rows = rows.select("*", other).select("node", "block", "piece", "set", F.least("piece", "other").alias("low"), F.greatest("piece", "other").alias("high"))
@@ -242,13 +256,36 @@ def joined(df: DataFrame, nodes: DataFrame, blocks: DataFrame, n: int, percent:
         import numpy as np
         import pyarrow as pa
 
-        held = {i: (s, p) for i, s, p in zip(*(table_.column(c).to_pylist() for c in ("node", "set", "piece")))}
+        held = {tuple(i.values()): (s, p) for i, s, p in zip(*(table_.column(c).to_pylist() for c in ("node", "set", "piece")))}
         across = table_.column("low")[0].as_py() != table_.column("high")[0].as_py()
-        found = linked(list(held), [np.frombuffer(s, "<u8") for s, _ in held.values()], percent, [p for _, p in held.values()] if across else None)
-        a, b = zip(*found) if found else ((), ())
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+        found = linked(list(held), [np.frombuffer(s, "<u8") for s, _ in held.values()], percent, [p for _, p in held.values()] if across else None, every)
+        kind = pa.struct([("none", pa.bool_()), ("id", pa.int64()), ("node", pa.int64())])
+        ends = [pa.array([dict(zip(("none", "id", "node"), x)) for x in side], kind) for side in (zip(*found) if found else ((), ()))]
+        if len(held) > BLOCK // 4:
+            del held
+            release()
+        return pa.table(ends, ["a", "b"])
 
-    return rows.groupBy("block", "low", "high").applyInArrow(look, "a long, b long")
+    return rows.groupBy("block", "low", "high").applyInArrow(look, f"a {NODE}, b {NODE}")
+
+
+def node_table(rows: DataFrame) -> DataFrame:
+    """``node, n, sampled, doc_id, key`` of described rows: each set, with the smallest row that has it."""
+    nodes = rows.filter(F.col("node").isNotNull()).groupBy("node").agg(
+        F.first("n").alias("n"), F.first("sampled").alias("sampled"),
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("least"))
+    return stored(nodes.select("node", "n", "sampled", F.col("least.doc_id").alias("doc_id"), F.col("least.key").alias("key")), "nodes")
+
+
+def components(df: DataFrame, n: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """``doc_id, key, n, node, root`` for each row: ``root`` is the first node, by smallest id,
+    that the row's node reaches; null with the node for a text without words."""
+    rows = described(df, n, percent, id_col, text_col)
+    nodes = node_table(rows)
+    blocks = connected(meetings(rows, nodes, percent))
+    roots = connected(joined(df, nodes, blocks, n, percent, id_col, text_col)).select(F.col("node.node").alias("node"), "root")
+    own = nodes.join(roots, "node", "left").select("node", F.coalesce("root", named("doc_id", "node")).alias("root"))
+    return rows.select("doc_id", "key", "n", "node").join(stored(own, "components"), "node", "left").select("doc_id", "key", "n", "node", "root")
 
 
 def jaccard_components(df: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -261,27 +298,54 @@ def jaccard_components(df: DataFrame, n: int = 5, percent: int = 80, id_col: str
     are passed over unless all of a component are null. Rows that repeat an id are looked
     at each; an empty table gives no rows. Other columns are not read.
     """
+    found = F.when(~F.col("root.none"), F.col("root.id"))
+    return components(df, n, percent, id_col, text_col).select(
+        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(found).alias("component_id"))
+
+
+def jaccard_pairs(df: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """The join itself: ``(pairs, members)``.
+
+    ``pairs`` has ``a, b``, every two similar sets of n-grams that differ, once; ``members`` has
+    ``doc_id, n_shingles, node`` for each row, ``node`` null without words. Rows of one node are
+    equal sets and link too, so copies add no pair. A block of similar sets that all differ
+    gives as many pairs as there are: its cost is that of its result.
+    """
     rows = described(df, n, percent, id_col, text_col)
-    none = F.col("doc_id").isNull()
-    nodes = rows.filter(F.col("node").isNotNull()).groupBy("node").agg(
-        F.first("n").alias("n"), F.first("sampled").alias("sampled"), F.min(F.struct(none.alias("none"), "doc_id", "key")).alias("least"))
-    nodes = stored(nodes.select("node", "n", "sampled", F.col("least.doc_id").alias("doc_id"), F.col("least.key").alias("key")), "nodes")
+    nodes = node_table(rows)
     blocks = connected(meetings(rows, nodes, percent))
-    roots = connected(joined(df, nodes, blocks, n, percent, id_col, text_col))
-    own = nodes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "doc_id")
-    own = stored(own, "own")
-    least = own.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    own = stored(own.join(least, "root").select("node", "component_id"), "components")
-    return rows.select("doc_id", F.col("n").alias("n_shingles"), "node").join(own, "node", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    found = joined(df, nodes, blocks, n, percent, id_col, text_col, every=True)
+    low, high = F.least("a.node", "b.node"), F.greatest("a.node", "b.node")
+    return found.select(low.alias("a"), high.alias("b")).distinct(), rows.select("doc_id", F.col("n").alias("n_shingles"), "node")
 
 
 def one_of_each(df: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``df``, all columns, less those that a row of smaller id is linked with,
-    directly or by others. Rows with a null id stay."""
-    found = jaccard_components(df, n, percent, id_col, text_col)
-    gone = stored(found.filter(F.col("component_id") < F.col("doc_id")).select(F.col("doc_id").alias("__gone")).distinct(), "gone")
-    return df.join(gone, df[id_col] == gone["__gone"], "left_anti")
+    """The rows of ``df``, all columns, one of each component.
+
+    That is the row with the smallest id, null last; of rows that share this id, one of the
+    text whose hash is smallest. Rows are told apart by id and text, so a row whose id another
+    text has is judged by its own text. Rows without words all stay.
+    """
+    rows = components(df, n, percent, id_col, text_col).filter(F.col("node").isNotNull())
+    rows = stored(rows.select("doc_id", "key", (named("doc_id", "node") == F.col("root")).alias("first"), "root"), "judged")
+    # few rows are the first of their component: those with its id and set
+    first = rows.filter("first").groupBy("root").agg(F.min("key").alias("least"))
+    first = rows.filter("first").join(first, "root").withColumn("stays", F.col("key") == F.col("least"))
+    gone = rows.filter("not first").select("doc_id", "key").unionByName(first.filter("not stays").select("doc_id", "key"))
+    gone = stored(gone.select(F.col("doc_id").alias("__id"), F.col("key").alias("__text")).distinct(), "gone")
+    again = first.filter("stays").groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("__rows")).filter("__rows > 1")
+    again = stored(again.select(F.col("doc_id").alias("__id"), F.col("key").alias("__text")), "again")
+    hashed = unused(df, "__key")
+    marked = df.withColumn(hashed, F.xxhash64(plain_text(F.col(text_col))))
+
+    def same(rows, other):
+        return rows[id_col].cast("long").eqNullSafe(other["__id"]) & (rows[hashed] == other["__text"])
+
+    kept = marked.join(gone, same(marked, gone), "left_anti")
+    if again.isEmpty():
+        return kept.drop(hashed)
+    once, copies = (kept.join(again, same(kept, again), how) for how in ("left_anti", "left_semi"))
+    return once.unionByName(copies.dropDuplicates([id_col, hashed])).drop(hashed)
 
 
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

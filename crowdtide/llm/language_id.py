@@ -10,11 +10,12 @@ profile lacks.
 from __future__ import annotations
 
 import functools
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from crowdtide.llm.common import held_out, plain_text, table
+from crowdtide.llm.common import held_out, lean, plain_text, release, table
 
 PROFILE_SIZE = 400
 UNKNOWN = "und"
@@ -27,11 +28,10 @@ def _tables():
     """For each code point: its lower case (if that is one code point), and whether it is a letter."""
     import numpy as np
 
-    points = [chr(i) for i in range(0x110000)]
-    letter = np.fromiter((c.isalpha() for c in points), bool, 0x110000)
-    lower = np.arange(0x110000, dtype=np.int64)
-    for i in np.flatnonzero(letter):
-        low = points[i].lower()
+    letter = np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
+    lower = np.arange(0x110000, dtype=np.int32)
+    for i in np.flatnonzero(letter).tolist():
+        low = chr(i).lower()
         if len(low) == 1:
             lower[i] = ord(low)
     return lower, letter
@@ -44,7 +44,7 @@ def grams(text: str):
     lower, letter = _tables()
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
     word = letter[points]
-    a = np.where(word, lower[points], EDGE)
+    a = np.where(word, lower[points], EDGE).astype(np.int64)
     edge = np.concatenate(([True], ~word, [True]))
     a = np.concatenate(([EDGE], a, [EDGE]))
     keep = ~(edge[1:] & edge[:-1])  # a run of edges is one
@@ -94,7 +94,7 @@ def profiles(df: DataFrame, text_col: str = "text", lang_col: str = "lang", size
                         yield pa.RecordBatch.from_arrays([pa.array([lang] * len(found), pa.string()), pa.array(found, pa.int64()), pa.array(counts, pa.int64())], ["lang", "gram", "n"])
 
     learned = df.filter(F.col(lang_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), plain_text(F.col(text_col)).alias("text"))
-    counts = learned.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counts = learned.mapInArrow(lean(count), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     best = Window.partitionBy("lang").orderBy(F.col("n").desc(), "gram")
     return counts.withColumn("rank", F.row_number().over(best) - 1).filter(F.col("rank") < size).select("lang", "gram", "rank")
 
@@ -139,9 +139,11 @@ class LanguageModel:
         shared = SparkSession.active().sparkContext.broadcast(self)
 
         @F.pandas_udf("lang string, score double")
-        def guess(texts: pd.Series) -> pd.DataFrame:
+        def guess(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
             model = shared.value
-            return pd.DataFrame([model.guess(t) for t in texts], columns=["lang", "score"])
+            for texts in batches:
+                yield pd.DataFrame([model.guess(t) for t in texts], columns=["lang", "score"])
+            release()
 
         return guess(plain_text(text))
 

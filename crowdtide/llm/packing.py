@@ -15,7 +15,7 @@ from array import array
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from crowdtide.llm.common import plain_text, table
+from crowdtide.llm.common import lean, plain_text, table
 
 MAX_LENGTH = 2048
 END_ID = 1
@@ -156,7 +156,7 @@ def pack(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str =
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(rows, schema)], schema=schema)
 
     narrow = df.select(F.col(id_col).cast("long").alias("doc_id"), plain_text(F.col(text_col)).alias("text"))
-    pieces = narrow.mapInArrow(cut, "doc_id long, start long, length long, ids binary, doc_tokens long")
+    pieces = narrow.mapInArrow(lean(cut), "doc_id long, start long, length long, ids binary, doc_tokens long")
     return pieces.select(
         "*", F.log2("length").cast("int").alias("bucket"),
         F.monotonically_increasing_id().alias("sequence_id"), F.lit(0).cast("long").alias("offset"))

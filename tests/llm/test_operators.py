@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from crowdtide.llm.components import connected
 from crowdtide.llm import exact_dedup, jaccard_join, language_id, language_model, mixing, neighbours, packing, pii, sharding, toxicity
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -80,6 +81,52 @@ def test_blocks_in_pieces_lose_no_link(make, monkeypatch):
     assert got == brute_components(rows, 1, 95)
 
 
+@pytest.mark.parametrize("few", [0, 10**6])
+def test_components_in_rounds_and_in_one_task(spark, few):
+    r = random.Random(4)
+    links = [(r.randrange(300), r.randrange(300)) for _ in range(150)] + [(1000 + i, 1001 + i) for i in range(70)] + [(5, 5)]
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        if a != b:
+            x, y = sorted((find(a), find(b)))
+            root[y] = x
+    want = {x: find(x) for x in root}
+    plain = spark.createDataFrame(links, "a long, b long").repartition(3)
+    assert {x.node: x.root for x in connected(plain, few).collect()} == want
+    named = plain.select(*[F.struct((F.col(c) % 2 == 1).alias("none"), F.col(c).alias("id")).alias(c) for c in "ab"])
+    least = {}
+    for x in want:
+        least[want[x]] = min(least.get(want[x], (9, 0)), (x % 2, x))
+    assert {x.node.id: (int(x.root.none), x.root.id) for x in connected(named, few).collect()} == {x: least[want[x]] for x in want}
+    assert connected(plain.limit(0), few).count() == 0
+
+
+@pytest.mark.parametrize("block", [3, 2048])
+def test_pairs_are_all_pairs(make, monkeypatch, block):
+    monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    r, rows = random.Random(8), []
+    for base in range(8):
+        words = [f"b{base}x{i}" for i in range(r.choice([9, 20, 60]))]
+        for _ in range(9):
+            own = list(words)
+            for _ in range(r.randrange(4)):
+                own[r.randrange(len(own))] = f"e{r.randrange(9)}"
+            rows.append((len(rows), " ".join(own)))
+    pairs, members = jaccard_join.jaccard_pairs(make(rows), 3, 60)
+    node = {x.doc_id: x.node for x in members.collect()}
+    sets = {i: {tuple(t.split()[j:j + 3]) for j in range(len(t.split()) - 2)} for i, t in rows}
+    want = {tuple(sorted((node[a], node[b]))) for a in sets for b in sets
+            if node[a] != node[b] and 100 * len(sets[a] & sets[b]) >= 60 * len(sets[a] | sets[b])}
+    found = [(x.a, x.b) for x in pairs.collect()]
+    assert len(found) == len(set(found)) and set(found) == want and len(want) > 50
+
+
 def test_components_of_odd_rows(odd, none):
     got = sorted((x.doc_id or 0, x.n_shingles, x.component_id) for x in jaccard_join.jaccard_components(odd).collect())
     assert [(i, c) for i, n, c in got] == [(0, None), (1, 1), (2, 2), (3, 3), (5, 5), (6, 6), (7, 6), (7, 6)]
