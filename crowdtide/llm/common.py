@@ -37,6 +37,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
+    """``df``, with texts going to Python workers in batches of ``rows`` at most.
+
+    A worker holds a batch of texts several times over, and there are several workers beside
+    an executor's heap. The setting is the session's and stays.
+    """
+    key, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", df.sparkSession.conf
+    if not 0 < int(conf.get(key)) <= rows:
+        conf.set(key, str(rows))
+    return df
+
+
 def unused(df: DataFrame, name: str) -> str:
     """``name``, lengthened until ``df`` has no such column."""
     while name.lower() in {c.lower() for c in df.columns}:

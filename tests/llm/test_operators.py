@@ -1,6 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns."""
 
 import hashlib
+import os
 import random
 import re
 import zlib
@@ -208,6 +209,18 @@ def test_digest_index_grows_and_rejects_what_it_has(spark, make, tmp_path):
     assert "Bucketed: true" in plan._jdf.queryExecution().explainString(plan._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
 
 
+def test_a_batch_run_again_gives_the_same_answer(spark, make, tmp_path):
+    def run(batch, rows):
+        index = exact_dedup.DigestIndex(spark, str(tmp_path / "index"), 4)
+        kept = sorted((x.doc_id, x.keep_id, x.kept) for x in index.deduplicate(make(rows), batch=batch).collect())
+        return kept, index.rows().count()
+
+    first = run("monday", [(1, "a"), (2, "b"), (3, "a")])
+    assert first == ([(1, 1, True), (2, 2, True), (3, 1, False)], 2) == run("monday", [(1, "a"), (2, "b"), (3, "a")])
+    second = run("tuesday", [(4, "a"), (5, "c")])
+    assert second == ([(4, 1, False), (5, 5, True)], 3) == run("tuesday", [(4, "a"), (5, "c")])
+
+
 def test_exact_copies_of_odd_rows(spark, odd, none, tmp_path):
     index = exact_dedup.DigestIndex(spark, str(tmp_path / "a"), 4)
     got = index.deduplicate(odd).collect()
@@ -272,8 +285,8 @@ def test_base_score_is_exact_and_pairs_help(make):
 
     rows = [(i, t) for i, t in enumerate(texts(1, 60))] + [(100, None), (101, ""), (102, "never Seen words")]
     train = [r for r in rows if r[0] % 7 != 2]
-    model, counts = language_model.learn(make(train))
-    got = {x.doc_id: x for x in language_model.scored(make(rows), model, counts, {"doc_id": F.col("doc_id")}).collect()}
+    model = language_model.learn(make(train))
+    got = {x.doc_id: x for x in language_model.scored(make(rows), model, {"doc_id": F.col("doc_id")}).collect()}
     tokens = {i: [*WORDS.findall((t or "").translate(LOW)), "\n"] for i, t in rows}
     c = Counter(w for i, _ in train for w in tokens[i])
     n, v = sum(c.values()), len(c)
@@ -294,7 +307,7 @@ def test_filter_reads_back_levels():
     assert (f.read(language_model.mixed(np.arange(10_001, 20_001, dtype=np.uint64))) > 0).mean() < 0.02
 
 
-def test_rare_words_come_by_the_join(make, monkeypatch):
+def test_rare_words_are_asked_for(make, monkeypatch):
     monkeypatch.setattr(language_model, "HOT_WORDS", 3)
     test_base_score_is_exact_and_pairs_help(make)
 
@@ -308,8 +321,8 @@ def test_scores_read_every_pair_and_word_at_any_size(make, monkeypatch, part_byt
     monkeypatch.setattr(language_model, "PART_BYTES", part_bytes)
     rows = list(enumerate([*texts(3, 60, 40, 400), None, "never seen words"]))
     train = [r for r in rows if r[0] % 7 != 2]
-    model, counts = language_model.learn(make(train))
-    got = {x.doc_id: x.score for x in language_model.scored(make(rows).repartition(5), model, counts, {"doc_id": F.col("doc_id")}).collect()}
+    model = language_model.learn(make(train))
+    got = {x.doc_id: x.score for x in language_model.scored(make(rows).repartition(5), model, {"doc_id": F.col("doc_id")}).collect()}
     tokens = {i: [None, *WORDS.findall((t or "").translate(LOW)), "\n"] for i, t in rows}
     words = Counter(w for i, _ in train for w in tokens[i][1:])
     pairs = Counter(p for i, _ in train for p in zip(tokens[i], tokens[i][1:]))
@@ -328,11 +341,34 @@ def test_scores_read_every_pair_and_word_at_any_size(make, monkeypatch, part_byt
     assert sorted(apart)[len(apart) // 2] < 1e-9 and max(apart) < 1, sorted(apart)
 
 
+def test_numbers_come_back():
+    import numpy as np
+
+    x = np.sort(np.random.default_rng(1).integers(0, 1 << 32, 999, dtype=np.uint64))
+    for some in (x, x[:0], x[:1], np.asarray([0, 127, 128, 16383, 16384, (1 << 32) - 1], np.uint64)):
+        assert (language_model.ungaps(language_model.gaps(some)) == some).all()
+        assert (language_model.long_numbers(language_model.short_numbers(some.astype(np.int64))) == some).all()
+        assert (language_model.unplanes(language_model.planes(some[::-1])) == some[::-1]).all()
+
+
+@pytest.mark.parametrize("chars", [1, 50, 1 << 21])
+def test_scores_are_the_same_in_blocks_of_any_size(make, monkeypatch, chars):
+    rows = list(enumerate([*texts(9, 80, 30, 200), None, ""]))
+    model = language_model.learn(make(rows))
+    want = {x.doc_id: x for x in language_model.scored(make(rows).coalesce(1), model, {"doc_id": F.col("doc_id")}).collect()}
+    monkeypatch.setattr(language_model, "BLOCK_CHARS", chars)
+    monkeypatch.setattr(language_model, "groups", lambda t: ((i, i + 1) for i in range(len(t))))
+    got = {x.doc_id: x for x in language_model.scored(make(rows).repartition(3), model, {"doc_id": F.col("doc_id")}).collect()}
+    for i, x in want.items():
+        assert (got[i].n_tokens, got[i].n_known) == (x.n_tokens, x.n_known)
+        assert (got[i].base_score, got[i].score) == pytest.approx((x.base_score, x.score))
+
+
 def test_language_model_of_odd_rows(odd, none):
-    model, counts = language_model.learn(odd)
-    assert language_model.scored(odd, model, counts, {"doc_id": F.col("doc_id")}).count() == len(ODD)
-    model, counts = language_model.learn(none)
-    got = language_model.scored(odd, model, counts, {"doc_id": F.col("doc_id")}).collect()
+    model = language_model.learn(odd)
+    assert language_model.scored(odd, model, {"doc_id": F.col("doc_id")}).count() == len(ODD)
+    model = language_model.learn(none)
+    got = language_model.scored(odd, model, {"doc_id": F.col("doc_id")}).collect()
     assert {x.n_known for x in got} == {0} and model.n == 0
 
 
@@ -353,6 +389,41 @@ def test_languages_and_odd_rows(make, odd, none):
     assert {x["__language"].lang for x in empty.collect()} == {"und"} and empty.columns[:-1] == odd.columns
 
 
+def plain_grams(text):
+    """Letters, and pairs and triples that a word's edges, as blanks, belong to."""
+    low = lambda c: c.lower() if len(c.lower()) == 1 else c
+    for word in re.findall(r"[^\W\d_]+", "".join(c if c.isalpha() else " " for c in text)):
+        padded = f" {''.join(map(low, word))} "
+        yield from padded[1:-1]
+        for n in (2, 3):
+            yield from (padded[i:i + n] for i in range(len(padded) - n + 1))
+
+
+def plain_profile(texts_, size=400):
+    counts = Counter(g for t in texts_ for g in plain_grams(t or ""))
+    number = lambda g: sum(ord(c) << 21 * (len(g) - 1 - i) for i, c in enumerate(g))
+    return {g: i for i, g in enumerate(sorted(counts, key=lambda g: (-counts[g], number(g)))[:size])}
+
+
+def test_languages_are_those_of_plain_out_of_place_distances(spark):
+    folder = "/root/testdata/sf0.001"
+    if not os.path.isdir(folder):
+        pytest.skip("test tables are not here")
+    docs = spark.read.parquet(f"{folder}/documents.parquet").collect()
+    held = {r.doc_id: zlib.crc32(str(r.doc_id).encode()) % 3 == 1 for r in docs}
+    profiles = {}
+    for lang in sorted({r.lang for r in docs if r.lang and not held[r.doc_id]}):
+        profiles[lang] = plain_profile([r.text for r in docs if r.lang == lang and not held[r.doc_id]])
+    got = {r.doc_id: r for r in language_id.op7_language_id(spark, folder).collect()}
+    for r in docs:
+        own = plain_profile([r.text])
+        apart = {lang: sum(abs(p[g] - i) if g in p else 400 for g, i in own.items()) for lang, p in profiles.items()}
+        lang = min(apart, key=lambda k: (apart[k], k)) if own else "und"
+        x = got[r.doc_id]
+        assert (x.held_out, x.lang_pred) == (held[r.doc_id], lang)
+        assert x.score == pytest.approx(1 - apart[lang] / (400 * len(own)) if own else 0.0)
+
+
 def test_grams():
     def shown(text):
         return sorted("".join(chr(x >> s & 0x1FFFFF) for s in (42, 21, 0)).strip("\0") for x in language_id.grams(text).tolist())
