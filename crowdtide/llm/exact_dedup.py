@@ -23,7 +23,7 @@ def digest(text):
 
 
 class DigestIndex:
-    """Digests seen so far: ``digest binary, keep_id long``, one row per digest.
+    """Digests seen so far: ``digest binary, keep_id long, batch string``, one row per digest.
 
     ``path`` is a folder on shared storage; a later session opens the same folder and
     goes on. ``buckets`` is fixed when the folder is made and must be given alike later:
@@ -34,29 +34,37 @@ class DigestIndex:
         self.spark, self.buckets = spark, buckets
         self.name = f"digest_index_{uuid.uuid4().hex}"
         spark.sql(
-            f"CREATE TABLE {self.name} (digest BINARY, keep_id BIGINT) USING parquet "
+            f"CREATE TABLE {self.name} (digest BINARY, keep_id BIGINT, batch STRING) USING parquet "
             f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{path}'"
         )
 
     def rows(self) -> DataFrame:
         return self.spark.table(self.name)
 
-    def append(self, groups: DataFrame) -> None:
-        """Each bucket is written by one task, as one sorted file."""
-        (groups.select("digest", "keep_id").repartition(self.buckets, "digest")
+    def append(self, groups: DataFrame, batch: str) -> None:
+        """Each bucket is written by one task, as one sorted file. What an earlier try of the
+        batch has put there stays as it is."""
+        mine = self.rows().filter(F.col("batch") == batch)
+        if not mine.isEmpty():
+            groups = groups.join(mine.select("digest"), "digest", "left_anti")
+        (groups.select("digest", "keep_id", F.lit(batch).alias("batch")).repartition(self.buckets, "digest")
          .write.mode("append").format("parquet")
          .bucketBy(self.buckets, "digest").sortBy("digest").saveAsTable(self.name))
         self.spark.catalog.refreshTable(self.name)
 
-    def deduplicate(self, df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    def deduplicate(self, df: DataFrame, id_col: str = "doc_id", text_col: str = "text", batch: str | None = None) -> DataFrame:
         """Add a batch; one row per row of ``df``: ``doc_id, keep_id, group_size, kept, digest``.
 
         ``keep_id`` is the id in the index if the text was there before, else the smallest
         id of the batch, ``group_size`` the rows of the batch with that text. ``kept`` is
         true for one row of each text that is new. Null text is the empty text; a null id
         counts as larger than any other; of rows that repeat id and text one is kept.
-        Other columns are not read. An empty batch gives no rows.
+        Other columns are not read. An empty batch gives no rows. A batch run again under its
+        name, as after a lost driver, is held against the other batches alone and gives the
+        same answer; without a name each call is a batch of its own.
         """
+        batch = batch or uuid.uuid4().hex
+        earlier = self.rows().filter(F.col("batch") != batch)
         rows = stored(
             df.select(F.col(id_col).cast("long").alias("doc_id"), digest(F.col(text_col)).alias("digest"),
                       F.monotonically_increasing_id().alias("pos")), "digests")
@@ -64,12 +72,12 @@ class DigestIndex:
         groups = stored(
             rows.groupBy("digest").agg(first.alias("first"), F.count(F.lit(1)).alias("group_size")), "groups")
         groups = groups.select("digest", "group_size", F.col("first.doc_id").alias("keep_id"), F.col("first.pos").alias("first_pos"))
-        fresh = groups.hint("merge").join(self.rows().select("digest"), "digest", "left_anti")
+        fresh = groups.hint("merge").join(earlier.select("digest"), "digest", "left_anti")
         fresh = stored(fresh, "fresh")
-        seen = groups.join(self.rows().withColumnRenamed("keep_id", "seen_id"), "digest") \
+        seen = groups.join(earlier.withColumnRenamed("keep_id", "seen_id"), "digest") \
             .select("digest", "group_size", F.col("seen_id").alias("keep_id"), F.lit(None).cast("long").alias("first_pos"))
         known = stored(fresh.unionByName(seen), "known")
-        self.append(fresh)
+        self.append(fresh, batch)
         # a text that a third of the rows repeat makes one large key here: adaptive
         # execution splits it, as both sides are shuffled for this join alone
         return rows.join(known, "digest").select(
