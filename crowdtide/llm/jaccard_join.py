@@ -22,7 +22,7 @@ import math
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from crowdtide.llm.common import bitmap, lean, maybe_in, plain_text, release, stored, table, unused
+from crowdtide.llm.common import bitmap, lean, maybe_in, plain_text, release, small_batches, stored, table, unused
 from crowdtide.llm.components import connected
 from crowdtide.llm.hashing import groups, mixed, words
 
@@ -113,7 +113,7 @@ def described(df: DataFrame, n: int, percent: int, id_col: str, text_col: str) -
                     pa.array(sampled, pa.int64()), pa.array(entries, pa.list_(pa.int64()))], names)
 
     text = plain_text(F.col(text_col))
-    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("key"), text.alias("text"))
+    rows = small_batches(df).select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("key"), text.alias("text"))
     return stored(rows.mapInArrow(lean(describe), "doc_id long, key long, node long, n long, sampled long, entries array<long>"), "described")
 
 

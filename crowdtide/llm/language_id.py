@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from crowdtide.llm.common import held_out, lean, plain_text, release, table
+from crowdtide.llm.common import held_out, lean, plain_text, release, small_batches, table
 
 PROFILE_SIZE = 400
 UNKNOWN = "und"
@@ -93,7 +93,7 @@ def profiles(df: DataFrame, text_col: str = "text", lang_col: str = "lang", size
                         waiting, n = [], 0
                         yield pa.RecordBatch.from_arrays([pa.array([lang] * len(found), pa.string()), pa.array(found, pa.int64()), pa.array(counts, pa.int64())], ["lang", "gram", "n"])
 
-    learned = df.filter(F.col(lang_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), plain_text(F.col(text_col)).alias("text"))
+    learned = small_batches(df).filter(F.col(lang_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), plain_text(F.col(text_col)).alias("text"))
     counts = learned.mapInArrow(lean(count), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     best = Window.partitionBy("lang").orderBy(F.col("n").desc(), "gram")
     return counts.withColumn("rank", F.row_number().over(best) - 1).filter(F.col("rank") < size).select("lang", "gram", "rank")

@@ -15,12 +15,12 @@ from array import array
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from crowdtide.llm.common import lean, plain_text, table
+from crowdtide.llm.common import lean, plain_text, small_batches, table
 
 MAX_LENGTH = 2048
 END_ID = 1
 SLICE = 1 << 20  # characters that are cut into units at once
-CACHED = 200_000  # units, and as many pieces, that a worker remembers
+CACHED = 100_000  # units, and as many pieces, that a worker remembers
 
 
 class TokenIds:
@@ -155,7 +155,7 @@ def pack(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str =
             if rows[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(rows, schema)], schema=schema)
 
-    narrow = df.select(F.col(id_col).cast("long").alias("doc_id"), plain_text(F.col(text_col)).alias("text"))
+    narrow = small_batches(df).select(F.col(id_col).cast("long").alias("doc_id"), plain_text(F.col(text_col)).alias("text"))
     pieces = narrow.mapInArrow(lean(cut), "doc_id long, start long, length long, ids binary, doc_tokens long")
     return pieces.select(
         "*", F.log2("length").cast("int").alias("bucket"),

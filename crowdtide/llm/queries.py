@@ -23,6 +23,7 @@ QUERIES = {
 SQL = {
     "op3_exact_dedup": exact_dedup.OP3_SQL,
     "op4_nearest_neighbours": neighbours.OP4_SQL,
+    "op5_sharding": sharding.OP5_SQL,
     "op9_mixing": mixing.OP9_SQL,
     "op11_spelling_variants": spelling.OP11_SQL,
     "op12_vector_codes": vector_codes.OP12_SQL,

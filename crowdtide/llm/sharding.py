@@ -123,11 +123,20 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(table(spark, sf_dir, "documents"))
 
 
+# crc32 is not in DuckDB: its table comes from the rule, and the bytes are folded.
 OP5_SQL = r"""
-WITH d AS (
-  SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 16 AS size, coalesce(text, '') AS text FROM documents),
+WITH crc AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS steps
+  FROM (SELECT unnest(range(256)) AS i)),
+d AS (
+  SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 16 AS size, regexp_extract_all(hex(encode(coalesce(text, ''))), '..') AS x FROM documents),
 p AS (
-  SELECT *, CAST(sum(size) OVER (ORDER BY doc_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS upto,
-         CAST(sum(size) OVER () AS BIGINT) AS alls FROM d)
-SELECT doc_id, size, (2 * upto - size) * 40 // (2 * alls) AS shard FROM p
+  SELECT doc_id, size, xor(4294967295, list_reduce(
+           list_prepend(4294967295, list_transform(x, lambda b: CAST('0x' || b AS BIGINT))),
+           lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1]))) AS text_crc32,
+         CAST(sum(size) OVER (ORDER BY doc_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS upto,
+         CAST(sum(size) OVER () AS BIGINT) AS alls FROM d, crc),
+s AS (SELECT *, CAST((2 * upto - size) * 40 // (2 * alls) AS INTEGER) AS shard FROM p)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1 AS slot, CAST(NULL AS INTEGER) AS grown_shard FROM s
 """
