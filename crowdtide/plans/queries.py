@@ -323,32 +323,27 @@ def sparse_roundtrip(spark, sf_dir):
     return fx.unpack_sparse(packed, ["doc_id"], "bucket", "tf")
 
 
+def _buckets(rows: DataFrame, vector: str) -> DataFrame:
+    """One row per document and bucket of a sparse vector column."""
+    inner = F.unwrap_udt(vector)
+    entries = F.arrays_zip(inner["indices"].alias("bucket"), inner["values"].alias("value"))
+    return rows.select("doc_id", F.explode(entries).alias("x")).select("doc_id", "x.bucket", "x.value")
+
+
 def hashing_tf(spark, sf_dir):
-    """Bucket numbers are Spark's own; the counts in a row add up to its terms."""
-    rows = fx.sparse_arrays(fx.hashing_tf(documents(spark, sf_dir), "text"), "tf")
-    total = F.aggregate("tf_values", F.lit(0.0), lambda a, x: a + x.cast("double"))
-    return rows.select("doc_id", "tf_width", total.cast("bigint").alias("terms"))
+    rows = _buckets(fx.hashing_tf(documents(spark, sf_dir), "text"), "tf")
+    return rows.select("doc_id", "bucket", F.col("value").cast("bigint").alias("tf"))
 
 
 def hashed_tfidf(spark, sf_dir):
-    rows = fx.hashed_tfidf(documents(spark, sf_dir), "text")
-    arrays = fx.sparse_arrays(rows, "tfidf", "tfidf")
-    return rounded(
-        arrays.select("doc_id", F.round(vectors.norm(F.col("tfidf_values")), 4).alias("length"))
-    )
+    rows = _buckets(fx.hashed_tfidf(documents(spark, sf_dir), "text"), "tfidf")
+    return rounded(rows.withColumnRenamed("value", "weight"))
 
 
 def embed_documents(spark, sf_dir):
-    rows = fx.embed(
-        documents(spark, sf_dir), "text", fx.hash_projection_encoder(64)
-    )
-    return rounded(
-        rows.select(
-            "doc_id",
-            F.size("embedding").alias("dimensions"),
-            F.round(vectors.norm(F.col("embedding")), 4).alias("length"),
-        )
-    )
+    """Components of the stand-in encoder's vectors, less those that are zero."""
+    rows = fx.embed(documents(spark, sf_dir), "text", fx.hash_projection_encoder(64))
+    return rounded(rows.select("doc_id", F.posexplode("embedding").alias("position", "value")).filter("value <> 0"))
 
 
 def centroids(spark, sf_dir):

@@ -175,6 +175,32 @@ def tfidf(scope: str, docs: str = "documents") -> str:
         {r6('w / sqrt(sum(w * w) OVER (PARTITION BY doc_id))', 'weight')} FROM x"""
 
 
+def rotated(x: str, bits: int) -> str:
+    return f"(((({x}) << {bits}) | (({x}) >> {32 - bits})) & 4294967295)"
+
+
+def stirred(k: str) -> str:
+    return f"(({rotated(f'(({k}) * 3432918353) & 4294967295', 15)} * 461845907) & 4294967295)"
+
+
+# Murmur3 of the 32-bit kind with seed 42, by its published rule, over the bytes of a term: whole
+# blocks of four, the bytes left, the length, and the final mixing.
+BUCKETS = f"""
+    x AS (SELECT term, regexp_extract_all(hex(encode(term)), '..') AS b FROM (SELECT DISTINCT term FROM tokens)),
+    k AS (SELECT term, len(b)::HUGEINT AS n, list_transform(range(len(b) // 4), lambda i: CAST('0x' || b[4 * i + 4] || b[4 * i + 3] || b[4 * i + 2] || b[4 * i + 1] AS HUGEINT)) AS blocks,
+        CAST('0x0' || array_to_string(list_reverse(b[len(b) // 4 * 4 + 1 : len(b)]), '') AS HUGEINT) AS rest FROM x),
+    h0 AS (SELECT term, n, xor(xor(list_reduce(list_prepend(42::HUGEINT, list_transform(blocks, lambda q: {stirred('q')})),
+        lambda h, q: ({rotated('xor(h, q)', 13)} * 5 + 3864292196) & 4294967295), {stirred('rest')}), n) AS h FROM k),
+    h1 AS (SELECT term, (xor(h, h >> 16) * 2246822507) & 4294967295 AS h FROM h0),
+    h2 AS (SELECT term, (xor(h, h >> 13) * 3266489909) & 4294967295 AS h FROM h1),
+    hashed AS (SELECT term, (xor(h, h >> 16) & 262143)::INTEGER AS bucket FROM h2),
+    tf AS (SELECT doc_id, bucket, count(*) AS tf FROM tokens JOIN hashed USING (term) GROUP BY ALL)"""
+# crc32 by its rule, over the bytes of a term
+CRC = """crc AS (SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS steps
+        FROM (SELECT unnest(range(256)) AS i)),
+    coded AS (SELECT term, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(regexp_extract_all(hex(encode(term)), '..'), lambda b: CAST('0x' || b AS BIGINT))),
+        lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1]))) AS code FROM (SELECT DISTINCT term FROM tokens), crc)"""
+
 CHUNKED = "(SELECT (row_number() OVER (ORDER BY doc_id) - 1) // 500 + 1 AS chunk_id, * FROM documents)"
 TERMS = f"regexp_extract_all(lower(text), '{WORD}{{2,}}')"
 
@@ -284,11 +310,15 @@ ORACLE = {
         SELECT DISTINCT doc_id, unnest({TERMS}) AS term FROM documents) GROUP BY 1""",
     "sparse_roundtrip": f"""SELECT doc_id, ('0x' || substr(md5(term), 1, 8))::BIGINT % 262144 AS bucket,
         count(*) AS tf FROM (SELECT doc_id, unnest({TERMS}) AS term FROM documents) GROUP BY 1, 2""",
-    "hashing_tf": f"SELECT doc_id, 262144 AS tf_width, len({TERMS}) AS terms FROM documents",
-    "hashed_tfidf": f"""SELECT doc_id, CASE WHEN len({TERMS}) = 0 THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS length
-        FROM documents""",
-    "embed_documents": f"""SELECT doc_id, 64 AS dimensions,
-        CASE WHEN regexp_matches(text, '{WORD}') THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS length FROM documents""",
+    "hashing_tf": f"""WITH tokens AS (SELECT doc_id, unnest({TERMS}) AS term FROM documents), {BUCKETS}
+        SELECT doc_id, bucket, tf FROM tf""",
+    "hashed_tfidf": f"""WITH tokens AS (SELECT doc_id, unnest({TERMS}) AS term FROM documents), {BUCKETS},
+        df AS (SELECT bucket, count(*) AS df FROM tf GROUP BY bucket),
+        w AS (SELECT doc_id, bucket, tf * (ln((1 + (SELECT count(*) FROM documents))::DOUBLE / (1 + df)) + 1) AS w FROM tf JOIN df USING (bucket))
+        SELECT doc_id, bucket, {r6('w / sqrt(sum(w * w) OVER (PARTITION BY doc_id))', 'weight')} FROM w""",
+    "embed_documents": f"""WITH tokens AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '{WORD}+')) AS term FROM documents), {CRC},
+        c AS (SELECT doc_id, ((code >> 1) % 64)::INTEGER AS position, sum(CASE WHEN code & 1 = 1 THEN 1 ELSE -1 END) AS n FROM tokens JOIN coded USING (term) GROUP BY ALL)
+        SELECT doc_id, position, {r6('n::FLOAT / sqrt(sum(n * n) OVER (PARTITION BY doc_id))::FLOAT', 'value')} FROM c WHERE n <> 0""",
     "centroids": f"""SELECT label, (pos - 1)::INTEGER AS position, {r6('avg(val::DOUBLE)', 'value')} FROM (
         SELECT label, unnest(embedding) AS val, generate_subscripts(embedding, 1) AS pos FROM embeddings)
         GROUP BY label, pos""",
