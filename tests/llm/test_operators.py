@@ -372,6 +372,52 @@ def test_language_model_of_odd_rows(odd, none):
     assert {x.n_known for x in got} == {0} and model.n == 0
 
 
+# disclosing terms
+
+def plain_disclosing(texts_, disclosure=0.9, support=2, by_chance=0.001):
+    """Pointwise mutual information over texts, and the bound on chance, pair by pair."""
+    import math
+
+    held = {}
+    for t in set(texts_):
+        mails = {f"email:{m.lower()}" for m in re.findall(r"[A-Za-z0-9.]+@[a-z]+(?:[.][a-z]+)+", t)}
+        held[t] = (mails | ({"email"} if mails else set()), {w.lower() for w in re.findall(r"[^\W\d_]{3,}", t)})
+    n = len(held)
+    n_entity = Counter(e for es, _ in held.values() for e in es)
+    n_term = Counter(w for _, ws in held.values() for w in ws)
+    n_pair = Counter((e, w) for es, ws in held.values() for e in es for w in ws if n_entity[e] >= support)
+    tested = {p: k for p, k in n_pair.items() if k >= support}
+    out = set()
+    for (e, w), k in tested.items():
+        information = math.log(n / n_entity[e])
+        pmi = math.log(k * n / (n_term[w] * n_entity[e]))
+        part, chance = k / n_term[w], n_entity[e] / n
+        divergence = part * math.log(part / chance) + ((1 - part) * math.log((1 - part) / (1 - chance)) if part < 1 else 0.0)
+        if information > 0 and pmi >= disclosure * information and n_term[w] * divergence >= math.log(len(tested) / by_chance):
+            out.add((e, w))
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_disclosing_terms_are_those_of_plain_information(make, seed):
+    r, rows = random.Random(seed), []
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(r.randrange(2, 6)))
+    usual = [word() for _ in range(80)]
+    for i in range(260):
+        words = r.choices(usual, k=r.randrange(4, 20))
+        if i % 9 == 0:
+            words += [f"Person{'xyzabcdef'[i % 5]}name", f"u{i % 5}@ex.org"]
+        elif i % 13 == 0:
+            words += ["callme", f"q{i}@ex.org"]
+        r.shuffle(words)
+        rows.append((i, " ".join(words)))
+    rows += [(900, rows[0][1]), (901, None), (902, ""), (903, "Person nobody")]
+    docs = pii.with_identifiers(make(rows).selectExpr("doc_id", "coalesce(text, '') as text"))
+    got = {(x.entity, x.term) for x in pii.disclosing(docs).collect()}
+    want = plain_disclosing([t or "" for _, t in rows])
+    assert got == want and len(want) >= 5
+
+
 # languages
 
 def test_languages_and_odd_rows(make, odd, none):
