@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import logging
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+log = logging.getLogger(__name__)
+
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -56,6 +59,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not context.master.startswith("local"):
+            log.warning(
+                "spark.checkpoint.dir is not set: /tmp/checkpoints of the default file system is used, "
+                "which has to be one that all executors share"
+            )
         context.setCheckpointDir(named or "/tmp/checkpoints")
     return context.getCheckpointDir()
 
