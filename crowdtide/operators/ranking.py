@@ -12,8 +12,9 @@ from crowdtide.fixed_values import BATCH_ROWS, CHUNK_ROWS, ROWS_PER_VISIT
 from crowdtide.session import cut_lineage
 
 CAP_SALTS = 64
-#: Rows that a task sorts.
+#: Rows that a task sorts, and bytes of them.
 SLICE_ROWS = 1_000_000
+SLICE_BYTES = 32 << 20
 #: Chunk borders, of 8 bytes, that are sent to every task.
 SENT_BORDERS = 1_000_000
 
@@ -51,20 +52,39 @@ def with_row_index(
     )
 
 
+def row_bytes(df: DataFrame) -> Column:
+    """About the bytes of a row: texts as they are, nested values as JSON, eight for any other."""
+    size = F.lit(0).cast("long")
+    for field in df.schema:
+        kind, column = field.dataType.simpleString(), F.col(f"`{field.name}`")
+        if kind in ("string", "binary"):
+            size = size + F.coalesce(F.octet_length(column), F.lit(0))
+        elif kind.startswith(("array", "map", "struct")):
+            size = size + F.coalesce(F.octet_length(F.to_json(column)), F.lit(0))
+        size = size + 8
+    return size
+
+
 def sorted_slices(
-    df: DataFrame, order: Sequence[str], slices: int | None = None, slice_rows: int = SLICE_ROWS
+    df: DataFrame,
+    order: Sequence[str],
+    slices: int | None = None,
+    slice_rows: int = SLICE_ROWS,
+    slice_bytes: int | None = None,
 ) -> DataFrame:
     """``df`` in sorted partitions that follow each other, written; adds ``_slice`` and ``_part``.
 
     Spark draws the splitters from a sample of the whole order and, behind it, a hash of
     the row and its place: rows alike in the order can be told apart, so that a key with
     half of the rows is cut like any other. There are as many slices as the rows need,
-    ``slice_rows`` each. A slice that the sample left with over twice its share is cut
-    again, into the parts that it needs.
+    ``slice_rows`` each and ``slice_bytes`` (``SLICE_BYTES``) of wide ones. A slice that the
+    sample left with over twice its share of rows or bytes is cut again, into the parts that
+    it needs.
     """
-    total = df.count()
-    slices = slices or max(1, math.ceil(total / slice_rows))
-    share = max(1, math.ceil(total / slices))
+    slice_bytes = slice_bytes or SLICE_BYTES
+    total, size = df.agg(F.count("*"), F.coalesce(F.sum(row_bytes(df)), F.lit(0))).first()
+    slices = slices or max(1, math.ceil(total / slice_rows), math.ceil(size / slice_bytes))
+    share, share_bytes = max(1, math.ceil(total / slices)), max(slice_bytes, math.ceil(size / slices))
     told = ["_tie", "_at"]
     tied = df.withColumn("_tie", F.xxhash64(*df.columns)).withColumn("_at", F.monotonically_increasing_id())
 
@@ -73,10 +93,11 @@ def sorted_slices(
 
     placed = cut(tied, slices, order).withColumn("_slice", F.spark_partition_id()).withColumn("_part", F.lit(0))
     placed = cut_lineage(placed)
-    sizes = placed.groupBy("_slice").count().filter(F.col("count") > 2 * share).collect()  # under half of the slices
+    sizes = placed.groupBy("_slice").agg(F.count("*").alias("_rows"), F.sum(row_bytes(df)).alias("_bytes"))
+    sizes = sizes.filter((F.col("_rows") > 2 * share) | (F.col("_bytes") > 2 * share_bytes)).collect()  # not all of the slices
     if sizes:
         over = F.col("_slice").isin([r["_slice"] for r in sizes])
-        parts = sum(math.ceil(r["count"] / share) for r in sizes)
+        parts = sum(max(math.ceil(r["_rows"] / share), math.ceil(r["_bytes"] / share_bytes)) for r in sizes)
         again = cut(placed.filter(over), parts, ["_slice", *order]).withColumn("_part", F.spark_partition_id())
         placed = placed.filter(~over).unionByName(cut_lineage(again))
     return placed.drop(*told)

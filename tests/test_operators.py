@@ -520,3 +520,17 @@ def test_posts_alike_in_their_opening_are_two(spark):
 def test_hashed_tfidf_of_nothing(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert fx.hashed_tfidf(empty, "text", 64).count() == 0
+
+
+def test_wide_rows_are_cut_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "SLICE_BYTES", 100_000, raising=False)
+    wide = spark.range(300, numPartitions=3).select("id", F.repeat(F.lit("x"), 4000).alias("t"))
+    # long texts side by side: a fair share of the rows, not of the bytes
+    uneven = spark.range(2000, numPartitions=3).select(
+        "id", F.repeat(F.lit("x"), F.when(F.col("id") < 100, 10_000).otherwise(1)).alias("t"))
+    for df in (wide, uneven):
+        placed = ranking.sorted_slices(df, ["id"])
+        sizes = [r["b"] for r in placed.groupBy("_slice", "_part").agg(F.sum(F.length("t")).alias("b")).collect()]
+        assert max(sizes) <= 300_000
+        got = dedupe.number_batches(df, "id", 7).select("id", "batch_id").collect()
+        assert sorted((r["id"], r["batch_id"]) for r in got) == [(i, i // 7 + 1) for i in range(df.count())]
