@@ -552,17 +552,23 @@ def _plain_posts(spark, sf_dir) -> DataFrame:
     )
 
 
+def _text_bytes(df: DataFrame, text: str) -> int:
+    return df.agg(F.sum(F.octet_length(text))).first()[0] or 0
+
+
 def _hashed_content(df: DataFrame) -> DataFrame:
     return df.withColumn("content", F.sha1(F.coalesce("content", F.lit("")).cast("binary")))
 
 
 def csv_round_trip(spark, sf_dir):
-    """Documents with quotes and line ends in them, written to one CSV file and read back by
-    the reader of raw posts, which cuts the file every 256 KB."""
+    """Documents with quotes and line ends in them, written to a CSV file for each piece that
+    the table is read in, and read back by the reader of raw posts, which cuts the files every
+    256 KB, or into about a thousand splits."""
     path = f"{_scratch(spark)}/csv"
     text = F.replace(F.replace("content", F.lit(" the "), F.lit('"the"\n')), F.lit(", "), F.lit('\r\n",""'))
-    write.write_csv(_plain_posts(spark, sf_dir).withColumn("content", text).coalesce(1), path)
-    small = {"spark.sql.files.maxPartitionBytes": 1 << 18, "spark.sql.files.openCostInBytes": 0}
+    posts = _plain_posts(spark, sf_dir).withColumn("content", text)
+    write.write_csv(posts, path)
+    small = {"spark.sql.files.maxPartitionBytes": max(1 << 18, _text_bytes(posts, "content") // 1000), "spark.sql.files.openCostInBytes": 0}
     with changed_settings(spark, small):
         return cut_lineage(_hashed_content(read.read_raw_posts(spark, path).select("id", "username", "content")))
 
