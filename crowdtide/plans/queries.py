@@ -6,6 +6,7 @@ digits, so that another engine's result can be compared value by value.
 
 from __future__ import annotations
 
+import math
 import uuid
 from datetime import datetime
 
@@ -25,6 +26,8 @@ from crowdtide.streaming.feature_stream import post_file_stream, start_feature_s
 from crowdtide.streaming.signal_stream import late_counts, stream_signals
 
 NOW = datetime(2024, 6, 1)
+#: Text in a file of a stream: a file is written by one task and read by few.
+STREAM_FILE_BYTES = 8 << 20
 # The default lexicon does not occur in the test texts; these words do.
 POSITIVE = ["the", "and", "to"]
 NEGATIVE = ["der", "die", "la"]
@@ -782,13 +785,14 @@ def stream_late_rows(spark, sf_dir):
 
 
 def stream_dedupe(spark, sf_dir):
-    """Documents arriving as a stream of files; each content is kept once. The state is
-    compacted twice on the way."""
+    """Documents arriving as a stream of files, in six batches; each content is kept once. The
+    state is compacted twice on the way."""
     root = _scratch(spark)
     posts = table(spark, sf_dir, "documents").select(
         F.col("doc_id").cast("string").alias("id"), F.col("text").alias("content"))
-    posts.repartition(6, "id").write.parquet(f"{root}/in")
-    source = spark.readStream.schema(posts.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    files = max(1, math.ceil(_text_bytes(posts, "content") / 6 / STREAM_FILE_BYTES))
+    posts.repartition(6 * files, "id").write.parquet(f"{root}/in")
+    source = spark.readStream.schema(posts.schema).option("maxFilesPerTrigger", files).parquet(f"{root}/in")
     start_clean_stream(
         source, f"{root}/posts", f"{root}/seen", f"{root}/checkpoint", NOW, digits=1, every=2
     ).awaitTermination()

@@ -28,3 +28,11 @@ def test_csv_is_written_in_as_many_files_as_the_table_is_read_in(spark, tables,
     got = queries.csv_round_trip(spark, tables[0])
     assert sorted(int(r["id"]) for r in got.collect()) == [d[0] for d in tables[1]]
     assert len(list((tmp_path / "run/csv").glob("part-*"))) == spark.read.parquet(f"{tables[0]}/documents.parquet").rdd.getNumPartitions() == 4
+
+
+def test_a_clean_batch_takes_more_files_of_a_larger_stream(spark, tables, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "STREAM_FILE_BYTES", 500, raising=False)
+    got = queries.stream_dedupe(spark, tables[0])
+    assert got.count() == got.distinct().count() == len({d[1] for d in tables[1]})
+    assert len(list((tmp_path / "run/posts").glob("batch_id=*"))) == 6
+    assert len(list((tmp_path / "run/in").glob("part-*"))) > 12
