@@ -612,15 +612,17 @@ def damaged_lines(spark, sf_dir):
 
 
 def stream_damaged_lines(spark, sf_dir):
-    """The same of a stream of files, one a batch; the counters are from its progress. Features
-    are made of the good lines, finished files move away, and a second run reads only a new file."""
+    """The same of a stream of files, a batch for as many as are written at once; the counters
+    are from its progress. Features are made of the good lines, finished files move away, and a
+    second run reads only new files."""
     root, keep = _scratch(spark), []
     lines = _damaged_lines(spark, sf_dir)
+    files_at_once = max(1, lines.rdd.getNumPartitions())
     for name, part in (("batch_a", "doc_id % 3 = 0"), ("idle_batch_b", "doc_id % 3 = 1")):
         lines.filter(part).select("value").write.text(f"{root}/in/{name}.jsonl")
 
     def run():
-        files = post_file_stream(spark, f"{root}/in/*", "part-*", archive=f"{root}/done", set_aside=True)
+        files = post_file_stream(spark, f"{root}/in/*", "part-*", files_at_once, archive=f"{root}/done", set_aside=True)
         query = start_feature_stream(
             files, f"{root}/features", f"{root}/checkpoint", fx.hash_projection_encoder(4), quarantine_root=f"{root}/aside")
         query.awaitTermination()

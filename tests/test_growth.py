@@ -36,3 +36,10 @@ def test_a_clean_batch_takes_more_files_of_a_larger_stream(spark, tables, tmp_pa
     assert got.count() == got.distinct().count() == len({d[1] for d in tables[1]})
     assert len(list((tmp_path / "run/posts").glob("batch_id=*"))) == 6
     assert len(list((tmp_path / "run/in").glob("part-*"))) > 12
+
+
+def test_files_written_at_once_are_a_batch_of_features(spark, tables, tmp_path):
+    got = queries.stream_damaged_lines(spark, tables[0])
+    assert got.filter("kind = 'good'").count() == sum(d[0] % 11 not in (1, 2, 3, 4) for d in tables[1])
+    assert got.filter("id = 'lines_read'").first()["value"] == "120"
+    assert len(list((tmp_path / "run/features").glob("batch_id=*"))) == 3
