@@ -12,8 +12,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from crowdtide.fixed_values import EMBED_BATCH, HASH_WIDTH
 from crowdtide.functions.text import terms
-from crowdtide.operators.skew import HOT_ROWS, HOT_SHARE, heavy_keys
-from crowdtide.session import cut_lineage
+from crowdtide.operators.skew import HOT_ROWS, HOT_SHARE
+from crowdtide.session import cut_lineage, written_once
+
+#: Texts whose terms a task counts.
+TEXT_BYTES = 16 << 20
+#: Terms whose frequency is sent to every task, at 60 bytes each.
+SENT_TERMS = 200_000
 
 
 def hashing_tf(df: DataFrame, text: str, width: int = HASH_WIDTH, name: str = "tf") -> DataFrame:
@@ -56,6 +61,17 @@ def sparse_arrays(df: DataFrame, vector: str, prefix: str = "tf") -> DataFrame:
     ).drop(vector)
 
 
+def by_document(docs: DataFrame, doc: str, text: str) -> DataFrame:
+    """Texts brought together by document, about ``TEXT_BYTES`` in a task.
+
+    Terms are then counted, and whatever else is grouped by document is made, where the text
+    is: a text moves once, and not as a row for each of its terms, which is many times as much.
+    """
+    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    tasks = max(docs.sparkSession.sparkContext.defaultParallelism, math.ceil(size / TEXT_BYTES))
+    return docs.repartition(tasks, doc)
+
+
 def term_counts(
     docs: DataFrame, doc: str, text: str, scope: Sequence[str] = ()
 ) -> DataFrame:
@@ -88,6 +104,14 @@ def smooth_idf(n_docs: Column, df: Column) -> Column:
     return F.log((n_docs + 1).cast("double") / (df + 1).cast("double")) + 1.0
 
 
+def least_sent(frequency: DataFrame, most: int) -> int:
+    """The frequency that fewer than ``most`` terms exceed, and as many as can; 0 if all do."""
+    # distinct frequencies: the root of the rows at most
+    above = Window.orderBy(F.col("df").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sizes = frequency.groupBy("df").agg(F.count("*").alias("_terms"))
+    return sizes.withColumn("_above", F.sum("_terms").over(above)).filter(F.col("_above") > most).agg(F.max("df")).first()[0] or 0
+
+
 def tfidf(
     docs: DataFrame,
     doc: str,
@@ -95,35 +119,39 @@ def tfidf(
     scope: Sequence[str] = (),
     share: int = HOT_SHARE,
     min_rows: int = HOT_ROWS,
+    sent: int = SENT_TERMS,
 ) -> DataFrame:
     """Unit-length TF-IDF weights, one row per document and term.
 
     Frequencies are taken over the whole input or per ``scope``. The vocabulary
-    grows with the data and is joined by shuffle, except for terms so common
-    that one task would get too many rows: fewer than ``share`` terms can be,
-    and those are broadcast.
+    grows with the data, but most rows are of its ``sent`` most frequent terms, which are
+    broadcast. The other rows are joined by shuffle; a term so common that one task would get
+    too many rows (``share`` and ``min_rows``, see ``heavy_keys``) is never among them.
+    Rows go to their document with whole numbers alone, and are weighed there.
     """
     scope = list(scope)
     key = [*scope, "term"]
     # three passes follow; reading the counts back beats splitting texts three times
-    counts = cut_lineage(counts)
+    counts = written_once(counts, "term-counts")
     frequency = document_frequency(counts, scope)
     if scope:
         sizes = docs.groupBy(*scope).agg(F.count("*").alias("n_docs"))
-        frequency = frequency.join(sizes, scope)
-        n_docs = F.col("n_docs")
+        frequency, n_docs = frequency.join(sizes, scope), F.col("n_docs")
     else:
-        n_docs = docs.agg(F.count("*")).scalar()
-    idf = cut_lineage(
-        frequency.withColumn("idf", smooth_idf(n_docs, F.col("df"))).drop("n_docs")
-    )
-
-    common = heavy_keys(idf, "df", share, min_rows)
-    placed_here = counts.join(F.broadcast(common), key)
-    rare = counts.join(F.broadcast(common.select(*key)), key, "left_anti")
-    weighted = placed_here.unionByName(rare.join(idf, key)).withColumn(
-        "weight", F.col("tf") * F.col("idf")
-    )
+        n_docs = F.lit(docs.count())
+    frequency = cut_lineage(frequency)
+
+    least = least_sent(frequency, sent)
+    if least:
+        total = frequency.agg(F.sum("df")).scalar()
+        limit = F.least(F.lit(least), F.greatest(total / F.lit(share), F.lit(min_rows)))
+        common = frequency.filter(F.col("df") > limit)
+        placed_here = counts.join(F.broadcast(common), key)
+        rare = counts.join(F.broadcast(common.select(*key)), key, "left_anti")
+        found = placed_here.unionByName(rare.join(frequency, key))
+    else:
+        found = counts.join(F.broadcast(frequency), key)
+    weighted = found.repartition(*scope, doc).withColumn("weight", F.col("tf") * smooth_idf(n_docs, F.col("df")))
     length = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy(*scope, doc)))
     return weighted.withColumn("weight", F.col("weight") / length).select(
         *scope, doc, "term", "tf", "df", "weight"

@@ -286,7 +286,8 @@ def lexical_score(spark, sf_dir):
 
 
 def _tfidf(docs: DataFrame, scope=()) -> DataFrame:
-    return rounded(fx.tfidf(docs, "doc_id", fx.term_counts(docs, "doc_id", "text", scope), scope))
+    counts = fx.term_counts(fx.by_document(docs, "doc_id", "text"), "doc_id", "text", scope)
+    return rounded(fx.tfidf(docs, "doc_id", counts, scope))
 
 
 def tfidf_corpus(spark, sf_dir):
@@ -308,7 +309,7 @@ def tfidf_source(spark, sf_dir):
 
 def document_frequency(spark, sf_dir):
     docs = documents(spark, sf_dir)
-    return fx.document_frequency(fx.term_counts(docs, "doc_id", "text"))
+    return fx.document_frequency(fx.term_counts(fx.by_document(docs, "doc_id", "text"), "doc_id", "text"))
 
 
 def sparse_roundtrip(spark, sf_dir):

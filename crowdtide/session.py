@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -78,6 +79,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written_once(df: DataFrame, name: str) -> DataFrame:
+    """The same for many narrow rows, as a compressed table: a checkpoint holds rows as they
+    lie in memory, several times their size. The files stay until the folder is cleared."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Use all cores on a small input that comes in fewer pieces than there are cores.
 

@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from crowdtide.operators import features as fx
 from crowdtide.plans import queries
 
 WORDS = "the der la market, dip buy sell rally und von avec pour chart volume trend".split()
@@ -43,3 +44,29 @@ def test_files_written_at_once_are_a_batch_of_features(spark, tables, tmp_path):
     assert got.filter("kind = 'good'").count() == sum(d[0] % 11 not in (1, 2, 3, 4) for d in tables[1])
     assert got.filter("id = 'lines_read'").first()["value"] == "120"
     assert len(list((tmp_path / "run/features").glob("batch_id=*"))) == 3
+
+
+def test_rarer_terms_are_joined_and_others_sent(spark, tables):
+    docs = spark.read.parquet(f"{tables[0]}/documents.parquet").withColumn("text", F.concat("text", F.lit(" only"), "doc_id"))
+
+    def weights(scope, **options):
+        counts = fx.term_counts(fx.by_document(docs, "doc_id", "text"), "doc_id", "text", scope)
+        out = fx.tfidf(docs, "doc_id", counts, scope, **options)
+        return out, {(r["doc_id"], r["term"]): (r["tf"], r["df"], round(r["weight"], 9)) for r in out.collect()}
+
+    for scope in ([], ["source"]):
+        (all_sent, want), (_, got) = weights(scope), weights(scope, sent=5)
+        assert got == want and len(want) > 500
+        # a row goes to its document once, and to no term
+        assert all_sent._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("Exchange hashpartitioning") == 1
+
+
+def test_terms_are_counted_where_their_document_is(spark, tables):
+    docs = spark.read.parquet(f"{tables[0]}/documents.parquet")
+    counts = fx.term_counts(fx.by_document(docs, "doc_id", "text"), "doc_id", "text")
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Exchange hashpartitioning(doc_id#" in plan and "term#" not in plan.split("Exchange hash")[1]
+    frequency = counts.groupBy("term").agg(F.count("*").alias("df"))
+    assert [fx.least_sent(frequency, n) for n in (0, 10**6)] == [frequency.agg(F.max("df")).first()[0], 0]
+    least = fx.least_sent(frequency, 4)
+    assert frequency.filter(F.col("df") > least).count() <= 4 < frequency.filter(F.col("df") >= least).count()
