@@ -319,7 +319,7 @@ def sparse_roundtrip(spark, sf_dir):
         F.lit(2**18),
     )
     entries = (
-        fx.term_counts(docs, "doc_id", "text")
+        fx.term_counts(fx.by_document(docs, "doc_id", "text"), "doc_id", "text")
         .groupBy("doc_id", bucket.alias("bucket"))
         .agg(F.sum("tf").alias("tf"))
     )

@@ -70,3 +70,9 @@ def test_terms_are_counted_where_their_document_is(spark, tables):
     assert [fx.least_sent(frequency, n) for n in (0, 10**6)] == [frequency.agg(F.max("df")).first()[0], 0]
     least = fx.least_sent(frequency, 4)
     assert frequency.filter(F.col("df") > least).count() <= 4 < frequency.filter(F.col("df") >= least).count()
+
+
+def test_sparse_rows_are_packed_where_the_text_is(spark, tables):
+    out = queries.sparse_roundtrip(spark, tables[0])
+    assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert out.agg(F.sum("tf")).first()[0] == sum(len(d[1].split()) for d in tables[1])
