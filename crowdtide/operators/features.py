@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from crowdtide.fixed_values import EMBED_BATCH, HASH_WIDTH
 from crowdtide.functions.text import terms
 from crowdtide.operators.skew import HOT_ROWS, HOT_SHARE
-from crowdtide.session import cut_lineage, written_once
+from crowdtide.session import cut_lineage, small_batches, written_once
 
 #: Texts whose terms a task counts.
 TEXT_BYTES = 16 << 20
@@ -216,7 +216,9 @@ def embed(
     name: str = "embedding",
 ) -> DataFrame:
     """Encode texts in batches. ``make_encoder`` runs once per Python worker and
-    returns a function from an array of texts to a float matrix."""
+    returns a function from an array of texts to a float matrix. What comes to a worker at
+    once is bounded in bytes, see ``small_batches``: texts may be long."""
+    small_batches(df.sparkSession)
     encode = predict_batch_udf(
         make_encoder, return_type=T.ArrayType(T.FloatType()), batch_size=batch
     )

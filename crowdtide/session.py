@@ -87,6 +87,20 @@ def written_once(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of a batch of rows that goes to a Python worker.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Batches for Python workers are cut by bytes: a worker holds its batch several times over,
+    and rows may be long. The setting is the session's and stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key).removesuffix("b")
+    if not now.isdecimal() or not 0 < int(now) <= BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+    return spark
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Use all cores on a small input that comes in fewer pieces than there are cores.
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from crowdtide.operators import features as fx
 from crowdtide.plans import queries
+from crowdtide.session import BATCH_BYTES, changed_settings
 
 WORDS = "the der la market, dip buy sell rally und von avec pour chart volume trend".split()
 
@@ -76,3 +77,12 @@ def test_sparse_rows_are_packed_where_the_text_is(spark, tables):
     out = queries.sparse_roundtrip(spark, tables[0])
     assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
     assert out.agg(F.sum("tf")).first()[0] == sum(len(d[1].split()) for d in tables[1])
+
+
+def test_batches_for_an_encoder_are_cut_by_bytes(spark):
+    with changed_settings(spark, {"spark.sql.execution.arrow.maxBytesPerBatch": "64m"}):
+        df = spark.range(64, numPartitions=1).select("id", F.repeat(F.lit("ab "), 1 << 18).alias("t"))
+        out = fx.embed(df, "t", fx.hash_projection_encoder(4))
+        assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == str(BATCH_BYTES)
+        rows = df.select(F.pandas_udf(lambda t: t.map(lambda _: len(t)), "long")("t").alias("n")).agg(F.max("n")).first()[0]
+        assert rows <= 8 and out.filter(F.size("embedding") == 4).count() == 64
